@@ -97,11 +97,18 @@ def clamp_category(
 
 
 def apply_conditions(frame: DataFrame, conditions: DataFrame) -> DataFrame:
-    """Conditions of each scenario day; days past the list reuse its last day."""
-    last = conditions.groupBy("scenario_id").agg(F.max("day").alias("_last"))
-    out = frame.join(last, "scenario_id").withColumn("_day", F.least("day", "_last"))
-    given = conditions.withColumnsRenamed({"day": "_day", "ad_active": "_ad"})
-    return out.join(given, ["scenario_id", "_day"], "left").drop("_day", "_last")
+    """The frame once per scenario, with the conditions of each day.
+
+    Days past a scenario's list reuse its last day. ``ad_active`` of the conditions
+    arrives as ``_ad``, because the frame has a column of that name.
+    """
+    last_day = frame.agg(F.max("day")).scalar()
+    ends = conditions.groupBy("scenario_id").agg(F.max("day").alias("_last"))
+    days = ends.select("*", F.explode(F.sequence(F.lit(0), last_day)).alias("day"))
+    days = days.withColumn("_given", F.least("day", "_last"))
+    given = conditions.withColumnsRenamed({"day": "_given", "ad_active": "_ad"})
+    daily = days.join(given, ["scenario_id", "_given"]).drop("_given", "_last")
+    return frame.join(daily, "day")
 
 
 def preset_table(spark, presets: dict = roles.WEATHER_PRESETS) -> DataFrame:
