@@ -8,6 +8,8 @@ those few values are sorted.
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from forecourt.sources import scratch
+
 ACCURACY = 10_000
 SMALL = 20_000
 
@@ -20,55 +22,53 @@ def exact_quantiles(
     accuracy: int = ACCURACY,
     small: int = SMALL,
 ) -> DataFrame:
-    """Rows (by..., column, prob, value), with linear interpolation between ranks."""
+    """Rows (by..., column, prob, value), with linear interpolation between ranks.
+
+    Groups of at most ``small`` values skip the bracket. Nulls do not count, and rows
+    with a null group are left out.
+    """
     by = list(by)
+    keys = [*by, "column"]
+    small = max(small, accuracy)
     margin = 3.0 / accuracy
-    lows = [max(p - margin, 0.0) for p in probs]
-    highs = [min(p + margin, 1.0) for p in probs]
-    data = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    wanted = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
 
-    def bracket(c):
-        s = F.percentile_approx(c, lows + highs, accuracy)
-        few = F.count(c) <= small
-        pairs = [
+    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    long = long.unpivot(by, list(cols), "column", "x").dropna(subset=[*by, "x"])
+    sketch = long.groupBy(*keys).agg(
+        F.count("x").alias("n"),
+        F.min("x").alias("low"),
+        F.max("x").alias("high"),
+        F.percentile_approx("x", wanted, accuracy).alias("s"),
+    )
+    few = F.col("n") <= small
+    pairs = F.array(
+        *[
             F.struct(
-                F.when(few, F.min(c)).otherwise(s[i]).alias("lo"),
-                F.when(few, F.max(c)).otherwise(s[i + len(probs)]).alias("hi"),
+                F.lit(float(p)).alias("prob"),
+                F.when(few, F.col("low")).otherwise(F.col("s")[i]).alias("lo"),
+                F.when(few, F.col("high")).otherwise(F.col("s")[i + len(probs)]).alias("hi"),
             )
-            for i in range(len(probs))
+            for i, p in enumerate(probs)
         ]
-        return F.struct(F.count(c).alias("n"), F.array(*pairs).alias("pairs")).alias(f"_b_{c}")
-
-    sketches = data.groupBy(*by).agg(*[bracket(c) for c in cols])
+    )
+    brackets = sketch.select(*keys, "n", pairs.alias("pairs"))
     if by:
-        match = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in by]
-        packed = sketches.select(*by, F.struct(*[f"_b_{c}" for c in cols]).alias("_b"))
-        joined = data.alias("d").join(packed.alias("s"), match)
-        keys = [F.col(f"d.{k}").alias(k) for k in by]
+        # Written, so that Spark knows the size and broadcasts it only when it is small.
+        joined = long.join(scratch.materialise(brackets, "brackets"), keys)
     else:
-        joined = data.withColumn("_b", sketches.select(F.struct("*")).scalar())
-        keys = []
-
-    cells = []
-    for c in cols:
-        for i, p in enumerate(probs):
-            pair = F.col(f"_b._b_{c}.pairs")[i]
-            cells.append(
-                F.when(
-                    F.col(c) <= pair["hi"],
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.lit(float(p)).alias("prob"),
-                        F.col(f"_b._b_{c}.n").alias("n"),
-                        F.when(F.col(c) >= pair["lo"], F.col(c)).alias("x"),
-                    ),
-                )
-            )
-    rows = joined.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("cell"))
-    rows = rows.select(*by, "cell.*")
-    counts = rows.groupBy(*by, "column", "prob", "n", "x").agg(F.count(F.lit(1)).alias("m"))
+        # One entry per column.
+        entry = F.struct("column", F.struct("n", "pairs"))
+        table = brackets.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+        joined = long.withColumn("_b", table[F.col("column")]).select("column", "x", "_b.*")
 
-    group = [*by, "column", "prob", "n"]
+    under = F.filter("pairs", lambda p: F.col("x") <= p["hi"])
+    rows = joined.select(*keys, "n", "x", F.explode(under).alias("p"))
+    rows = rows.select(
+        *keys, "n", F.col("p.prob").alias("prob"), F.when(F.col("x") >= F.col("p.lo"), F.col("x")).alias("x")
+    )
+    group = [*keys, "prob", "n"]
+    counts = rows.groupBy(*group, "x").agg(F.count(F.lit(1)).alias("m"))
     order = Window.partitionBy(*group).orderBy(F.col("x").asc_nulls_first())
     upto = F.sum("m").over(order.rowsBetween(Window.unboundedPreceding, 0))
     ranked = counts.withColumn("upto", upto)
@@ -84,4 +84,4 @@ def exact_quantiles(
     checked = F.when(sound, value).otherwise(
         F.raise_error(F.lit("the sketch missed a rank; raise the accuracy")).cast("double")
     )
-    return picked.select(*by, "column", "prob", checked.alias("value"))
+    return picked.select(*keys, "prob", checked.alias("value"))

@@ -13,67 +13,67 @@ from workload.registry import query, rounded
 @query(
     "by_weather",
     sql.hub(
-        f"SELECT weather_condition, {sql.r('avg(total_sales)', 'total_sales')} FROM hub WHERE weather_condition IS NOT NULL GROUP BY 1"
+        f"SELECT weather_condition, {sql.r('avg(total_sales)', 'total_sales', 9)} FROM hub WHERE weather_condition IS NOT NULL GROUP BY 1"
     ),
 )
 def by_weather(spark, folder):
-    return rounded(d.by_weather(base.hub(spark, folder)))
+    return rounded(d.by_weather(base.hub(spark, folder)), 9)
 
 
 @query("weather_flag_effect", sql.hub(flag_sql(["is_rain", "is_snow", "is_fog"], labels.WEATHER_FLAG)))
 def weather_flag_effect(spark, folder):
-    return rounded(d.weather_flag_effect(base.hub(spark, folder)))
+    return rounded(d.weather_flag_effect(base.hub(spark, folder)), 9)
 
 
 @query(
     "by_ad_channel",
     sql.hub(
-        f"""SELECT ad_channel, {sql.r('avg(total_sales)', 'total_sales')},
-        round((SELECT coalesce(avg(total_sales), 0) FROM hub WHERE ad_channel = '{roles.NO_ADVERT}'), 6) AS no_ad_sales FROM hub GROUP BY ad_channel"""
+        f"""SELECT ad_channel, {sql.r('avg(total_sales)', 'total_sales', 9)},
+        round((SELECT coalesce(avg(total_sales), 0) FROM hub WHERE ad_channel = '{roles.NO_ADVERT}'), 9) AS no_ad_sales FROM hub GROUP BY ad_channel"""
     ),
 )
 def by_ad_channel(spark, folder):
-    return rounded(d.by_ad_channel(base.hub(spark, folder)))
+    return rounded(d.by_ad_channel(base.hub(spark, folder)), 9)
 
 
 @query(
     "shop_by_ad_channel",
-    sql.hub(f"SELECT ad_channel, {sql.r('avg(shop_total_revenue)', 'shop_total_revenue')} FROM hub GROUP BY ad_channel"),
+    sql.hub(f"SELECT ad_channel, {sql.r('avg(shop_total_revenue)', 'shop_total_revenue', 9)} FROM hub GROUP BY ad_channel"),
 )
 def shop_by_ad_channel(spark, folder):
-    return rounded(d.shop_by_ad_channel(base.hub(spark, folder)))
+    return rounded(d.shop_by_ad_channel(base.hub(spark, folder)), 9)
 
 
 @query(
     "promo_by_fuel",
-    _grouped_long("promotion_fuel_active", "active", roles.FUEL_TARGETS[:4], "avg", "fuel", "sales", labels.FUEL, "hub"),
+    _grouped_long("promotion_fuel_active", "active", roles.FUEL_TARGETS[:4], "avg", "fuel", "sales", labels.FUEL, "hub", 9),
 )
 def promo_by_fuel(spark, folder):
-    return rounded(d.promo_by_fuel(base.hub(spark, folder), "promotion_fuel_active", roles.FUEL_TARGETS[:4]))
+    return rounded(d.promo_by_fuel(base.hub(spark, folder), "promotion_fuel_active", roles.FUEL_TARGETS[:4]), 9)
 
 
 @query(
     "promo_by_shop",
-    _grouped_long("promotion_shop_active", "active", roles.SHOP_TARGETS, "avg", "category", "revenue", labels.SHOP, "hub"),
+    _grouped_long("promotion_shop_active", "active", roles.SHOP_TARGETS, "avg", "category", "revenue", labels.SHOP, "hub", 9),
 )
 def promo_by_shop(spark, folder):
-    return rounded(d.promo_by_shop(base.hub(spark, folder), "promotion_shop_active"))
+    return rounded(d.promo_by_shop(base.hub(spark, folder), "promotion_shop_active"), 9)
 
 
 @query("flag_effects", sql.hub(flag_sql(list(labels.FLAG), labels.FLAG, drop_null=True)))
 def flag_effects(spark, folder):
-    return rounded(d.flag_effects(base.hub(spark, folder)))
+    return rounded(d.flag_effects(base.hub(spark, folder)), 9)
 
 
 @query(
     "ad_effect",
     sql.hub(
-        f"""SELECT ad_active, {sql.r('avg(total_sales)', 'total_sales')}, {sql.case_label('ad_active', labels.ADVERT)} AS label
+        f"""SELECT ad_active, {sql.r('avg(total_sales)', 'total_sales', 9)}, {sql.case_label('ad_active', labels.ADVERT)} AS label
         FROM hub GROUP BY ad_active"""
     ),
 )
 def ad_effect(spark, folder):
-    return rounded(d.ad_effect(base.hub(spark, folder)))
+    return rounded(d.ad_effect(base.hub(spark, folder)), 9)
 
 
 @query(
@@ -87,17 +87,17 @@ def by_holiday(spark, folder):
 
 
 def _pattern(by, table):
-    return _grouped_long(by, by, roles.FUEL_TARGETS, "avg", "fuel", "sales", labels.FUEL, table)
+    return _grouped_long(by, by, roles.FUEL_TARGETS, "avg", "fuel", "sales", labels.FUEL, table, 9 if table == "hub" else 6)
 
 
 @query("pattern_by_hour", _pattern("hour", "hub"))
 def pattern_by_hour(spark, folder):
-    return rounded(d.pattern(base.hub(spark, folder), "hour"))
+    return rounded(d.pattern(base.hub(spark, folder), "hour"), 9)
 
 
 @query("pattern_by_weekday", _pattern("day_of_week", "hub"))
 def pattern_by_weekday(spark, folder):
-    return rounded(d.pattern(base.hub(spark, folder), "day_of_week"))
+    return rounded(d.pattern(base.hub(spark, folder), "day_of_week"), 9)
 
 
 @query("pattern_by_month", _pattern("month", "daily"))

@@ -100,72 +100,72 @@ def traffic_by_month(spark, folder):
 
 @query(
     "shop_by_hour",
-    _grouped_long("hour", "hour", roles.SHOP_TARGETS, "avg", "category", "revenue", labels.SHOP, "hub"),
+    _grouped_long("hour", "hour", roles.SHOP_TARGETS, "avg", "category", "revenue", labels.SHOP, "hub", 9),
 )
 def shop_by_hour(spark, folder):
-    return rounded(o.shop_by_hour(base.hub(spark, folder)))
+    return rounded(o.shop_by_hour(base.hub(spark, folder)), 9)
 
 
 @query(
     "hour_profile",
     sql.hub(
-        f"""SELECT hour, {sql.r('s', 'total_sales')}, CAST(hour = first_value(hour) OVER (ORDER BY s DESC, hour) AS INTEGER) AS is_peak
+        f"""SELECT hour, {sql.r('s', 'total_sales', 9)}, CAST(hour = first_value(hour) OVER (ORDER BY s DESC, hour) AS INTEGER) AS is_peak
         FROM (SELECT hour, avg(total_sales) AS s FROM hub GROUP BY hour)"""
     ),
 )
 def hour_profile(spark, folder):
-    return rounded(o.hour_profile(base.hub(spark, folder)))
+    return rounded(o.hour_profile(base.hub(spark, folder)), 9)
 
 
 @query(
     "weekday_profile",
     sql.hub(
-        f"""SELECT day_of_week AS weekday, {sql.r('avg(total_sales)', 'total_sales')},
+        f"""SELECT day_of_week AS weekday, {sql.r('avg(total_sales)', 'total_sales', 9)},
         {sql.case_label('day_of_week', labels.WEEKDAY)} AS label FROM hub GROUP BY day_of_week"""
     ),
 )
 def weekday_profile(spark, folder):
-    return rounded(o.dow_profile(base.hub(spark, folder)))
+    return rounded(o.dow_profile(base.hub(spark, folder)), 9)
 
 
-def _season(where):
-    return f"""SELECT CAST(p.position AS INTEGER) AS position, p.season, {sql.r('s', 'total_sales', 4)}, {sql.case_label('p.season', labels.SEASON)} AS label
+def _season(where, digits):
+    return f"""SELECT CAST(p.position AS INTEGER) AS position, p.season, {sql.r('s', 'total_sales', digits)}, {sql.case_label('p.season', labels.SEASON)} AS label
     FROM (VALUES (0, 'winter'), (1, 'spring'), (2, 'summer'), (3, 'autumn')) p(position, season)
     LEFT JOIN (SELECT season, avg(total_sales) AS s FROM {where} GROUP BY season) USING (season)"""
 
 
-@query("season_profile", sql.daily(_season("daily")))
+@query("season_profile", sql.daily(_season("daily", 4)))
 def season_profile(spark, folder):
     return rounded(o.season_profile(base.daily(spark, folder)), 4)
 
 
-@query("season_profile_one_season", sql.hub(_season("hub")))
+@query("season_profile_one_season", sql.hub(_season("hub", 9)))
 def season_profile_one_season(spark, folder):
     """The hourly data covers winter only; the other seasons stay, without a value."""
-    return rounded(o.season_profile(base.hub(spark, folder)), 4)
+    return rounded(o.season_profile(base.hub(spark, folder)), 9)
 
 
 @query(
     "hour_dow_heatmap",
     sql.hub(
-        f"""SELECT hour, day_of_week AS weekday, {sql.r('avg(sales_AI92)', 'sales')},
+        f"""SELECT hour, day_of_week AS weekday, {sql.r('avg(sales_AI92)', 'sales', 9)},
         {sql.case_label('day_of_week', labels.WEEKDAY)} AS label FROM hub GROUP BY hour, day_of_week"""
     ),
 )
 def hour_dow_heatmap(spark, folder):
-    return rounded(o.hour_dow_heatmap(base.hub(spark, folder), "sales_AI92"))
+    return rounded(o.hour_dow_heatmap(base.hub(spark, folder), "sales_AI92"), 9)
 
 
 @query(
     "hour_dow_pivot",
     sql.hub(
         "SELECT hour, "
-        + ", ".join(sql.r(f"avg(CASE WHEN day_of_week = {d} THEN sales_AI95 END)", f"day_{d}") for d in range(7))
+        + ", ".join(sql.r(f"avg(CASE WHEN day_of_week = {d} THEN sales_AI95 END)", f"day_{d}", 9) for d in range(7))
         + " FROM hub GROUP BY hour"
     ),
 )
 def hour_dow_pivot(spark, folder):
-    return rounded(o.hour_dow_pivot(base.hub(spark, folder), "sales_AI95"))
+    return rounded(o.hour_dow_pivot(base.hub(spark, folder), "sales_AI95"), 9)
 
 
 def flag_sql(flags, names, source="hub", zero=False, drop_null=False):
@@ -175,14 +175,14 @@ def flag_sql(flags, names, source="hub", zero=False, drop_null=False):
             mean = f"avg(CASE WHEN {f} = {v} THEN total_sales END)"
             mean = f"coalesce({mean}, 0)" if zero else mean
             text = names[f][v] if isinstance(names[f], dict) else names[f]
-            parts.append(f"SELECT '{f}' AS flag, {v} AS active, {sql.r(mean, 'mean_sales')}, '{text}' AS label FROM {source}")
+            parts.append(f"SELECT '{f}' AS flag, {v} AS active, {sql.r(mean, 'mean_sales', 9)}, '{text}' AS label FROM {source}")
     body = " UNION ALL ".join(parts)
     return f"SELECT * FROM ({body}) WHERE mean_sales IS NOT NULL" if drop_null else body
 
 
 @query("promo_effect", sql.hub(flag_sql(roles.PROMOTIONS, labels.PROMOTION, zero=True)))
 def promo_effect(spark, folder):
-    return rounded(o.promo_effect(base.hub(spark, folder)))
+    return rounded(o.promo_effect(base.hub(spark, folder)), 9)
 
 
 @query(
@@ -215,13 +215,13 @@ def by_settlement(spark, folder):
 @query(
     "station_profile",
     sql.hub(
-        f"SELECT station_name, {sql.r('avg(total_sales)', 'avg_sales')}, "
+        f"SELECT station_name, {sql.r('avg(total_sales)', 'avg_sales', 9)}, "
         + ", ".join(f"arg_min({c}, timestamp) AS {c}" for c in roles.PROFILE_ATTRIBUTES)
         + " FROM hub GROUP BY station_name"
     ),
 )
 def station_profile(spark, folder):
-    return rounded(o.station_profile(base.hub(spark, folder)))
+    return rounded(o.station_profile(base.hub(spark, folder)), 9)
 
 
 @query(
