@@ -65,25 +65,32 @@ def fit_effects(train: DataFrame, model: DataFrame, drivers: list[str]) -> DataF
 
 
 def forecast_seasonal(
-    model: DataFrame, frame: DataFrame, effects: DataFrame | None = None, keep: tuple = ()
+    model: DataFrame,
+    frame: DataFrame,
+    effects: DataFrame | None = None,
+    drivers: tuple = (),
+    keep: tuple = (),
 ) -> DataFrame:
-    """Long forecasts in log units for every row of the frame."""
+    """Long forecasts in log units for every row of the frame.
+
+    With ``effects``, the values of the ``drivers`` move all quantiles of a row.
+    """
     ids = [KEY, "timestamp", *keep]
-    drivers = []
-    if effects is not None:
-        drivers = [c for c in frame.columns if c in set(roles.FUTURE_REALS) | {"total_traffic"}]
     rows = frame.select(*dict.fromkeys([*ids, *CELL, *drivers])).join(model, CELL)
     if effects is None:
         return rows.select(*ids, "target", *NAMES)
-    packed = effects.groupBy(KEY, "target").agg(
-        F.map_from_entries(F.collect_list(F.struct("driver", F.struct("slope", "center")))).alias("_e")
+    wide = effects.groupBy(KEY, "target").agg(
+        *[
+            F.max(F.when(F.col("driver") == d, F.struct("slope", "center"))).alias(f"_e_{d}")
+            for d in drivers
+        ]
     )
-    rows = rows.join(packed, [KEY, "target"], "left")
     shift = F.lit(0.0)
     for d in drivers:
-        e = F.col("_e")[d]
-        shift = shift + F.coalesce(e["slope"] * (F.col(d).cast("double") - e["center"]), F.lit(0.0))
-    rows = rows.withColumn("_shift", shift)
+        e = F.col(f"_e_{d}")
+        move = e["slope"] * (F.col(d).cast("double") - e["center"])
+        shift = shift + F.coalesce(move, F.lit(0.0))
+    rows = rows.join(wide, [KEY, "target"], "left").withColumn("_shift", shift)
     return rows.select(*ids, "target", *[(F.col(n) + F.col("_shift")).alias(n) for n in NAMES])
 
 

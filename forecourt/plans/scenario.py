@@ -36,6 +36,10 @@ def future_frame(df: DataFrame, start: str, n_hours: int = roles.HORIZON_HOURS)
     past = df.where(F.col("timestamp") < moment(start))
     own = set(CALENDAR + FLAGS + ["timestamp", KEY, "time_idx", *roles.TARGETS])
     rest = [c for c in df.columns if c not in own]
+    seasonal = "season" in df.columns
+    if seasonal:
+        past = past.withColumn("_season", F.col("season"))
+        rest = [*rest, "_season"]
     template = (
         past.groupBy(KEY, F.hour("timestamp").alias("hour"))
         .agg(F.max_by(F.struct(*rest), "timestamp").alias("_row"))
@@ -51,9 +55,11 @@ def future_frame(df: DataFrame, start: str, n_hours: int = roles.HORIZON_HOURS)
     dated = with_calendar_flags(dated.withColumnRenamed("_day", "day"))
     dated = dated.withColumn("is_shop_open", shop_open(F.col("hour")))
     dated = with_holiday(dated, holiday_calendar(df))
-    if "season" in df.columns:
+    if seasonal:
         dated = with_season_code(dated, first_by_month(df, "season"))
     out = dated.join(template, [KEY, "hour"], "left")
+    if seasonal:
+        out = out.withColumn("season", F.coalesce("season", "_season")).drop("_season")
     return out.withColumns({t: F.lit(0.0) for t in present(df, roles.TARGETS)})
 
 

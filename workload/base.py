@@ -2,6 +2,7 @@
 
 from forecourt.operators.features import load_hub, with_sales
 from forecourt.operators.series import split_of, with_time_idx
+from forecourt.sources import scratch
 from forecourt.sources import standins as s
 
 
@@ -13,6 +14,11 @@ def merged(spark, folder):
     return s.merged(spark, folder)
 
 
+def merged_table(spark, folder):
+    """Merged facts, written once for plans that read them several times."""
+    return scratch.materialise(merged(spark, folder), "merged")
+
+
 def hub(spark, folder):
     return with_sales(load_hub(merged(spark, folder)))
 

@@ -136,7 +136,7 @@ def _prepared_sql():
 
 
 def prepared(spark, folder):
-    return prepare.prepare(base.merged(spark, folder), standins.TRAIN_END, standins.VAL_END)
+    return prepare.prepare(base.merged_table(spark, folder), standins.TRAIN_END, standins.VAL_END)
 
 
 @query("prepared_table", _prepared_sql())
