@@ -11,11 +11,8 @@ def col(c) -> Column:
 
 
 def row_sum(cols: Sequence) -> Column:
-    """Sum over columns of one row; nulls count as zero."""
-    total = F.lit(0.0)
-    for c in cols:
-        total = total + F.coalesce(col(c).cast("double"), F.lit(0.0))
-    return total
+    """Sum over columns of one row, by name; nulls count as zero."""
+    return F.expr(" + ".join(["0.0D", *[f"coalesce(CAST(`{c}` AS DOUBLE), 0.0D)" for c in cols]]))
 
 
 def ratio(top, bottom) -> Column:

@@ -18,5 +18,7 @@ def build_session(name: str = "forecourt", cores: str | None = None) -> SparkSes
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.log.level", "ERROR")
+        # Call sites of column expressions are costly to record for wide tables.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )

@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt import roles
-from forecourt.functions.calendar import with_calendar, with_calendar_flags, with_season
-from forecourt.functions.expressions import hour_start
 from forecourt.operators.joins import merge_metadata
 from forecourt.operators.series import hourly_spine
 
@@ -33,6 +31,7 @@ TARGET_RANGES = {
     "shop_tobacco": (96, 99),
 }
 PRICE_OFFSETS = dict(zip(roles.GRADES, (0, 25, 70, 22, 40, 18, 35), strict=True))
+EVENT_TYPES = ["view", "click", "signup", "purchase", "error"]
 HOLIDAYS = {(1, 1): "new_year", (1, 2): "new_year", (1, 7): "christmas"}
 TRAIN_END = "2024-01-24 23:00:00"
 VAL_END = "2024-01-27 23:00:00"
@@ -40,173 +39,183 @@ TEST_START = "2024-01-28 00:00:00"
 TEST_END = "2024-01-30 23:00:00"
 
 
+_SCHEMAS = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A test table; its footer is read once per process."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def station_of(account: str):
     return F.expr(f"{account} DIV {ACCOUNTS_PER_STATION}")
 
 
-def _holiday_columns(df: DataFrame) -> DataFrame:
-    m, d = F.month("timestamp"), F.dayofmonth("timestamp")
-    name = F.lit(None).cast("string")
-    for (month, day), text in HOLIDAYS.items():
-        name = F.when((m == month) & (d == day), text).otherwise(name)
-    df = df.withColumn("holiday_name", name)
-    return df.withColumn("is_holiday", F.col("holiday_name").isNotNull().cast("int"))
+def cents(amount: str) -> str:
+    """An amount with two decimals as whole cents, which add up exactly."""
+    return f"CAST(rint({amount} * 100) AS BIGINT)"
 
 
-def _calendar_columns(df: DataFrame) -> DataFrame:
-    df = with_calendar_flags(with_calendar(df).drop("day", "date"))
-    return _holiday_columns(with_season(df))
+_HOUR = "ts - make_dt_interval(0, 0, minute(ts), extract(SECOND FROM ts))"
+_NAME = "concat('Station-', lpad(CAST(station_id AS STRING), 6, '0'))"
+_HOLIDAY = (
+    "CASE "
+    + " ".join(
+        f"WHEN month(timestamp) = {m} AND dayofmonth(timestamp) = {d} THEN '{text}'"
+        for (m, d), text in HOLIDAYS.items()
+    )
+    + " END"
+)
+CALENDAR = [
+    "hour(timestamp) AS hour",
+    "weekday(timestamp) AS day_of_week",
+    "weekofyear(timestamp) AS week_of_year",
+    "month(timestamp) AS month",
+    "quarter(timestamp) AS quarter",
+    "CASE WHEN month(timestamp) IN (12, 1, 2) THEN 'winter' WHEN month(timestamp) IN (3, 4, 5) THEN 'spring' "
+    "WHEN month(timestamp) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season",
+    "date_format(timestamp, 'EEEE') AS day_name",
+    "CAST(weekday(timestamp) >= 5 AS INT) AS is_weekend",
+    "CAST(hour(timestamp) IN (7, 8, 9, 17, 18, 19) AS INT) AS is_rush_hour",
+    "CAST(hour(timestamp) < 6 OR hour(timestamp) >= 22 AS INT) AS is_night",
+    f"{_HOLIDAY} AS holiday_name",
+    f"CAST(({_HOLIDAY}) IS NOT NULL AS INT) AS is_holiday",
+]
+# Event behind each kind of traffic; purchases with an odd k count in the total only.
+TRAFFIC_EVENTS = [
+    "event_type = 'view'",
+    "event_type = 'click' AND value < 50",
+    "event_type = 'click' AND value >= 50",
+    "event_type = 'signup'",
+    "event_type = 'error'",
+    "event_type = 'purchase' AND k % 2 = 0",
+]
+
+
+def _sum(condition: str, x: str, out: str):
+    return F.expr(f"coalesce(sum(CASE WHEN {condition} THEN {x} END) / 100.0D, 0.0D) AS {out}")
+
+
+def _count(condition: str, out: str):
+    return F.expr(f"count(CASE WHEN {condition} THEN 1 END) AS {out}")
 
 
 def hourly_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """Hourly facts of all stations, without gaps."""
-    events = table(spark, folder, "events").select(
-        station_of("user_id").alias("station_id"),
-        hour_start("ts").alias("timestamp"),
+    """Hourly facts of all stations, without gaps.
+
+    The aggregate keeps numbers only, so that it hashes instead of sorting the events.
+    """
+    events = table(spark, folder, "events").selectExpr(
+        f"user_id DIV {ACCOUNTS_PER_STATION} AS station_id",
+        f"{_HOUR} AS timestamp",
         "event_id",
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        f"{cents('value')} AS cents",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
-    money = F.col("value").cast("decimal(18,2)")
-    kind, k, slot = F.col("event_type"), F.col("k"), F.col("event_id") % 10
-
-    def count_of(condition):
-        return F.count(F.when(condition, 1))
-
-    sales = [
-        F.coalesce(F.sum(F.when(k.between(lo, hi), money)).cast("double"), F.lit(0.0)).alias(t)
-        for t, (lo, hi) in TARGET_RANGES.items()
-    ]
-    traffic = [
-        count_of(kind == "view").alias("traffic_Passengers_cars"),
-        count_of((kind == "click") & (F.col("value") < 50)).alias("traffic_Truck_short"),
-        count_of((kind == "click") & (F.col("value") >= 50)).alias("traffic_Truck"),
-        count_of(kind == "signup").alias("traffic_Truck_long"),
-        count_of(kind == "error").alias("traffic_Transporter"),
-        count_of((kind == "purchase") & (k % 2 == 0)).alias("traffic_Undefined"),
-        F.count(F.lit(1)).alias("total_traffic"),
-    ]
-    promotions = [
-        F.max((slot == i).cast("int")).alias(p) for i, p in enumerate(roles.PROMOTIONS)
-    ]
-    advert = F.min_by("event_type", F.when(slot.between(3, 5), F.col("event_id")))
+    types = ", ".join(f"'{t}'" for t in EVENT_TYPES)
     busy = events.groupBy("station_id", "timestamp").agg(
-        *sales,
-        *traffic,
-        *promotions,
-        advert.alias("ad_channel"),
-        (F.sum("k") / F.count(F.lit(1))).alias("k_mean"),
-        F.min("k").alias("k_min"),
-        F.max("k").alias("k_max"),
+        *[_sum(f"k BETWEEN {lo} AND {hi}", "cents", t) for t, (lo, hi) in TARGET_RANGES.items()],
+        *[_count(c, t) for c, t in zip(TRAFFIC_EVENTS, roles.TRAFFIC, strict=True)],
+        F.expr("count(1) AS total_traffic"),
+        *[F.expr(f"max(CAST(event_id % 10 = {i} AS INT)) AS {p}") for i, p in enumerate(roles.PROMOTIONS)],
+        F.expr(
+            "min(CASE WHEN event_id % 10 BETWEEN 3 AND 5 "
+            f"THEN event_id * 8 + array_position(array({types}), event_type) END) AS advert"
+        ),
+        F.expr("sum(k) / count(1) AS k_mean"),
+        F.expr("min(k) AS k_min"),
+        F.expr("max(k) AS k_max"),
     )
     spans = events.groupBy("station_id").agg(
         F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts")
     )
     zero = list(TARGET_RANGES) + roles.TRAFFIC + ["total_traffic"] + roles.PROMOTIONS
-    df = hourly_spine(busy, zero_cols=zero, spans=spans)
-
-    mean = F.col("k_mean")
-    station = F.col("station_id")
-    price = {
-        f"price_{g}": (F.lit(480) + (station % 7) * 3 + off) / F.lit(10.0)
-        for g, off in PRICE_OFFSETS.items()
-    }
-    price["price_DT_TANEKO"] = F.when(station % 4 == 3, 0.0).otherwise(price["price_DT_TANEKO"])
-    rain, snow, fog = mean < 30, (mean >= 30) & (mean < 40), (mean >= 70) & (mean < 80)
-    df = df.withColumns(
-        {
-            "station_name": station_name(station),
-            "temperature": mean * 0.5 - 20.0,
-            "precipitation_mm": F.col("k_min") / F.lit(10.0),
-            "visibility_km": F.col("k_max") / F.lit(10.0),
-            "wind_speed_ms": (F.col("k_max") - F.col("k_min")) / F.lit(10.0),
-            "is_rain": F.coalesce(rain, F.lit(False)).cast("int"),
-            "is_snow": F.coalesce(snow, F.lit(False)).cast("int"),
-            "is_fog": F.coalesce(fog, F.lit(False)).cast("int"),
-            "weather_condition": F.when(rain, "rain")
-            .when(snow, "snow")
-            .when(fog, "fog")
-            .when(mean.isNotNull(), "clear"),
-            "ad_active": F.col("ad_channel").isNotNull().cast("int"),
-            "competitor_price_AI92": F.lit(50.0) + (mean - 50.0) / 25.0,
-            "competitor_price_AI95": F.lit(54.0) + (F.col("k_max") - 50.0) / 25.0,
-            "competitor_price_DT": F.lit(52.0) + (F.col("k_min") - 50.0) / 25.0,
-            **price,
-        }
-    ).drop("k_mean", "k_min", "k_max")
-    return _calendar_columns(df)
-
-
-def station_name(station):
-    return F.concat(F.lit("Station-"), F.lpad(station.cast("string"), 6, "0"))
-
-
-# Customer segment behind the pump count of the first five grades.
-PUMP_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    prices = []
+    for g, off in PRICE_OFFSETS.items():
+        price = f"(480 + (station_id % 7) * 3 + {off}) / 10.0D"
+        if g == "DT_TANEKO":
+            price = f"CASE WHEN station_id % 4 = 3 THEN 0.0D ELSE {price} END"
+        prices.append(f"{price} AS price_{g}")
+    return hourly_spine(busy, zero_cols=zero, spans=spans).selectExpr(
+        "station_id",
+        "timestamp",
+        *zero,
+        f"get(array({types}), CAST(advert % 8 - 1 AS INT)) AS ad_channel",
+        f"{_NAME} AS station_name",
+        "k_mean * 0.5D - 20.0D AS temperature",
+        "k_min / 10.0D AS precipitation_mm",
+        "k_max / 10.0D AS visibility_km",
+        "(k_max - k_min) / 10.0D AS wind_speed_ms",
+        "CAST(coalesce(k_mean < 30, false) AS INT) AS is_rain",
+        "CAST(coalesce(k_mean >= 30 AND k_mean < 40, false) AS INT) AS is_snow",
+        "CAST(coalesce(k_mean >= 70 AND k_mean < 80, false) AS INT) AS is_fog",
+        "CASE WHEN k_mean < 30 THEN 'rain' WHEN k_mean < 40 THEN 'snow' "
+        "WHEN k_mean >= 70 AND k_mean < 80 THEN 'fog' WHEN k_mean IS NOT NULL THEN 'clear' END AS weather_condition",
+        "CAST(advert IS NOT NULL AS INT) AS ad_active",
+        "50.0D + (k_mean - 50.0D) / 25.0D AS competitor_price_AI92",
+        "54.0D + (k_max - 50.0D) / 25.0D AS competitor_price_AI95",
+        "52.0D + (k_min - 50.0D) / 25.0D AS competitor_price_DT",
+        *prices,
+        *CALENDAR,
+    )
+
+
+# Customer segment behind the pump count of the first five grades, in name order.
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
 def passport(spark: SparkSession, folder: str) -> DataFrame:
-    """One row of attributes per station."""
+    """One row of attributes per station, from one pass over the accounts."""
     # nation and region are fixed lists of 25 and 5 rows.
-    places = (
-        table(spark, folder, "nation")
-        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", "n_regionkey", "r_name")
-    )
-    accounts = (
-        table(spark, folder, "customer")
-        .join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("station_id", station_of("c_custkey"))
+    regions = F.broadcast(table(spark, folder, "region"))
+    nations = F.broadcast(table(spark, folder, "nation").select("n_nationkey", "n_regionkey"))
+    accounts = table(spark, folder, "customer").join(nations, F.expr("c_nationkey = n_nationkey"))
+    conditions = [f"c_mktsegment = '{s}'" for s in SEGMENTS]
+    conditions += ["c_nationkey % 2 = 0", "c_nationkey % 3 = 0"]
+    stations = accounts.groupBy(station_of("c_custkey").alias("station_id")).agg(
+        F.expr("CAST(min(c_custkey * 8 + n_regionkey) % 8 AS INT) AS r_regionkey"),
+        F.expr(f"sum({cents('c_acctbal')}) AS cents"),
+        F.expr("count(1) AS n"),
+        F.expr("CAST(bit_count(bit_or(shiftleft(1L, c_nationkey))) * 10 + 50 AS INT) AS shop_area_m2"),
+        F.expr("CAST(bit_count(bit_or(shiftleft(1L, n_regionkey))) AS INT) AS competitors_within_5km"),
+        *[_count(c, p) for c, p in zip(conditions, roles.PUMPS, strict=True)],
+        *[
+            F.expr(f"max(CAST(c_nationkey = {i + 1} AS INT)) AS {s}")
+            for i, s in enumerate(roles.SERVICES[:4])
+        ],
     )
-    cents = F.round(F.col("c_acctbal") * 100).cast("long")
-    segments = accounts.groupBy("station_id", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
-    road = segments.groupBy("station_id").agg(
-        F.min_by("c_mktsegment", F.struct(-F.col("n"), "c_mktsegment")).alias("road_type")
+    most = f"greatest({', '.join(roles.PUMPS[:5])})"
+    road = " ".join(
+        f"WHEN {p} = {most} THEN '{s}'" for s, p in zip(SEGMENTS, roles.PUMPS, strict=False)
     )
-
-    def count_of(condition):
-        return F.count(F.when(condition, 1)).cast("int")
-
-    nation = F.col("c_nationkey")
-    pumps = [
-        count_of(F.col("c_mktsegment") == s).alias(p)
-        for s, p in zip(PUMP_SEGMENTS, roles.PUMPS, strict=False)
-    ] + [count_of(nation % 2 == 0).alias(roles.PUMPS[5]), count_of(nation % 3 == 0).alias(roles.PUMPS[6])]
-    services = [
-        F.max((nation == i + 1).cast("int")).alias(s) for i, s in enumerate(roles.SERVICES[:4])
+    mark = "pmod(cents, 500)"
+    bases = [
+        f"({480 + off} + pmod({mark}, 40)) / 10.0D AS base_price_{g}" for g, off in PRICE_OFFSETS.items()
     ]
-    stations = accounts.groupBy("station_id").agg(
-        F.min_by("r_name", "c_custkey").alias("direction"),
-        F.sum(cents).alias("cents"),
-        F.count(F.lit(1)).alias("n"),
-        (F.count_distinct("c_nationkey") * 10 + 50).cast("int").alias("shop_area_m2"),
-        F.count_distinct("n_regionkey").cast("int").alias("competitors_within_5km"),
-        *pumps,
-        *services,
+    return stations.join(regions, "r_regionkey").selectExpr(
+        "station_id",
+        f"{_NAME} AS station_name",
+        f"CASE {road} END AS road_type",
+        "r_name AS direction",
+        "CASE WHEN cents / n < 400000 THEN 'village' WHEN cents / n < 500000 THEN 'town' ELSE 'city' END AS settlement_size",
+        f"{mark} / 10.0D AS distance_to_city_km",
+        *[f"CAST({p} AS INT) AS {p}" for p in roles.PUMPS],
+        f"CAST({' + '.join(roles.PUMPS)} AS INT) AS total_pumps",
+        "shop_area_m2",
+        *roles.SERVICES[:4],
+        "1 AS has_shop",
+        "competitors_within_5km",
+        *bases,
+        f"50.0D + {mark} / 10.0D AS customer_loyalty_score",
+        f"50.0D + pmod({mark} * 3, 500) / 10.0D AS staff_quality_score",
+        f"pmod({mark}, 50) / 100.0D AS corporate_customer_ratio",
+        f"50.0D + pmod({mark} * 7, 500) / 10.0D AS staff_engagement_score",
     )
-    mark = F.pmod(F.col("cents"), F.lit(500))
-    mean = F.col("cents") / F.col("n")
-    columns = {
-        "station_name": station_name(F.col("station_id")),
-        "settlement_size": F.when(mean < 400000, "village")
-        .when(mean < 500000, "town")
-        .otherwise("city"),
-        "distance_to_city_km": mark / F.lit(10.0),
-        "total_pumps": sum((F.col(p) for p in roles.PUMPS[1:]), F.col(roles.PUMPS[0])),
-        "has_shop": F.lit(1),
-        "customer_loyalty_score": F.lit(50.0) + mark / F.lit(10.0),
-        "staff_quality_score": F.lit(50.0) + F.pmod(mark * 3, F.lit(500)) / F.lit(10.0),
-        "staff_engagement_score": F.lit(50.0) + F.pmod(mark * 7, F.lit(500)) / F.lit(10.0),
-        "corporate_customer_ratio": F.pmod(mark, F.lit(50)) / F.lit(100.0),
-    }
-    for g, off in PRICE_OFFSETS.items():
-        columns[f"base_price_{g}"] = (F.lit(480 + off) + F.pmod(mark, F.lit(40))) / F.lit(10.0)
-    return stations.join(road, "station_id").withColumns(columns).drop("cents", "n")
 
 
 def merged(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,52 +224,44 @@ def merged(spark: SparkSession, folder: str) -> DataFrame:
 
 def daily_facts(spark: SparkSession, folder: str) -> DataFrame:
     """Daily facts over several years; a supplier is a station."""
-    lines = table(spark, folder, "lineitem")
-    flow = F.concat("l_returnflag", "l_linestatus")
-    flows = dict(zip(roles.TRAFFIC, ("AF", "AO", "NF", "NO", "RF", "RO"), strict=True))
-    off = F.round(F.col("l_discount") * 100).cast("int")
-    tax = F.round(F.col("l_tax") * 100).cast("int")
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    amount = F.col("l_quantity").cast("decimal(18,2)")
-
-    def total(condition, x):
-        return F.coalesce(F.sum(F.when(condition, x)).cast("double"), F.lit(0.0))
-
-    days = lines.groupBy(
-        F.col("l_suppkey").alias("station_id"), F.col("l_shipdate").alias("timestamp")
-    ).agg(
-        *[
-            total(F.col("l_linenumber") == i + 1, price).alias(t)
-            for i, t in enumerate(roles.FUEL_TARGETS)
-        ],
-        *[total(off % 5 == i, amount).alias(t) for i, t in enumerate(roles.SHOP_TARGETS)],
-        *[F.count(F.when(flow == code, 1)).alias(t) for t, code in flows.items()],
-        F.count(F.lit(1)).alias("total_traffic"),
-        *[
-            F.max(tax.isin(values).cast("int")).alias(p)
-            for p, values in zip(roles.PROMOTIONS, ([7, 8], [5, 6], [0, 1]), strict=True)
-        ],
+    flows = zip(("AF", "AO", "NF", "NO", "RF", "RO"), roles.TRAFFIC, strict=True)
+    taxes = zip(("7, 8", "5, 6", "0, 1"), roles.PROMOTIONS, strict=True)
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "l_suppkey AS station_id",
+        "l_shipdate AS timestamp",
+        "l_linenumber",
+        "l_returnflag",
+        "l_linestatus",
+        f"{cents('l_extendedprice')} AS price",
+        f"{cents('l_quantity')} AS amount",
+        f"{cents('l_discount')} AS off",
+        f"{cents('l_tax')} AS tax",
+    )
+    days = lines.groupBy("station_id", "timestamp").agg(
+        *[_sum(f"l_linenumber = {i + 1}", "price", t) for i, t in enumerate(roles.FUEL_TARGETS)],
+        *[_sum(f"off % 5 = {i}", "amount", t) for i, t in enumerate(roles.SHOP_TARGETS)],
+        *[_count(f"l_returnflag = '{f[0]}' AND l_linestatus = '{f[1]}'", t) for f, t in flows],
+        F.expr("count(1) AS total_traffic"),
+        *[F.expr(f"max(CAST(tax IN ({v}) AS INT)) AS {p}") for v, p in taxes],
     )
     places = (
         table(spark, folder, "nation")
-        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(F.broadcast(table(spark, folder, "region")), F.expr("n_regionkey = r_regionkey"))
         .select("n_nationkey", "n_name", "r_name")
     )
     stations = (
         table(spark, folder, "supplier")
-        .join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").alias("station_id"),
-            F.col("s_name").alias("station_name"),
-            F.col("r_name").alias("road_type"),
-            F.col("n_name").alias("settlement_size"),
-            (F.col("s_nationkey") % 3).cast("string").alias("direction"),
-            (F.round(F.col("s_acctbal") * 100).cast("long") / F.lit(10000.0)).alias(
-                "distance_to_city_km"
-            ),
+        .join(F.broadcast(places), F.expr("s_nationkey = n_nationkey"))
+        .selectExpr(
+            "s_suppkey AS station_id",
+            "s_name AS station_name",
+            "r_name AS road_type",
+            "n_name AS settlement_size",
+            "CAST(s_nationkey % 3 AS STRING) AS direction",
+            f"{cents('s_acctbal')} / 10000.0D AS distance_to_city_km",
         )
     )
-    return _calendar_columns(days.join(stations, "station_id", "left"))
+    return days.join(stations, "station_id", "left").selectExpr("*", *CALENDAR)
 
 
 def training_scalars(spark: SparkSession, folder: str) -> DataFrame:

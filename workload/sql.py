@@ -120,7 +120,7 @@ facts AS (
   FROM spine LEFT JOIN busy USING (station_id, timestamp))
 """
 
-_PUMPS = [f"count(CASE WHEN c_mktsegment = '{g}' THEN 1 END)" for g in s.PUMP_SEGMENTS] + [
+_PUMPS = [f"count(CASE WHEN c_mktsegment = '{g}' THEN 1 END)" for g in s.SEGMENTS] + [
     "count(CASE WHEN c_nationkey % 2 = 0 THEN 1 END)",
     "count(CASE WHEN c_nationkey % 3 = 0 THEN 1 END)",
 ]
