@@ -160,8 +160,9 @@ def skew_table(df: DataFrame, targets: list[str]) -> DataFrame:
 
 
 def _bin(x, lo, hi, bins: int):
-    place = F.floor(F.try_divide((x - lo) * bins, hi - lo)).cast("int")
-    return F.when(x.isNotNull(), F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)))
+    # A column without spread fills the first bin.
+    place = F.coalesce(F.floor(F.try_divide((x - lo) * bins, hi - lo)).cast("int"), F.lit(0))
+    return F.least(place, F.lit(bins - 1))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
