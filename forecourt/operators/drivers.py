@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from forecourt import roles
 from forecourt.functions import labels
 from forecourt.operators.features import present, to_long
-from forecourt.operators.overview import flag_means, group, group_long
+from forecourt.operators.overview import flag_means, group, group_long, with_overall
 
 
 def by_weather(df: DataFrame) -> DataFrame:
@@ -20,11 +20,9 @@ def weather_flag_effect(df: DataFrame) -> DataFrame:
 
 def by_ad_channel(df: DataFrame, none: str = roles.NO_ADVERT) -> DataFrame:
     """Mean by channel, best first, beside the mean of hours without advertising (0 if none)."""
-    sums = df.where(F.col("ad_channel").isNotNull()).groupBy("ad_channel").agg(
-        F.avg("total_sales").alias("total_sales")
-    )
-    quiet = sums.where(F.col("ad_channel") == none).agg(F.coalesce(F.max("total_sales"), F.lit(0.0)))
-    out = sums.withColumn("no_ad_sales", quiet.scalar())
+    means = group(df, ["ad_channel"], ["total_sales"])
+    quiet = F.max(F.when(F.col("ad_channel") == none, F.col("total_sales")))
+    out = with_overall(means, no_ad_sales=F.coalesce(quiet, F.lit(0.0)))
     return out.orderBy(F.desc("total_sales"), "ad_channel")
 
 

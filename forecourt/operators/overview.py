@@ -28,37 +28,56 @@ def group_long(df, keys, names, cols, var, val, how=F.avg) -> DataFrame:
     return to_long(group(df, keys, cols, how), names, cols, var, val)
 
 
+def with_overall(small: DataFrame, **aggregates) -> DataFrame:
+    """Aggregates over a result of few rows, beside each row, without computing it twice.
+
+    Only for results whose length the calendar or a list of columns bounds.
+    """
+    rows = F.collect_list(F.struct(*small.columns)).alias("_rows")
+    one = small.agg(rows, *[a.alias(n) for n, a in aggregates.items()])
+    return one.select(F.explode("_rows").alias("_row"), *aggregates).select("_row.*", *aggregates)
+
+
 def kpis(hub: DataFrame) -> DataFrame:
-    """Fuel and shop totals, mean traffic, stations and the month that sells most."""
-    cells = hub.groupBy("month", STATION).agg(
+    """Fuel and shop totals, mean traffic, stations and the month that sells most.
+
+    One row per station first, with its twelve months side by side.
+    """
+    months = [f"m{m}" for m in range(1, 13)]
+    stations = hub.groupBy(STATION).agg(
         F.sum("total_sales").alias("fuel"),
         F.sum("total_shop_sales").alias("shop"),
         F.sum("total_traffic").alias("traffic"),
         F.count("total_traffic").alias("n"),
+        *[F.expr(f"sum(CASE WHEN month = {m[1:]} THEN total_sales END) AS {m}") for m in months],
     )
-    months = cells.groupBy("month").agg(F.sum("fuel").alias("fuel"))
-    peak = months.agg(arg_max("month", "fuel")).scalar()
-    return cells.agg(
+    totals = stations.agg(
         F.sum("fuel").alias("fuel_total"),
         F.sum("shop").alias("shop_total"),
         (F.sum("traffic") / F.sum("n")).alias("mean_traffic"),
-        F.count_distinct(STATION).alias("n_stations"),
-    ).withColumn("peak_month", peak)
+        F.count(STATION).alias("n_stations"),
+        *[F.sum(m).alias(m) for m in months],
+    )
+    peak = F.array_position(F.array(*months), F.greatest(*months)).cast("int")
+    return totals.withColumn("peak_month", peak).drop(*months)
+
+
+def flag_peak(profile: DataFrame, key: str, value: str) -> DataFrame:
+    """Marks the row with the largest value; the smallest key on ties."""
+    out = with_overall(profile, _peak=arg_max(key, value))
+    return out.withColumn("is_peak", (F.col(key) == F.col("_peak")).cast("int")).drop("_peak")
 
 
 def monthly_sales(hub: DataFrame) -> DataFrame:
-    months = group(hub, ["month"], ["total_sales"], F.sum)
-    best = months.agg(arg_max("month", "total_sales")).scalar()
-    months = months.withColumn("is_peak", (F.col("month") == best).cast("int"))
+    months = flag_peak(group(hub, ["month"], ["total_sales"], F.sum), "month", "total_sales")
     return labels.with_label(months, "month", labels.MONTH_SHORT)
 
 
 def mix(hub: DataFrame, cols: list[str], how, names: dict) -> DataFrame:
     """One aggregate per column and its share of their sum."""
     row = hub.agg(*[how(c).cast("double").alias(c) for c in cols])
-    parts = row.unpivot([], cols, "target", "value")
-    whole = parts.agg(F.sum("value")).scalar()
-    parts = parts.withColumn("share", F.try_divide("value", whole))
+    parts = with_overall(row.unpivot([], cols, "target", "value"), _whole=F.sum("value"))
+    parts = parts.withColumn("share", F.try_divide("value", "_whole")).drop("_whole")
     return labels.with_label(parts, "target", names)
 
 
@@ -96,8 +115,7 @@ def shop_by_hour(hub: DataFrame) -> DataFrame:
 
 def hour_profile(hub: DataFrame) -> DataFrame:
     profile = group(hub, [F.hour("timestamp").alias("hour")], ["total_sales"])
-    best = profile.agg(arg_max("hour", "total_sales")).scalar()
-    return profile.withColumn("is_peak", (F.col("hour") == best).cast("int"))
+    return flag_peak(profile, "hour", "total_sales")
 
 
 def dow_profile(hub: DataFrame) -> DataFrame:

@@ -65,24 +65,31 @@ def column_names(df: DataFrame, descriptions: dict[str, str] | None = None) -> D
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def column_profile(df: DataFrame, order: list[str] = ("timestamp", "station_id")) -> DataFrame:
+def column_profile(
+    df: DataFrame, order: list[str] = ("timestamp", "station_id"), approximate: bool = False
+) -> DataFrame:
     """Type, distinct values, nulls and range of each column.
 
-    Numbers and times show minimum and maximum, text its first three values.
+    Numbers and times show minimum and maximum, text its first three values. With
+    ``approximate`` the distinct values of numbers and times are estimated, which spares
+    the shuffle of all their values.
     """
     cols = df.columns
     texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    listed = [c for c in cols if c in texts or not approximate]
+    none = F.lit(None).cast("long")
     cells = [
         F.struct(
             F.lit(c).alias("column"),
             F.count(F.when(F.col(c).isNull(), 1)).alias("n_null"),
             F.min(c).cast("string").alias("low"),
             F.max(c).cast("string").alias("high"),
+            (none if c in listed else F.approx_count_distinct(c)).alias("n_about"),
         )
         for c in cols
     ]
     ranges = df.agg(F.array(*cells).alias("a")).select(F.inline("a"))
-    found = first_values(value_counts(df, cols, list(order)))
+    found = first_values(value_counts(df, listed, list(order)))
     shown = F.concat_ws(", ", F.transform("examples", lambda v: F.substring(v, 1, 22)))
     more = F.when(F.col("n_distinct") > 3, F.concat(shown, F.lit(", ..."))).otherwise(shown)
     span = F.concat(F.lit("["), "low", F.lit(", "), "high", F.lit("]"))
@@ -91,7 +98,7 @@ def column_profile(df: DataFrame, order: list[str] = ("timestamp", "station_id")
         "position",
         "column",
         "dtype",
-        F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
+        F.coalesce("n_distinct", "n_about", F.lit(0)).alias("n_distinct"),
         "n_null",
         F.when(F.col("column").isin(*texts), more).otherwise(span).alias("span") if texts else span.alias("span"),
     )

@@ -1,8 +1,9 @@
 """Exact quantiles of columns too long for one task.
 
 A sketch of each column first gives a narrow bracket around every wanted rank. One
-more pass counts the rows under the bracket and the distinct values inside it; only
-those few values are sorted.
+more pass counts the rows under the bracket and the distinct values inside it. The
+bracket is cut into slices of equal width; running totals over the slices are few, and
+only inside a slice are values sorted.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -12,6 +13,7 @@ from forecourt.sources import scratch
 
 ACCURACY = 10_000
 SMALL = 20_000
+SLICES = 1_000
 
 
 def exact_quantiles(
@@ -63,15 +65,24 @@ def exact_quantiles(
         joined = long.withColumn("_b", table[F.col("column")]).select("column", "x", "_b.*")
 
     under = F.filter("pairs", lambda p: F.col("x") <= p["hi"])
-    rows = joined.select(*keys, "n", "x", F.explode(under).alias("p"))
-    rows = rows.select(
-        *keys, "n", F.col("p.prob").alias("prob"), F.when(F.col("x") >= F.col("p.lo"), F.col("x")).alias("x")
+    rows = joined.select(*keys, "n", "x", F.explode(under).alias("p")).select(*keys, "n", "x", "p.*")
+    # Values under the bracket only count; they make slice -1.
+    width = F.try_divide((F.col("x") - F.col("lo")) * SLICES, F.col("hi") - F.col("lo"))
+    inside = F.col("x") >= F.col("lo")
+    rows = rows.withColumns(
+        {
+            "slice": F.when(inside, F.coalesce(F.floor(width), F.lit(0))).otherwise(F.lit(-1)).cast("int"),
+            "x": F.when(inside, F.col("x")),
+        }
     )
     group = [*keys, "prob", "n"]
-    counts = rows.groupBy(*group, "x").agg(F.count(F.lit(1)).alias("m"))
-    order = Window.partitionBy(*group).orderBy(F.col("x").asc_nulls_first())
+    counts = rows.groupBy(*group, "slice", "x").agg(F.count(F.lit(1)).alias("m"))
+    slices = counts.groupBy(*group, "slice").agg(F.sum("m").alias("in_slice"))
+    along = Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumn("before", F.coalesce(F.sum("in_slice").over(along), F.lit(0)))
+    order = Window.partitionBy(*group, "slice").orderBy(F.col("x").asc_nulls_first())
     upto = F.sum("m").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("upto", upto)
+    ranked = counts.join(slices, [*group, "slice"]).withColumn("upto", F.col("before") + upto)
     at = (F.col("n") - 1) * F.col("prob")
     left = F.floor(at)
     right = F.least(left + 1, F.col("n") - 1)

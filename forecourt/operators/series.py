@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from forecourt import roles
 from forecourt.functions.expressions import hours, moment
-from forecourt.operators.joins import expand_horizon
+from forecourt.operators.overview import with_overall
 
 KEY, TS, IDX = "station_id", "timestamp", "time_idx"
 RUN_HOURS = 672
@@ -184,14 +184,15 @@ def split_of(ts, train_end: str = roles.TRAIN_END, val_end: str = roles.VAL_END)
 
 def split_report(df: DataFrame) -> DataFrame:
     """Rows, period, share and number of sample windows of each split."""
-    total = df.agg(F.count(F.lit(1))).scalar()
     enough = F.col(IDX) >= roles.MIN_ENCODER_HOURS
-    return df.groupBy("split").agg(
+    splits = df.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min(TS).alias("first_ts"),
         F.max(TS).alias("last_ts"),
         F.count(F.when(enough, 1)).alias("n_windows"),
-    ).withColumn("share_pct", F.col("n_rows") * 100 / total)
+    )
+    out = with_overall(splits, _total=F.sum("n_rows"))
+    return out.withColumn("share_pct", F.col("n_rows") * 100 / F.col("_total")).drop("_total")
 
 
 def shortest_horizon(pred: DataFrame, keys: tuple = (KEY, TS)) -> DataFrame:

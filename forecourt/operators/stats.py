@@ -71,14 +71,21 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int | None = 2) -> DataF
     )
 
 
-def corr_block(df: DataFrame, rows: list[str], cols: list[str]) -> DataFrame:
-    """Correlations of some columns with some others, in one aggregate."""
+def corr_block(df: DataFrame, rows: list[str], cols: list[str], most_cells: int = 20) -> DataFrame:
+    """Correlations of some columns with some others.
+
+    A few cells fit one aggregate; more of them come faster from the matrix.
+    """
+    rows, cols = present(df, rows), present(df, cols)
+    if len(rows) * len(cols) > most_cells:
+        matrix = corr_matrix(df, list(dict.fromkeys(rows + cols)), None)
+        return matrix.where(F.col("row_name").isin(rows) & F.col("col_name").isin(cols))
     cells = [
         F.struct(
             F.lit(a).alias("row_name"), F.lit(b).alias("col_name"), correlation(a, b).alias("r")
         )
-        for a in present(df, rows)
-        for b in present(df, cols)
+        for a in rows
+        for b in cols
     ]
     return df.agg(F.array(*cells).alias("a")).select(F.inline("a"))
 

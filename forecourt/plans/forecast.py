@@ -101,9 +101,13 @@ def rolling_origin(
     targets: list[str] = roles.TARGETS,
     horizon: int = roles.HORIZON_HOURS,
     persistence: float = 0.5,
+    nearest: bool = False,
 ) -> DataFrame:
     """Forecasts of 1 to ``horizon`` hours from each origin, in log units.
 
+    ``nearest`` keeps one origin per hour, the last before it, ahead of all joins. An
+    assembled prediction table needs no more than that.
+
     The error of the last hour before the origin carries over and fades by
     ``persistence`` per hour. Only rows before the origin are used.
     """
@@ -121,6 +125,8 @@ def rolling_origin(
         horizon,
     )
     steps = steps.withColumn("timestamp", F.col("origin_ts") + hours(F.col("horizon_h") - 1))
+    if nearest:
+        steps = shortest_horizon(steps)
     steps = steps.withColumns(
         {"hour": F.hour("timestamp"), "is_weekend": (F.weekday("timestamp") >= 5).cast("int")}
     )

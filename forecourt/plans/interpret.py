@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from forecourt import roles
 from forecourt.functions.expressions import correlation
 from forecourt.operators.filters import context_slice
+from forecourt.operators.overview import with_overall
 from forecourt.operators.series import IDX, KEY, overlapping_runs, run_window
 
 
@@ -14,13 +15,10 @@ def importance(strengths: DataFrame, k: int = 20) -> DataFrame:
 
     ``strengths`` has one row per factor: (factor, strength).
     """
-    total = strengths.agg(F.sum(F.abs("strength"))).scalar()
-    shares = strengths.select(
-        "factor", F.try_divide(F.abs("strength") * 100, total).alias("share_pct")
-    )
-    best = shares.orderBy(F.desc_nulls_last("share_pct"), "factor").limit(k)
-    covered = best.agg(F.sum("share_pct")).scalar()
-    return best.withColumn("covered_pct", covered)
+    known = with_overall(strengths.select("factor", "strength"), _total=F.sum(F.abs("strength")))
+    share = F.try_divide(F.abs("strength") * 100, "_total").alias("share_pct")
+    best = known.select("factor", share).orderBy(F.desc_nulls_last("share_pct"), "factor").limit(k)
+    return with_overall(best, covered_pct=F.sum("share_pct"))
 
 
 def lag_profile(

@@ -126,6 +126,8 @@ def test_profile_and_catalog(spark):
     got = {r.column: r for r in quality.column_profile(df, ["timestamp"]).collect()}
     assert (got["kind"].span, got["kind"].n_distinct) == ("b, a, c, ...", 4)
     assert (got["v"].span, got["v"].n_null) == ("[1.5, 2.5]", 1)
+    about = {r.column: r.n_distinct for r in quality.column_profile(df, ["timestamp"], True).collect()}
+    assert about == {"timestamp": 5, "kind": 4, "v": 2}
     cat = {r.column: r for r in quality.column_catalog(df, {"kind": "a kind"}, order=["timestamp"]).collect()}
     assert (cat["kind"].description, cat["v"].examples, cat["v"].position) == ("a kind", "1.5, 2.5", 3)
 

@@ -37,3 +37,12 @@ def train_rows(df):
 
 def indexed(df):
     return with_time_idx(df)
+
+
+def daily_table(spark, folder):
+    """The daily hub, written once for plans that read it several times."""
+    return scratch.materialise(daily(spark, folder), "daily")
+
+
+def hub_table(spark, folder):
+    return scratch.materialise(hub(spark, folder), "hub")

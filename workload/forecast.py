@@ -69,7 +69,7 @@ def test_origins(df):
 def raw_forecasts(spark, folder):
     df = scratch.materialise(facts(spark, folder), "facts")
     model = scratch.materialise(fc.fit_seasonal(base.train_rows(df)), "model")
-    return fc.rolling_origin(model, df, test_origins(df)), df
+    return fc.rolling_origin(model, df, test_origins(df), nearest=True), df
 
 
 def predictions(spark, folder):

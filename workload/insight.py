@@ -49,7 +49,7 @@ def _strengths():
 )
 def factor_importance(spark, folder):
     strengths = stats.rank_factors(base.hub(spark, folder), roles.FACTORS)
-    return rounded(interpret.importance(scratch.materialise(strengths, "strengths"), 10))
+    return rounded(interpret.importance(strengths, 10))
 
 
 @query("model_importance")

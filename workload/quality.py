@@ -61,7 +61,7 @@ def _profile():
 
 @query("column_profile", _profile())
 def column_profile(spark, folder):
-    return quality.column_profile(base.merged(spark, folder).select(*PROFILED))
+    return quality.column_profile(base.merged_table(spark, folder).select(*PROFILED))
 
 
 CATALOG = ["timestamp", "station_id", "station_name", "total_traffic", "hour", "ad_channel", "weather_condition", "is_rain", "season", "day_name"]
@@ -79,7 +79,7 @@ DESCRIPTIONS = {"timestamp": "hour of the row", "station_id": "station key", "ad
     ),
 )
 def column_catalog(spark, folder):
-    return quality.column_catalog(base.merged(spark, folder).select(*CATALOG), DESCRIPTIONS)
+    return quality.column_catalog(base.merged_table(spark, folder).select(*CATALOG), DESCRIPTIONS)
 
 
 TOTALS = {

@@ -2,6 +2,7 @@
 
 from forecourt import roles
 from forecourt.operators import stats as st
+from forecourt.sources import scratch
 from workload import base, sql
 from workload.registry import query, rounded
 
@@ -35,7 +36,7 @@ def block_sql(rows, cols, digits=6, source="hub", make=sql.hub):
 @query("corr_matrix", matrix_sql(roles.FUEL_TARGETS + roles.FACTORS))
 def corr_matrix(spark, folder):
     """All fuels and factors, pairwise complete: 24 columns."""
-    return st.corr_matrix(base.hub(spark, folder), roles.FUEL_TARGETS + roles.FACTORS, 4)
+    return st.corr_matrix(base.hub_table(spark, folder), roles.FUEL_TARGETS + roles.FACTORS, 4)
 
 
 _DAILY = ["sales_AI92", "sales_AI95", "shop_coffee", "total_traffic", "distance_to_city_km", "promotion_fuel_active", "is_weekend", "month"]
@@ -43,7 +44,7 @@ _DAILY = ["sales_AI92", "sales_AI95", "shop_coffee", "total_traffic", "distance_
 
 @query("corr_matrix_daily", matrix_sql(_DAILY, "daily", sql.daily))
 def corr_matrix_daily(spark, folder):
-    return st.corr_matrix(base.daily(spark, folder), _DAILY, 4)
+    return st.corr_matrix(base.daily_table(spark, folder), _DAILY, 4)
 
 
 @query("corr_traffic_fuels", block_sql(roles.TRAFFIC, roles.FUEL_TARGETS))
@@ -216,12 +217,12 @@ def box_sql(column, by, source, make, digits=6):
 
 @query("box_stats", box_sql("total_sales", "station_name", "hub", sql.hub))
 def box_stats(spark, folder):
-    return rounded(st.box_stats(base.hub(spark, folder), "total_sales"))
+    return rounded(st.box_stats(base.hub_table(spark, folder), "total_sales"))
 
 
 @query("box_stats_daily", box_sql("total_sales", "road_type", "daily", sql.daily))
 def box_stats_daily(spark, folder):
-    return rounded(st.box_stats(base.daily(spark, folder), "total_sales", "road_type"))
+    return rounded(st.box_stats(base.daily_table(spark, folder), "total_sales", "road_type"))
 
 
 @query(
@@ -234,7 +235,7 @@ def box_stats_daily(spark, folder):
     ),
 )
 def density_by_station(spark, folder):
-    return rounded(st.density(base.hub(spark, folder), "total_sales"))
+    return rounded(st.density(base.hub_table(spark, folder), "total_sales"))
 
 
 OUTLIER_COLUMNS = [
@@ -255,7 +256,8 @@ def outlier_sql(cols, source, make, digits=4):
 
 @query("iqr_outliers", outlier_sql(OUTLIER_COLUMNS, "facts", sql.hourly))
 def iqr_outliers(spark, folder):
-    return rounded(st.iqr_outliers(base.hourly(spark, folder), OUTLIER_COLUMNS), 4)
+    hourly = scratch.materialise(base.hourly(spark, folder), "hourly")
+    return rounded(st.iqr_outliers(hourly, OUTLIER_COLUMNS), 4)
 
 
 _DAILY_OUTLIERS = [*roles.FUEL_TARGETS, "total_traffic", "shop_coffee"]
@@ -264,7 +266,7 @@ _DAILY_OUTLIERS = [*roles.FUEL_TARGETS, "total_traffic", "shop_coffee"]
 @query("iqr_outliers_daily", outlier_sql(_DAILY_OUTLIERS, "daily", sql.daily))
 def iqr_outliers_daily(spark, folder):
     """More rows than the exact path of small tables handles, so the bracket path runs."""
-    return rounded(st.iqr_outliers(base.daily(spark, folder), _DAILY_OUTLIERS), 4)
+    return rounded(st.iqr_outliers(base.daily_table(spark, folder), _DAILY_OUTLIERS), 4)
 
 
 @query(
