@@ -190,7 +190,23 @@ def training_scalars_best_tag(spark, folder):
     return out.select("run", "tag", "step", "value", "wall_time")
 
 
-@query("roles_present", None)
+_PRESENT = {
+    "targets": roles.TARGETS,
+    "static_reals": roles.STATIC_REALS,
+    "future_reals": [c for c in roles.FUTURE_REALS if not c.endswith(("_sin", "_cos")) and c != "is_shop_open"],
+}
+
+
+@query(
+    "roles_present",
+    sql.hub(
+        " UNION ALL ".join(
+            f"SELECT '{r}' AS role, '{c}' AS \"column\", count({c}) AS n_rows FROM hub"
+            for r, cols in _PRESENT.items()
+            for c in cols
+        )
+    ),
+)
 def roles_present(spark, folder):
     """Columns that each role list keeps, and how many rows hold a value in them."""
     hub = base.hub(spark, folder)
