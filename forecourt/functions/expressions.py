@@ -42,11 +42,6 @@ def sample_skewness(x) -> Column:
     return F.when((n > 2) & (spread > 0), F.skewness(v) * adjust)
 
 
-def first_by(value, order) -> Column:
-    """First value that is not null, in the given order."""
-    return F.min_by(col(value), F.when(col(value).isNotNull(), col(order)))
-
-
 def arg_max(key, value) -> Column:
     """Key of the largest value; the smallest key on ties. Numeric keys."""
     return F.max_by(col(key), F.when(col(value).isNotNull(), F.struct(col(value), -col(key))))

@@ -91,10 +91,6 @@ def in_split(
     return df.where(split_of("timestamp", train_end, val_end) == split)
 
 
-def between_times(df: DataFrame, start: str, end: str) -> DataFrame:
-    return df.where(F.col("timestamp").between(moment(start), moment(end)))
-
-
 def context_slice(
     df: DataFrame, start: str, end: str, station=None, context: int = roles.ENCODER_HOURS
 ) -> DataFrame:

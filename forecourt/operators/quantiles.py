@@ -54,18 +54,12 @@ def exact_quantiles(
             for i, p in enumerate(probs)
         ]
     )
-    brackets = sketch.select(*keys, "n", pairs.alias("pairs"))
-    if by:
-        # Written, so that Spark knows the size and broadcasts it only when it is small.
-        joined = long.join(scratch.materialise(brackets, "brackets"), keys)
-    else:
-        # One entry per column.
-        entry = F.struct("column", F.struct("n", "pairs"))
-        table = brackets.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-        joined = long.withColumn("_b", table[F.col("column")]).select("column", "x", "_b.*")
-
-    under = F.filter("pairs", lambda p: F.col("x") <= p["hi"])
-    rows = joined.select(*keys, "n", "x", F.explode(under).alias("p")).select(*keys, "n", "x", "p.*")
+    brackets = sketch.select(*keys, "n", F.inline(pairs))
+    # Written, so that Spark knows the size and broadcasts it only when it is small.
+    brackets = scratch.materialise(brackets, "brackets")
+    known = brackets.withColumnsRenamed({k: f"_{k}" for k in keys})
+    match = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("x") <= F.col("hi")]
+    rows = long.join(known, match).drop(*[f"_{k}" for k in keys])
     # Values under the bracket only count; they make slice -1.
     width = F.try_divide((F.col("x") - F.col("lo")) * SLICES, F.col("hi") - F.col("lo"))
     inside = F.col("x") >= F.col("lo")

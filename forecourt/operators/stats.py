@@ -232,21 +232,20 @@ def iqr_outliers(df: DataFrame, cols: list[str]) -> DataFrame:
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5
     ends = ends.select("column", (F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi"))
-    # One entry per column of the table.
-    limits = ends.agg(
-        F.map_from_entries(F.collect_list(F.struct("column", F.struct("lo", "hi")))).alias("m")
-    ).scalar()
+    # One row with a field per column of the table.
+    wide = [F.max(F.when(F.col("column") == c, F.struct("lo", "hi"))).alias(c) for c in cols]
+    limits = ends.agg(F.struct(*wide)).scalar()
     rows = df.select(limits.alias("m"), *[F.col(c).cast("double").alias(c) for c in cols])
 
-    def limit(c):
-        return F.col("m")[c]
+    def beyond(c):
+        return (F.col(c) < F.col(f"m.{c}.lo")) | (F.col(c) > F.col(f"m.{c}.hi"))
 
     cells = [
         F.struct(
             F.lit(c).alias("column"),
-            F.count(F.when((F.col(c) < limit(c)["lo"]) | (F.col(c) > limit(c)["hi"]), 1)).alias("n_outliers"),
-            F.first(limit(c)["lo"]).alias("low"),
-            F.first(limit(c)["hi"]).alias("high"),
+            F.count(F.when(beyond(c), 1)).alias("n_outliers"),
+            F.max(F.col(f"m.{c}.lo")).alias("low"),
+            F.max(F.col(f"m.{c}.hi")).alias("high"),
         )
         for c in cols
     ]
