@@ -7,6 +7,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from forecourt.session import build_session  # noqa: E402
+from forecourt.sources import scratch  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -15,6 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session("tests", "4")
     yield session
+    scratch.clear(session)
     session.stop()
 
 
