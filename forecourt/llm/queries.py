@@ -1,8 +1,8 @@
 """The registered queries of the training-data operators."""
 
-from pyspark.sql import functions as F
 
-from forecourt.llm import chat, urlrules
+
+from forecourt.llm import chat, quality, secrets, toxicity, urlrules
 from workload.registry import query
 
 
@@ -70,3 +70,24 @@ def op3_url_filter(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "url")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlrules.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op6_quality_rules")
+def op6_quality_rules(spark, folder):
+    """Counts and verdict of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.judge(docs, table(spark, folder, "labels").select("doc_id", "quality"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark, folder):
+    """Toxicity score of every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.score(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark, folder):
+    """Secrets of every document."""
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.drop("kinds", "starts", "ends")
