@@ -109,6 +109,22 @@ def _random_samples(seed: int = 11, strings: int = 2000, length: int = 32) -> np
     return total
 
 
+def _joined_words(counts: np.ndarray, share: float = 0.05) -> np.ndarray:
+    """Step counts of identifiers made of the corpus's own words, as in ``snake_case`` and ``camelCase``."""
+    square, out = counts.reshape(STATES, STATES), np.zeros((STATES, STATES))
+    upper, lower = _STATE[np.arange(65, 91)], _STATE[np.arange(97, 123)]
+    starts = square[0, lower] + square[0, upper]
+    joins = share * square[lower].sum(axis=1)
+    starts = starts / max(starts.sum(), 1)
+    follow = square[lower][:, lower]
+    for mark in b"_-":
+        out[lower, _STATE[mark]] += joins / 3
+        out[_STATE[mark], lower] += joins.sum() / 3 * starts
+    out[np.ix_(lower, upper)] += np.outer(joins / 3, starts)
+    out[np.ix_(upper, lower)] += joins.sum() / 3 * starts[:, None] * follow / np.maximum(follow.sum(axis=1, keepdims=True), 1)
+    return out.ravel()
+
+
 def fit(docs: DataFrame) -> np.ndarray:
     """Log-likelihood ratio (random over ordinary) of each step, from the runs of all texts of ``docs``.
 
@@ -117,6 +133,7 @@ def fit(docs: DataFrame) -> np.ndarray:
     counts = np.zeros((2, STATES * STATES))
     seen = docs.select("text").mapInArrow(_learn, "label long, step long, n long").groupBy("label", "step").agg(F.sum("n").alias("n")).toArrow()
     counts[seen["label"].to_numpy(), seen["step"].to_numpy()] = seen["n"].to_numpy()
+    counts[0] += _joined_words(counts[0])
     samples = _random_samples()
     counts[1] = samples + counts[1] * samples.sum() / max(counts[1].sum(), samples.sum())
     square = counts.reshape(2, STATES, STATES) + 0.5
