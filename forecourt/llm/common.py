@@ -6,6 +6,13 @@ from pyspark.sql import functions as F
 from forecourt.sources import scratch
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def unit_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """A non-null key of a row: its id, or for a null id a number above all ids made from its text."""
     own = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), 2)
@@ -17,19 +24,23 @@ def real_id(key: str) -> Column:
     return F.when(F.col(key) < (1 << 62), F.col(key))
 
 
-def ranked(df: DataFrame, groups: list[str], order: list[str], rows_per_task: int = 100_000) -> DataFrame:
-    """Rows with ``rank``, gapless from 0 in each group, in an order made from ``order`` by hash.
+def ranked(
+    df: DataFrame, groups: list[str], by: list[str], order: list[str], slim: DataFrame | None = None, rows_per_task: int = 100_000
+) -> DataFrame:
+    """Rows with ``rank``, gapless from 0 in each group (non-null columns), in the order of a hash of ``by``.
 
-    No window covers a group: rows are numbered inside hash buckets, and bucket counts are summed.
-    The number of buckets follows the number of rows.
+    No window covers a group: rows are numbered inside hash buckets, and bucket counts are summed. The number of
+    buckets follows the number of rows. Rows of one bucket are in the order of ``by``, then ``order``. ``slim``
+    holds the same rows with no more than ``groups`` and ``by``, for counting.
     """
-    buckets = 1 + df.count() // rows_per_task
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    counts = df.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    slim = df if slim is None else slim
+    buckets = 1 + slim.count() // rows_per_task
+    bucket = F.pmod(F.xxhash64(*by), F.lit(buckets))
+    counts = slim.groupBy(*groups, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_bucket")) - F.col("_n")
     counts = scratch.materialise(counts.withColumn("_before", before).drop("_n"), "ranks")
-    inside = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(*order))
-    df = df.withColumn("_inside", inside.cast("long"))
+    inside = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(*by, *order))
+    df = df.withColumn("_bucket", bucket).withColumn("_inside", inside.cast("long"))
     return (
         df.join(counts, [*groups, "_bucket"])
         .withColumn("rank", F.col("_before") + F.col("_inside") - 1)

@@ -2,7 +2,9 @@
 
 
 
-from forecourt.llm import chat, quality, secrets, toxicity, urlrules
+from pyspark.sql import functions as F
+
+from forecourt.llm import chat, dedup, quality, secrets, sharding, toxicity, urlrules
 from workload.registry import query
 
 
@@ -91,3 +93,28 @@ def op5_secret_scan(spark, folder):
     """Secrets of every document."""
     found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
     return found.drop("kinds", "starts", "ends")
+
+
+@query("op8_near_duplicates")
+def op8_near_duplicates(spark, folder):
+    """Component of every document, from links of 85 per cent and more."""
+    return dedup.groups(table(spark, folder, "documents").select("doc_id", "text"), percent=85)
+
+
+def shard_digest(docs, shards=24):
+    """Documents in shards of equal counts, with the fewest bytes moved from a layout by id."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        sharding.size_of().alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    placed = sharding.reshard(rows, shards, size=F.col("size"), order=("doc_id", "text_crc32"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
+    )
+
+
+@query("op9_reshard")
+def op9_reshard(spark, folder):
+    """All documents resharded into 24 shards."""
+    return shard_digest(table(spark, folder, "documents"))
