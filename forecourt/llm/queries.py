@@ -4,7 +4,7 @@
 
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, dedup, quality, secrets, sharding, toxicity, urlrules
+from forecourt.llm import chat, dedup, mixing, quality, secrets, sharding, toxicity, urlrules
 from workload.registry import query
 
 
@@ -118,3 +118,10 @@ def shard_digest(docs, shards=24):
 def op9_reshard(spark, folder):
     """All documents resharded into 24 shards."""
     return shard_digest(table(spark, folder, "documents"))
+
+
+@query("op4_mix_sources")
+def op4_mix_sources(spark, folder):
+    """The place of every document in a mixture of the sources."""
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mix(docs, order=("doc_id",)).withColumn("weight", F.round("weight", 6))
