@@ -4,7 +4,7 @@
 
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, dedup, mixing, quality, secrets, sharding, toxicity, urlrules
+from forecourt.llm import chat, decontaminate, dedup, mixing, quality, secrets, sharding, toxicity, urlrules
 from workload.registry import query
 
 
@@ -125,3 +125,10 @@ def op4_mix_sources(spark, folder):
     """The place of every document in a mixture of the sources."""
     docs = table(spark, folder, "documents").select("doc_id", "source")
     return mixing.mix(docs, order=("doc_id",)).withColumn("weight", F.round("weight", 6))
+
+
+@query("op1_decontaminate")
+def op1_decontaminate(spark, folder):
+    """Benchmark items found in every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, folder, "benchmark").select("item_id", "text"))
