@@ -58,6 +58,14 @@ def texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def lower_latin(data: np.ndarray) -> np.ndarray:
+    """The bytes with capital letters of Latin-1 (in UTF-8: C3 80 to C3 9E) as small ones; A-Z are left to ``word_hashes``."""
+    capital = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)
+    out = data.copy()
+    out[1:][capital] += 0x20
+    return out
+
+
 def words(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray = WHITE) -> tuple[np.ndarray, ...]:
     """Row, first byte and end byte of every word, in order."""
     inside = ~separators[data]
