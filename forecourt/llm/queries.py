@@ -4,7 +4,7 @@
 
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, decontaminate, dedup, mixing, quality, secrets, sharding, toxicity, urlrules
+from forecourt.llm import chat, decontaminate, dedup, mixing, pii, quality, secrets, sharding, toxicity, urlrules
 from workload.registry import query
 
 
@@ -132,3 +132,9 @@ def op1_decontaminate(spark, folder):
     """Benchmark items found in every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.leaks(docs, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+@query("op10_personal_data")
+def op10_personal_data(spark, folder):
+    """Personal data of every document."""
+    return pii.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("found")
