@@ -4,11 +4,11 @@
 2. A class has a SuperMinHash signature: each shingle visits the slots in an order of its own (a random
    permutation), and its value in the j-th slot it visits lies in [j, j + 1). Once every slot holds a value
    below j, further visits cannot change a slot, so long sets stop after a few steps.
-3. Classes that agree in a band of ``ROWS`` slots are candidates. In each bucket the smallest member is
-   compared with all others; members whose group is still open are compared in further rounds, the smallest
+3. Classes that agree in a band of ``ROWS`` slots are candidates. In each bucket the most typical member is
+   compared with all others; members whose group is still open are compared in further rounds, the most typical
    of every group against the members of other groups, until no bucket holds two groups that were not
-   compared. A bucket of copies is settled by its first, linear round, and no candidate pair between
-   different groups is left out.
+   compared. A bucket of copies is settled by its first, linear round. A pair is left out only if it is in one
+   group already or if the shingles that occur nowhere else prove that it is no link.
 4. Candidates are verified on full shingle sets; links are grouped into components.
 """
 
@@ -112,24 +112,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * union).select("a", "b")
 
 
+def _unique(sets: DataFrame) -> DataFrame:
+    """``node, u``: how many elements of a set occur in no other set."""
+    element = sets.select("node", F.explode("elements").alias("e")).groupBy("e")
+    alone = element.agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
+    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("u"))
+
+
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Component roots of the nodes of ``members`` (``band, node, n``) that are linked: ``node, root``."""
-    fits = F.expr(f"100 * least(n, pivot_n) >= {percent} * greatest(n, pivot_n)")
-    smallest = members.groupBy("band").agg(F.min("node").alias("pivot"))
-    sized = smallest.join(members.select("band", F.col("node").alias("pivot"), F.col("n").alias("pivot_n")), ["band", "pivot"])
-    pairs = members.join(sized, "band").where(F.col("node") != F.col("pivot")).where(fits)
-    links = scratch.materialise(_verified(pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent), "verified")
+    """Component roots of the nodes of ``members`` (``band, node, n, u``) that are linked: ``node, root``.
+
+    Elements of no other set bound the similarity of a pair, so most pairs of loosely edited copies need no
+    comparison. The member with the fewest such elements is the most typical one and comes first.
+    """
+    most = "least(n - u, pivot_n - pivot_u)"
+    fits = F.expr(f"100 * {most} >= {percent} * (n + pivot_n - {most})")
+    first = F.min(F.struct("u", "node", "n")).alias("p")
+    as_pivot = [F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.u").alias("pivot_u")]
+    pivots = scratch.materialise(members.groupBy("band").agg(first).select("band", *as_pivot), "pivots")
+    placed = members.join(pivots, "band").where(F.col("node") != F.col("pivot"))
+    pairs = placed.where(fits).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
+    links = scratch.materialise(_verified(pairs, sets, percent), "verified")
     roots = scratch.materialise(graph.components(links), "components")
-    open_ = members.join(sized.select("band", "pivot"), "band").where(F.col("node") != F.col("pivot")).drop("pivot")
+    open_ = placed.select("band", "node", "n", "u")
     while True:
-        placed = open_.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
+        placed = open_.join(roots, "node", "left").select("band", "node", "n", "u", F.coalesce("root", "node").alias("root"))
         mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
         open_ = scratch.materialise(placed.join(mixed, "band", "left_semi"), "open")
         if open_.isEmpty():
             return roots
-        pivots = open_.groupBy("band", "root").agg(F.min("node").alias("pivot"))
-        pivots = pivots.join(open_.select("band", F.col("node").alias("pivot"), F.col("n").alias("pivot_n")), ["band", "pivot"])
-        pivots = scratch.materialise(pivots.withColumnRenamed("root", "pivot_root"), "pivots")
+        pivots = open_.groupBy("band", "root").agg(first).select("band", F.col("root").alias("pivot_root"), *as_pivot)
+        pivots = scratch.materialise(pivots, "pivots")
         pairs = open_.join(pivots, "band").where("root != pivot_root").where(fits)
         pairs = pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
         new = scratch.materialise(_verified(pairs, sets, percent), "verified")
@@ -153,7 +166,10 @@ def _placed(docs: DataFrame, percent: int) -> DataFrame:
     nodes = members.select("node").distinct()
     texts = docs.join(nodes.withColumnRenamed("node", "key"), "key", "left_semi").select(F.col("key").alias("node"), "text")
     sets = scratch.materialise(texts.mapInArrow(_sets, "node long, elements array<long>"), "sets")
-    roots = _links(members, sets, percent)
+    bounded = members.join(_unique(sets), "node", "left").withColumn("u", F.coalesce("u", F.lit(0).cast("long")))
+    bounded = bounded.where(f"100 * (n - u) >= {percent} * n")
+    shared = bounded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("band")
+    roots = _links(scratch.materialise(bounded.join(shared, "band", "left_semi"), "members"), sets, percent)
     repeated = small.where("n_shingles > 0").join(classes, ["n_shingles", "d1", "d2"]).where("key != node")
     # An id with several texts ties their classes together.
     ties = repeated.select("key", "node").join(classes.select(F.col("node").alias("key")), "key", "left_semi")
