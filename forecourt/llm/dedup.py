@@ -7,8 +7,8 @@
 3. Classes that agree in a band of ``ROWS`` slots are candidates. In each bucket the most typical member is
    compared with all others; members whose group is still open are compared in further rounds, the most typical
    of every group against the members of other groups, until no bucket holds two groups that were not
-   compared. A bucket of copies is settled by its first, linear round. A pair is left out only if it is in one
-   group already or if the shingles that occur nowhere else prove that it is no link.
+   compared; four times as many represent a group in each round. A bucket of copies is settled by its first, linear round. A pair is left out only if it is in one
+   group already or if counts of rare shingles prove that it is no link.
 4. Candidates are verified on full shingle sets; links are grouped into components.
 """
 
@@ -119,6 +119,23 @@ def _unique(sets: DataFrame) -> DataFrame:
     return alone.groupBy("node").agg(F.count(F.lit(1)).alias("u"))
 
 
+def _prefixes(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node, prefix``: the rarest elements of each set, in one order for all, as many as a linked pair cannot both avoid.
+
+    Linked sets share at least ``percent`` per cent of either one, so they share one of the first
+    ``n - ceil(percent * n / 100) + 1`` elements. Elements that only one group (``root``) has are left out of a
+    prefix, and sets whose prefix is then empty are left out of the table: they have no link to another group.
+    """
+    nodes = placed.select("node", "root").distinct()
+    held = sets.join(nodes, "node").select("node", "root", F.explode("elements").alias("e"))
+    counts = held.groupBy("e").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    counts = counts.select("e", "c", (F.col("lo") != F.col("hi")).alias("across"))
+    listed = held.join(counts, "e").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "e", "across"))).alias("r"))
+    length = (F.size("r") - F.ceil(F.size("r") * percent / 100) + 1).cast("int")
+    first = F.filter(F.slice("r", F.lit(1), length), lambda x: x["across"])
+    return listed.select("node", F.transform(first, lambda x: x["e"]).alias("prefix")).where("size(prefix) > 0")
+
+
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Component roots of the nodes of ``members`` (``band, node, n, u``) that are linked: ``node, root``.
 
@@ -134,16 +151,25 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = placed.where(fits).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     links = scratch.materialise(_verified(pairs, sets, percent), "verified")
     roots = scratch.materialise(graph.components(links), "components")
-    open_ = placed.select("band", "node", "n", "u")
+    open_, prefixes, turn = placed.select("band", "node", "n", "u"), None, 0
     while True:
         placed = open_.join(roots, "node", "left").select("band", "node", "n", "u", F.coalesce("root", "node").alias("root"))
         mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
         open_ = scratch.materialise(placed.join(mixed, "band", "left_semi"), "open")
         if open_.isEmpty():
             return roots
-        pivots = open_.groupBy("band", "root").agg(first).select("band", F.col("root").alias("pivot_root"), *as_pivot)
+        if prefixes is None:
+            prefixes = scratch.materialise(_prefixes(open_, sets, percent), "prefixes")
+            open_ = open_.join(prefixes.select("node"), "node", "left_semi").select("band", "node", "n", "u")
+            continue
+        part = F.pmod(F.xxhash64("node"), F.lit(4**turn))
+        turn += 1
+        pivots = open_.groupBy("band", "root", part.alias("part")).agg(first).select("band", F.col("root").alias("pivot_root"), *as_pivot)
         pivots = scratch.materialise(pivots, "pivots")
-        pairs = open_.join(pivots, "band").where("root != pivot_root").where(fits)
+        left = open_.join(prefixes, "node")
+        right = pivots.join(prefixes.toDF("pivot", "pivot_prefix"), "pivot")
+        near = F.expr("root != pivot_root AND arrays_overlap(prefix, pivot_prefix)") & fits
+        pairs = left.alias("l").join(right.alias("p"), (F.col("l.band") == F.col("p.band")) & near)
         pairs = pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
         new = scratch.materialise(_verified(pairs, sets, percent), "verified")
         if not new.isEmpty():
