@@ -1,10 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Passages of 64 words are rows of a TF-IDF matrix over the benchmark's words; passage frequencies come from
+1. Passages of 96 words are rows of a TF-IDF matrix over the benchmark's words; passage frequencies come from
    all documents. A randomised SVD finds the leading right singular vectors: Spark sums ``A^T (A M)`` for a narrow
    matrix M over all passages, and the driver orthonormalises a matrix of (words of the benchmark) x ``RANK``.
    The directions of the benchmark items join the basis, so truncation cannot lose a rare item.
-2. In this latent space windows of 64 words, 16 apart, are compared with all items by cosine.
+2. In this latent space windows of 96 words, 32 apart, are compared with all items by cosine.
 3. Candidates are confirmed by the longest common subsequence of words: a copy has nearly all words of the item in
    order within a stretch little longer than it; a paraphrase has most of them, and the item's answer too.
 
@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from forecourt.llm import textnum
 
 ITEMS = 500
-RANK = 64
-BLOCK = 16
-WINDOW = 4  # blocks
+RANK = 32
+BLOCK = 32
+WINDOW = 3  # blocks
 PASSAGE = BLOCK * WINDOW
-COSINE = 0.4
+COSINE = 0.45
 #: A window with less than this share of the weight of every item cannot confirm one and is not projected.
 LEAST_WEIGHT = 0.25
 COPY, PARAPHRASE, ANSWER = 0.8, 0.6, 0.8
@@ -193,6 +193,7 @@ def confirm(item: Item, words: np.ndarray) -> tuple[float, float]:
 
 def search(index: Index, column) -> Iterator[tuple[int, int, float, float]]:
     """Row, item id, word share and answer share of the leaks in a text column."""
+    scaled = index.basis * index.idf[:, None].astype(np.float32)
     for at, to, row, place, word in _slices(column, index.vocabulary):
         if not len(row):
             continue
@@ -205,18 +206,22 @@ def search(index: Index, column) -> Iterator[tuple[int, int, float, float]]:
         weight = np.bincount(block[hits], weights=index.idf[word[hits]] ** 2, minlength=ends[-1])
         sums = np.concatenate(([0.0], np.cumsum(weight)))
         last = np.minimum(np.arange(ends[-1]) + WINDOW, ends[owner])
-        heavy = np.flatnonzero(sums[last] - sums[:-1] >= index.least - 1e-9)
+        # The last windows of a text are parts of the one before them, unless that begins the text.
+        whole = (last - np.arange(ends[-1]) == WINDOW) | (np.arange(ends[-1]) == (ends - blocks)[owner])
+        heavy = np.flatnonzero(whole & (sums[last] - sums[:-1] >= index.least - 1e-9))
         if not len(heavy):
             continue
-        edges = np.searchsorted(block[hits], np.arange(ends[-1] + 1))
+        latent = np.zeros((ends[-1], index.basis.shape[1]), np.float32)
+        first = np.flatnonzero(np.concatenate(([True], block[hits][1:] != block[hits][:-1])))
+        latent[block[hits][first]] = np.add.reduceat(scaled[word[hits]], first, axis=0)
         seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for some in np.array_split(heavy, 1 + len(heavy) // 256):
-            sizes = edges[last[some]] - edges[some]
-            take = np.repeat(edges[some] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            term = word[hits[take]]
-            first = np.cumsum(sizes) - sizes
-            y = np.add.reduceat(index.basis[term] * index.idf[term].astype(np.float32)[:, None], first, axis=0)
-            cosine = y @ index.latent.T / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
+        for some in np.array_split(heavy, 1 + len(heavy) // 4096):
+            y = latent[some].copy()
+            for k in range(1, WINDOW):
+                more = some + k < last[some]
+                y[more] += latent[some[more] + k]
+            cosine = y @ index.latent.T
+            cosine /= np.maximum(np.sqrt(np.einsum("ij,ij->i", y, y)), 1e-9)[:, None]
             for w, k in zip(*np.nonzero(cosine >= COSINE)):
                 seen.setdefault((int(owner[some[w]]), int(k)), []).append((int(some[w]), int(last[some[w]])))
         begin = np.searchsorted(row, np.arange(to - at))
