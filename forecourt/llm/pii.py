@@ -28,6 +28,8 @@ PATTERNS = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
+#: What a text with a match holds at least.
+NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 _IN, _PLAIN = r"[^\x20\x09-\x0D]", r"[^\x20\x09-\x0D0-9@]"
 _WORD = rf"(?<!{_IN}){_PLAIN}*+[0-9@]{_IN}*+"
@@ -57,31 +59,44 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def with_matches(df: DataFrame, text: str, pattern: str, out: str) -> DataFrame:
-    """``df`` with an array of ``start, end, match`` (code points) of the non-overlapping matches of ``pattern``.
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often and deep in lambdas the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def matches(text: Column, pattern: str, needs: str, *more) -> Column:
+    """Array of ``start, end, match`` (code points) of the non-overlapping matches of ``pattern``, and what ``more``
+    makes of the pieces of text before and behind each match. A text without the simple pattern ``needs``, which is
+    part of every match, is not searched.
 
     Offsets are sums of the lengths of matches and of the pieces between; sums of ``_STEP`` terms are kept, so
     the cost stays linear in the number of matches.
     """
-    hits, gaps, sizes, marks = (f"{out}_{part}" for part in ("hits", "gaps", "sizes", "marks"))
-    df = df.withColumns({hits: F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gaps: F.split(F.col(text), F.lit(pattern), -1)})
-    df = df.withColumn(sizes, F.transform(hits, lambda h, i: F.length(h) + F.length(F.col(gaps)[i])))
     total = lambda array: F.aggregate(array, F.lit(0), lambda a, v: a + v)
-    steps = F.sequence(F.lit(1), F.greatest(F.size(hits), F.lit(1)), F.lit(_STEP))
-    summed = F.aggregate(
-        steps,
-        F.array(F.lit(0)),
-        lambda a, i: F.array_append(a, F.element_at(a, -1) + total(F.slice(F.col(sizes), i, F.lit(_STEP)))),
-    )
-    df = df.withColumn(marks, F.when(F.size(hits) > 0, summed))
 
-    def span(hit, i):
-        whole = F.floor(i / _STEP).cast("int")
-        before = F.col(marks)[whole] + total(F.slice(F.col(sizes), whole * _STEP + 1, i % _STEP))
-        start = before + F.length(F.col(gaps)[i])
-        return F.struct(start.alias("start"), (start + F.length(hit)).alias("end"), hit.alias("match"), i.alias("i"))
+    def sized(x):
+        sizes = F.transform(x["hits"], lambda h, i: F.length(h) + F.length(x["gaps"][i]))
+        return F.struct(x["hits"].alias("hits"), x["gaps"].alias("gaps"), sizes.alias("sizes"))
+
+    def marked(x):
+        steps = F.sequence(F.lit(1), F.greatest(F.size(x["hits"]), F.lit(1)), F.lit(_STEP))
+        marks = F.aggregate(
+            steps, F.array(F.lit(0)), lambda a, i: F.array_append(a, F.element_at(a, -1) + total(F.slice(x["sizes"], i, F.lit(_STEP))))
+        )
+        return F.struct(*[x[f].alias(f) for f in ("hits", "gaps", "sizes")], marks.alias("marks"))
+
+    def spans(x):
+        def span(hit, i):
+            whole = F.floor(i / _STEP).cast("int")
+            start = x["marks"][whole] + total(F.slice(x["sizes"], whole * _STEP + 1, i % _STEP)) + F.length(x["gaps"][i])
+            extra = [f(x["gaps"][i], x["gaps"][i + 1]) for f in more]
+            return _let(start, lambda at: F.struct(at.alias("start"), (at + F.length(hit)).alias("end"), hit.alias("match"), *extra))
 
-    return df.withColumn(out, F.transform(hits, span)).drop(hits, sizes, marks)
+        return F.transform(x["hits"], span)
+
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, F.lit(pattern), -1).alias("gaps"))
+    listed = _let(found, lambda x: _let(sized(x), lambda y: _let(marked(y), spans)))
+    return F.coalesce(F.when(text.rlike(needs), listed), F.array())
 
 
 def _neighbour(piece: Column, last: bool) -> Column:
@@ -98,12 +113,10 @@ def _bare(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), r"[^\p{L}]", "")
 
 
-def _kept(kind: str) -> Column:
-    return F.filter(kind, lambda m: _valid(kind, m["match"]))
-
-
-def _numbered(k: int, kind: str) -> Column:
-    return F.transform(kind, lambda m: F.struct(F.lit(k).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
+def _fixed(text: Column, k: int, kind: str) -> Column:
+    """Valid matches of a kind: ``kind, start, end``."""
+    valid = F.filter(matches(text, PATTERNS[kind], NEEDS[kind]), lambda m: _valid(kind, m["match"]))
+    return F.transform(valid, lambda m: F.struct(F.lit(k).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
 
 
 def _number(k: int) -> Column:
@@ -115,14 +128,13 @@ def _found(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.select("doc_id", unit_key().alias("key"), F.xxhash64(text).alias("h"), text.alias("t"))
-    for kind, pattern in PATTERNS.items():
-        rows = with_matches(rows, "t", pattern, kind).drop(f"{kind}_gaps")
-        rows = rows.withColumn(kind, _kept(kind))
-    rows = rows.withColumn("fixed", F.concat(*[_numbered(k, kind) for k, kind in enumerate(PATTERNS)]))
-    rows = with_matches(rows, "t", RUN, "run")
-
-    def candidate(m):
-        seed = F.exists("fixed", lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"]))
+    t = F.col("t")
+    fixed = F.concat(*[_fixed(t, k, kind) for k, kind in enumerate(PATTERNS)])
+    sides = [lambda before, _: _neighbour(before, True).alias("left"), lambda _, behind: _neighbour(behind, False).alias("right")]
+    rows = rows.select("doc_id", "key", "h", F.struct(fixed.alias("fixed"), matches(t, RUN, "[0-9@]", *sides).alias("run")).alias("x"))
+
+    def candidate(x, m):
+        seed = F.exists(x["fixed"], lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"]))
         digits = F.length(F.regexp_replace(m["match"], "[^0-9]", ""))
         return F.struct(
             m["start"].alias("start"),
@@ -130,11 +142,15 @@ def _found(docs: DataFrame) -> DataFrame:
             F.xxhash64(F.lower(m["match"])).alias("instance"),
             seed.alias("seed"),
             (~seed & ((digits >= 6) | m["match"].contains("@"))).alias("open"),
-            _neighbour(F.col("run_gaps")[m["i"]], True).alias("left"),
-            _neighbour(F.col("run_gaps")[m["i"] + 1], False).alias("right"),
+            m["left"].alias("left"),
+            m["right"].alias("right"),
         )
 
-    return rows.select("doc_id", "key", "h", "fixed", F.transform("run", candidate).alias("runs"))
+    both = _let(
+        F.col("x"),
+        lambda x: F.struct(x["fixed"].alias("fixed"), F.transform(x["run"], lambda m: candidate(x, m)).alias("runs")),
+    )
+    return rows.select("doc_id", "key", "h", both.alias("y")).select("doc_id", "key", "h", "y.*")
 
 
 def _learned(docs: DataFrame, found: DataFrame) -> DataFrame:
