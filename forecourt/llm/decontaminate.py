@@ -88,6 +88,24 @@ def _slices(column, vocabulary):
         yield at, to, row, np.arange(len(row)) - begin[row] if len(row) else row, places(vocabulary, textnum.word_hashes(data, start, end))
 
 
+def run_sums(matrix: np.ndarray, which: np.ndarray, first: np.ndarray, factor: np.ndarray | None = None) -> np.ndarray:
+    """Sum of the lines ``which`` of a matrix, times ``factor``, over every run that begins at ``first``.
+
+    The k-th lines of many runs are added at once, the longest runs first, in parts that fit a processor's cache.
+    """
+    count = np.diff(np.append(first, len(which)))
+    out = np.zeros((len(first), matrix.shape[1]), matrix.dtype)
+    order = np.argsort(-count, kind="stable")
+    for part in np.array_split(order, 1 + len(order) // 256):
+        left, total = count[part], np.zeros((len(part), matrix.shape[1]), matrix.dtype)
+        for k in range(left[0] if len(left) else 0):
+            at = first[part[: np.searchsorted(-left, -k)]] + k
+            lines = matrix[which[at]]
+            total[: len(at)] += lines if factor is None else lines * factor[at, None]
+        out[part] = total
+    return out
+
+
 def _products(docs: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """``A^T (A matrix)`` of the weighted term counts of all passages, passage frequencies and the number of passages."""
     given = docs.sparkSession.sparkContext.broadcast((vocabulary, weight, matrix))
@@ -109,7 +127,7 @@ def _products(docs: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, matri
                 at, term = pair // len(vocab), pair % len(vocab)
                 value = (tf * w[term]).astype(np.float32)
                 first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-                y = np.add.reduceat(m[term] * value[:, None], first, axis=0)
+                y = run_sums(m, term, first, value)
                 back = np.repeat(y, np.diff(np.concatenate((first, [len(at)]))), axis=0) * value[:, None]
                 order = np.argsort(term, kind="stable")
                 heads = np.flatnonzero(np.concatenate(([True], term[order][1:] != term[order][:-1])))
@@ -164,11 +182,17 @@ def build(docs: DataFrame, items: list[tuple[int, str, str | None]], seed: int =
     return Index(vocabulary, idf, basis.astype(np.float32), latent.astype(np.float32), found, LEAST_WEIGHT * min(weights))
 
 
-def common(pattern: np.ndarray, words: np.ndarray) -> int:
-    """Length of the longest common subsequence, one machine step per word (bits of an integer)."""
+def letters(pattern: np.ndarray) -> dict[int, int]:
+    """The places of each word of a pattern, as bits of an integer."""
     masks: dict[int, int] = {}
     for k, w in enumerate(pattern.tolist()):
         masks[w] = masks.get(w, 0) | 1 << k
+    return masks
+
+
+def common(pattern: np.ndarray, words: np.ndarray, masks: dict[int, int] | None = None) -> int:
+    """Length of the longest common subsequence, one machine step per word (bits of an integer)."""
+    masks = letters(pattern) if masks is None else masks
     full = (1 << len(pattern)) - 1
     state = full
     for w in words.tolist():
@@ -180,12 +204,12 @@ def common(pattern: np.ndarray, words: np.ndarray) -> int:
 
 def confirm(item: Item, words: np.ndarray) -> tuple[float, float]:
     """Share of the item's words, and of its answer's, in order in the best stretch of ``words``; (0, 0) if it is no leak."""
-    n = len(item.words)
-    if common(item.words, words) < PARAPHRASE * n:
+    n, masks = len(item.words), letters(item.words)
+    if common(item.words, words, masks) < PARAPHRASE * n:
         return 0.0, 0.0
     span = int(np.ceil(STRETCH * n))
     starts = range(0, max(1, len(words) - n + 1), max(1, n // 8))
-    share, at = max((common(item.words, words[s : s + span]) / n, -s) for s in starts)
+    share, at = max((common(item.words, words[s : s + span], masks) / n, -s) for s in starts)
     part = words[-at : -at + span]
     answer = common(item.answer, part) / len(item.answer) if len(item.answer) else 1.0
     return (share, answer) if share >= COPY or share >= PARAPHRASE and answer >= ANSWER else (0.0, 0.0)
@@ -211,9 +235,14 @@ def search(index: Index, column) -> Iterator[tuple[int, int, float, float]]:
         heavy = np.flatnonzero(whole & (sums[last] - sums[:-1] >= index.least - 1e-9))
         if not len(heavy):
             continue
+        # Only blocks of a heavy window are projected.
+        wanted = np.zeros(ends[-1], bool)
+        for k in range(WINDOW):
+            wanted[np.minimum(heavy + k, last[heavy] - 1)] = True
+        hits = hits[wanted[block[hits]]]
         latent = np.zeros((ends[-1], index.basis.shape[1]), np.float32)
         first = np.flatnonzero(np.concatenate(([True], block[hits][1:] != block[hits][:-1])))
-        latent[block[hits][first]] = np.add.reduceat(scaled[word[hits]], first, axis=0)
+        latent[block[hits][first]] = run_sums(scaled, word[hits], first)
         seen: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for some in np.array_split(heavy, 1 + len(heavy) // 4096):
             y = latent[some].copy()
