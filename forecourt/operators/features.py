@@ -2,7 +2,7 @@
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,18 +91,30 @@ def suffix(df: DataFrame, cols: list[str], text: str) -> DataFrame:
     return df.withColumnsRenamed({c: c + text for c in cols})
 
 
-def code_text(c):
-    """Numeric codes as text without a fraction; other text stays."""
-    number = F.col(c).cast("string").try_cast("double")
-    whole = number.isNotNull() & (number == F.floor(number))
-    return F.when(whole, number.cast("long").cast("string")).otherwise(F.col(c).cast("string"))
+def code_text(df: DataFrame, c: str) -> Column:
+    """A category code as text, without a fraction of zeros where every value of the column is a number.
+
+    Text is never sent through a number, so long codes and leading zeros survive; a column that holds other text as
+    well stays as it is.
+    """
+    kind = df.schema[c].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        # Beyond 2**53 a double is no exact code; its own text stays.
+        whole = (F.col(c) == F.floor(c)) & (F.abs(c) <= 1 << 53)
+        return F.when(whole, F.col(c).cast("long").cast("string")).otherwise(F.col(c).cast("string"))
+    text = F.col(c).cast("string")
+    if not isinstance(kind, (T.StringType, T.DecimalType)):
+        return text
+    numbers = df.agg(F.coalesce(F.min(text.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$")), F.lit(False))).scalar()
+    return F.when(numbers, F.regexp_replace(text, r"[.]0*$", "")).otherwise(text)
 
 
 def normalise_types(
     df: DataFrame, ids: list[str] = ("station_id",), categories: list[str] = (), reals: list[str] = ()
 ) -> DataFrame:
-    """Ids and categories as text, features as double."""
-    columns = {c: code_text(c) for c in [*ids, *categories] if c in df.columns}
+    """Ids as their own text, categories as text without a fraction, features as double."""
+    columns = {c: F.col(c).cast("string") for c in ids if c in df.columns}
+    columns |= {c: code_text(df, c) for c in categories if c in df.columns}
     columns |= {c: F.col(c).cast("double") for c in reals if c in df.columns}
     return df.withColumns(columns)
 

@@ -1,6 +1,6 @@
 """Correlation, trend and distribution statistics."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import roles
@@ -10,6 +10,11 @@ from forecourt.operators.overview import STATION
 from forecourt.operators.quantiles import exact_quantiles
 
 
+def column_means(df: DataFrame, cols: list[str]) -> Column:
+    """A struct of the means of columns, computed once per plan."""
+    return df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])).scalar()
+
+
 def pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
     """Counts, sums and products of every column pair over rows where both are present.
 
@@ -17,8 +22,7 @@ def pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
     the rows of the tasks up. Columns are shifted by their mean first, which keeps the
     sums small enough to subtract.
     """
-    means = df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])).scalar()
-    shifted = df.select(means.alias("_m"), *[F.col(c).cast("double").alias(c) for c in cols]).select(
+    shifted = df.select(column_means(df, cols).alias("_m"), *[F.col(c).cast("double").alias(c) for c in cols]).select(
         *[(F.col(c) - F.col(f"_m.{c}")).alias(c) for c in cols]
     )
     width = len(cols)
@@ -53,7 +57,10 @@ def pair_moments(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: list[str], digits: int | None = 2) -> DataFrame:
-    """Pairwise-complete Pearson matrix as (row_name, col_name, r) rows."""
+    """Pairwise-complete Pearson matrix as (row_name, col_name, r) rows.
+
+    A column counts as constant if its spread is rounding noise beside its own mean, whatever its unit.
+    """
     cols = present(df, cols)
     names = F.array(*[F.lit(c) for c in cols])
     n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
@@ -61,33 +68,23 @@ def corr_matrix(df: DataFrame, cols: list[str], digits: int | None = 2) -> DataF
     vy = F.col("syy") - F.try_divide(sy * sy, n)
     # A constant column leaves only rounding noise after the shift.
     spread = (vx > F.col("sxx") * 1e-9) & (vy > F.col("syy") * 1e-9) & (n > 1)
-    tiny = (vx > n * 1e-18) & (vy > n * 1e-18)
-    r = F.when(spread & tiny, (F.col("sxy") - sx * sy / n) / F.sqrt(vx * vy))
-    r = F.when(spread & tiny & (F.col("i") == F.col("j")), F.lit(1.0)).otherwise(r)
-    return pair_moments(df, cols).select(
+    means = column_means(df, cols)
+    noise = F.array(*[F.abs(means[c]) * 1e-15 for c in cols])
+    sure = (vx > n * F.pow(F.col("_noise")[F.col("i")], 2)) & (vy > n * F.pow(F.col("_noise")[F.col("j")], 2))
+    r = F.when(spread & sure, (F.col("sxy") - sx * sy / n) / (F.sqrt(vx) * F.sqrt(vy)))
+    r = F.when(spread & sure & (F.col("i") == F.col("j")), F.lit(1.0)).otherwise(r)
+    return pair_moments(df, cols).withColumn("_noise", noise).select(
         names[F.col("i")].alias("row_name"),
         names[F.col("j")].alias("col_name"),
         (F.round(r, digits) if digits is not None else r).alias("r"),
     )
 
 
-def corr_block(df: DataFrame, rows: list[str], cols: list[str], most_cells: int = 20) -> DataFrame:
-    """Correlations of some columns with some others.
-
-    A few cells fit one aggregate; more of them come faster from the matrix.
-    """
+def corr_block(df: DataFrame, rows: list[str], cols: list[str]) -> DataFrame:
+    """Correlations of some columns with some others: cells of the matrix."""
     rows, cols = present(df, rows), present(df, cols)
-    if len(rows) * len(cols) > most_cells:
-        matrix = corr_matrix(df, list(dict.fromkeys(rows + cols)), None)
-        return matrix.where(F.col("row_name").isin(rows) & F.col("col_name").isin(cols))
-    cells = [
-        F.struct(
-            F.lit(a).alias("row_name"), F.lit(b).alias("col_name"), correlation(a, b).alias("r")
-        )
-        for a in rows
-        for b in cols
-    ]
-    return df.agg(F.array(*cells).alias("a")).select(F.inline("a"))
+    matrix = corr_matrix(df, list(dict.fromkeys(rows + cols)), None)
+    return matrix.where(F.col("row_name").isin(rows) & F.col("col_name").isin(cols))
 
 
 def rank_factors(df: DataFrame, factors: list[str], target: str = "total_sales") -> DataFrame:

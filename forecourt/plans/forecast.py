@@ -64,6 +64,24 @@ def fit_effects(train: DataFrame, model: DataFrame, drivers: list[str]) -> DataF
     )
 
 
+def with_model(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """Rows once per target of the model, with its quantiles and the ``level`` they come from.
+
+    Cells without training rows fall back: ``station`` is the own cell, ``hour`` the mean of all stations in this
+    day type and hour, ``all`` the mean of the target. No row is lost, whenever its station opened.
+    """
+    means = [F.avg(n).alias(n) for n in NAMES]
+    overall = model.groupBy("target").agg(*means)
+    # One entry per target, at most as many as there are target columns.
+    each = overall.agg(F.collect_list(F.struct("target", *[F.col(n).alias(f"_a_{n}") for n in NAMES]))).scalar()
+    pooled = model.groupBy("is_weekend", "hour", "target").agg(*[m.alias(f"_h_{n}") for m, n in zip(means, NAMES)])
+    long = rows.select("*", F.inline(each))
+    long = long.join(pooled, ["is_weekend", "hour", "target"], "left").join(model, [*CELL, "target"], "left")
+    level = F.when(F.col("q50").isNotNull(), "station").when(F.col("_h_q50").isNotNull(), "hour").otherwise("all")
+    filled = {n: F.coalesce(n, f"_h_{n}", f"_a_{n}") for n in NAMES}
+    return long.withColumn("level", level).withColumns(filled).drop(*[f"_{k}_{n}" for k in "ha" for n in NAMES])
+
+
 def forecast_seasonal(
     model: DataFrame,
     frame: DataFrame,
@@ -73,10 +91,12 @@ def forecast_seasonal(
 ) -> DataFrame:
     """Long forecasts in log units for every row of the frame.
 
-    With ``effects``, the values of the ``drivers`` move all quantiles of a row.
+    With ``effects``, the values of the ``drivers`` move all quantiles of a row. Rows whose
+    cell has no training rows use the fallback of ``with_model``; ``level`` in ``keep`` tells.
     """
     ids = [KEY, "timestamp", *keep]
-    rows = frame.select(*dict.fromkeys([*ids, *CELL, *drivers])).join(model, CELL)
+    asked = [c for c in dict.fromkeys([*ids, *CELL, *drivers]) if c != "level"]
+    rows = with_model(frame.select(*asked), model)
     if effects is None:
         return rows.select(*ids, "target", *NAMES)
     wide = effects.groupBy(KEY, "target").agg(
@@ -109,7 +129,8 @@ def rolling_origin(
     assembled prediction table needs no more than that.
 
     The error of the last hour before the origin carries over and fades by
-    ``persistence`` per hour. Only rows before the origin are used.
+    ``persistence`` per hour. Only rows before the origin are used. Cells without training
+    rows fall back as in ``with_model``; an unknown last error counts as zero.
     """
     fitted = long_targets(facts, [*CELL, "time_idx", "timestamp"], targets).join(
         model, [*CELL, "target"]
@@ -130,8 +151,8 @@ def rolling_origin(
     steps = steps.withColumns(
         {"hour": F.hour("timestamp"), "is_weekend": (F.weekday("timestamp") >= 5).cast("int")}
     )
-    rows = steps.join(model, CELL).join(last_error, [KEY, "target", "origin_idx"])
-    carry = F.col("_error") * F.pow(F.lit(persistence), F.col("horizon_h"))
+    rows = with_model(steps, model).join(last_error, [KEY, "target", "origin_idx"], "left")
+    carry = F.coalesce("_error", F.lit(0.0)) * F.pow(F.lit(persistence), F.col("horizon_h"))
     return rows.select(
         KEY,
         "origin_ts",

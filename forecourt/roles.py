@@ -51,7 +51,6 @@ GRADES = ["AI92", "AI95", "AI98", "DT_EURO", "DT_TANEKO", "DT_SUMMER", "DT_WINTE
 PRICES = [f"price_{g}" for g in GRADES]
 BASE_PRICES = [f"base_price_{g}" for g in GRADES]
 PUMPS = [f"num_pumps_{g}" for g in GRADES]
-PRICE_OF_TARGET = {f"sales_{g}": f"price_{g}" for g in GRADES}
 
 # Constant within a station, so z-scores are undefined for them.
 UNSCALED = PRICES
@@ -166,7 +165,6 @@ WEATHER_PRESETS = {
 }
 PRESET_FIELDS = WEATHER_REALS + WEATHER_FLAGS
 DEFAULT_PRESET = "normal"
-SCENARIO_DAYS = (1, 7, 30)
 
 # First and last day of the interpretation periods.
 PERIODS = {

@@ -74,9 +74,17 @@ def test_negative_logs_count_as_zero(spark):
 
 
 def test_code_text_drops_the_fraction(spark):
-    df = spark.createDataFrame([("2.0",), ("2.5",), ("shop",), (None,)], "c string")
-    out = [r.c for r in features.normalise_types(df, [], ["c"]).collect()]
-    assert out == ["2", "2.5", "shop", None]
+    df = spark.createDataFrame([("2.0", 2.0), ("2.5", 2.5), ("007", None)], "c string, d double")
+    out = features.normalise_types(df, [], ["c", "d"]).collect()
+    assert [r.c for r in out] == ["2", "2.5", "007"] and [r.d for r in out] == ["2", "2.5", None]
+
+
+def test_ids_and_mixed_codes_stay_as_they_are(spark):
+    rows = [(9007199254740993, "007", "2.0"), (9007199254740992, "7", "A1"), (None, None, None)]
+    df = spark.createDataFrame(rows, "station_id long, other string, mixed string")
+    out = features.normalise_types(df, ["station_id", "other"], ["mixed"]).collect()
+    assert [r.station_id for r in out] == ["9007199254740993", "9007199254740992", None]
+    assert [r.other for r in out] == ["007", "7", None] and [r.mixed for r in out] == ["2.0", "A1", None]
 
 
 def test_column_classes(spark):
@@ -90,7 +98,7 @@ def test_column_classes(spark):
 def test_unknown_code_keeps_its_code(spark):
     df = spark.createDataFrame([(1,), (13,)], "m int")
     out = [r.label for r in labels.with_label(df, "m", labels.MONTH).collect()]
-    assert out == ["Январь", "13"]
+    assert out == ["January", "13"]
 
 
 def test_clamp_takes_the_first_known_value(spark):

@@ -228,11 +228,29 @@ def test_rolling_forecast_feeds_medians_back(spark):
             "log_y_lag24": known[t - dt.timedelta(hours=24)], "log_y_lag168": known[t - dt.timedelta(hours=168)],
         }
         known[t] = intercept + sum(weights[k] * v for k, v in x.items()) + offset[r.hour]
+    assert (got["lags_filled"] == 0).all()
     mine = got[got.scenario_id == 2].sort_values("timestamp")
     want = [math.expm1(max(known[t], 0.0)) for t in mine["timestamp"]]
     assert np.allclose(mine["p50"], want, rtol=1e-9)
     assert (mine["p10"] <= mine["p50"] + 1e-12).all() and (mine["p50"] <= mine["p90"] + 1e-12).all()
 
+    hole = past.where("timestamp != TIMESTAMP_NTZ '2023-01-22 05:00:00'")
+    patched = scenario.rolling_forecast(model, spread, hole, applied, drivers, "sales_AI92").toPandas()
+    assert len(patched) == len(got) and patched["p50"].notna().all()
+    assert patched["lags_filled"].sum() == 2 * 2  # both scenarios: a day later and a week later
+
+
+def test_station_without_training_rows_is_forecast(spark):
+    cells = [(s, 0, h, "sales_AI92", *[float(s + h + k) for k in range(len(forecast.NAMES))]) for s in (1, 3) for h in (0, 1)]
+    model = spark.createDataFrame(cells, ["station_id", "is_weekend", "hour", "target", *forecast.NAMES])
+    rows = [(s, dt.datetime(2023, 1, 2, h), 0, h) for s in (1, 9) for h in (0, 1, 2)]
+    frame = spark.createDataFrame(rows, "station_id long, timestamp timestamp_ntz, is_weekend int, hour int")
+    got = forecast.forecast_seasonal(model, frame, keep=("level",)).collect()
+    assert len(got) == len(rows)
+    found = {(r.station_id, r.timestamp.hour): (r.level, r[forecast.NAMES[0]]) for r in got}
+    assert found[1, 0] == ("station", 1.0) and found[9, 0] == ("hour", 2.0) and found[9, 1] == ("hour", 3.0)
+    assert found[1, 2] == found[9, 2] == ("all", 2.5)
+
 
 def test_run_summary_prefers_the_finest_tag(spark):
     rows = [

@@ -64,9 +64,18 @@ def test_correlation_is_pairwise_complete(frame, sample):
 
 
 def test_correlation_block_equals_matrix(frame, sample):
-    cell = stats.corr_block(frame, ["x"], ["y", "z"]).collect()
-    assert np.isclose(cell[0].r, sample[["x", "y"]].corr().iloc[0, 1], atol=1e-9)
-    assert cell[1].r is None
+    cell = {r.col_name: r.r for r in stats.corr_block(frame, ["x"], ["y", "z"]).collect()}
+    assert np.isclose(cell["y"], sample[["x", "y"]].corr().iloc[0, 1], atol=1e-9)
+    assert cell["z"] is None
+
+
+def test_correlation_does_not_depend_on_units_or_on_other_columns(frame, sample):
+    scaled = frame.selectExpr("x", "y", "z", "y * 1e-12 AS small", "y * 1e12 AS large", "1e9 + y * 0 AS flat")
+    want = sample[["x", "y"]].corr().iloc[0, 1]
+    for cols in (["small"], ["y", "small", "large", "flat", "z"]):
+        got = {r.col_name: r.r for r in stats.corr_block(scaled, ["x"], cols).collect()}
+        assert all(np.isclose(got[c], want, atol=1e-9) for c in cols if c not in ("flat", "z"))
+        assert got.get("flat") is None
 
 
 def test_skewness_is_bias_adjusted(frame, sample):

@@ -24,9 +24,9 @@ PERIOD = f"timestamp BETWEEN TIMESTAMP '{standins.TEST_START}' AND TIMESTAMP '{s
 RAW = f""", steps AS (SELECT station_id, time_idx AS origin_idx, timestamp AS origin_ts, h AS horizon_h, timestamp + to_hours(h - 1) AS timestamp
     FROM (SELECT *, CAST(unnest(range(1, 25)) AS INTEGER) AS h FROM idx WHERE time_idx >= 84 AND {PERIOD})),
   err AS (SELECT l.station_id, l.target, l.time_idx + 1 AS origin_idx, ln(1 + y) - q50 AS e FROM long l JOIN model USING (station_id, is_weekend, hour, target)),
-  raw AS (SELECT s.station_id, s.origin_ts, s.horizon_h, s.timestamp, m.target, {', '.join(f'm.{n} + e * pow(0.5::DOUBLE, horizon_h) AS {n}' for n in Q)}
+  raw AS (SELECT s.station_id, s.origin_ts, s.horizon_h, s.timestamp, m.target, {', '.join(f'm.{n} + coalesce(e, 0) * pow(0.5::DOUBLE, horizon_h) AS {n}' for n in Q)}
     FROM steps s JOIN model m ON m.station_id = s.station_id AND m.hour = hour(s.timestamp) AND m.is_weekend = CAST(isodow(s.timestamp) >= 6 AS INTEGER)
-    JOIN err r ON r.station_id = s.station_id AND r.target = m.target AND r.origin_idx = s.origin_idx)"""
+    LEFT JOIN err r ON r.station_id = s.station_id AND r.target = m.target AND r.origin_idx = s.origin_idx)"""
 
 
 def _unlog(n):
