@@ -6,12 +6,13 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from forecourt.llm import chat, decontaminate, dedup, graph, mixing, pii, quality, secrets, sharding, toxicity, urlrules
+from forecourt.llm import chat, decontaminate, dedup, graph, mixing, pii, quality, secrets, sharding, textnum, toxicity, urlrules
 
 DOC = "doc_id long, text string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -158,6 +159,20 @@ def test_toxicity_hard_rows_and_no_labels(spark):
     assert {r.score for r in toxicity.score(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_keeps_words_apart_that_share_a_short_hash(spark):
+    names = [f"w{k}" for k in range(4_000_000)]
+    data = np.frombuffer("".join(["idiot", *names]).encode(), np.uint8)
+    ends = np.cumsum([5, *map(len, names)])
+    short = textnum.word_hashes(data, np.concatenate(([0], ends[:-1])), ends) >> np.uint64(44)
+    twin = names[int(np.flatnonzero(short[1:] == short[0])[0])]
+    counts = toxicity.word_counts(spark.createDataFrame([(1, f"Idiot {twin}"), (0, f"{twin}, kind"), (0, None)], "toxic long, text string"))
+    assert sorted(map(tuple, counts.collect())) == sorted([("idiot", 0, 1), (twin, 1, 1), ("kind", 1, 0)])
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    docs = frame(spark, ["idiot word here" if i % 3 == 0 else "a kind word stands here" for i in range(60)] + ["Idiot", twin, "unseen"])
+    rows = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
+    assert rows[60] > rows[61] == rows[62]
+
+
 # Near-duplicates
 
 
