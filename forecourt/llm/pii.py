@@ -163,17 +163,16 @@ def _learned(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
     words = docs.select(F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     totals = words.groupBy(_bare(F.col("w")).alias("word")).agg(F.sum("n").alias("total"))
-    backed = edges.where("seed").groupBy("word").agg(F.count(F.lit(1)).alias("_n")).select("word")
-    totals = totals.join(backed, "word", "left_semi")
-    # Patterns without one seed can still gain support from discovered instances, but need a counted word.
-    edges = scratch.materialise(edges.join(totals, "word", "left"), "edges")
+    # Every word beside a candidate is counted: a pattern may have no seed and gain support from discovered instances.
+    edges = scratch.materialise(edges, "edges")
+    totals = scratch.materialise(totals.join(edges.select("word").distinct(), "word", "left_semi"), "totals")
     scores = edges.where("seed").select("instance").distinct().withColumn("score", F.lit(1.0))
     for _ in range(ROUNDS):
-        weighted = edges.join(scores, "instance")
-        patterns = weighted.where("total IS NOT NULL").groupBy("side", "word").agg(
-            (F.sum(F.col("score") * F.col("n")) / F.max("total")).alias("confidence"), F.sum("score").alias("support")
+        weighted = edges.join(scores, "instance").groupBy("side", "word").agg(
+            F.sum(F.col("score") * F.col("n")).alias("mass"), F.sum("score").alias("support")
         )
-        sure = patterns.where((F.col("support") >= SUPPORT) & (F.col("confidence") >= CONFIDENT))
+        patterns = weighted.where(F.col("support") >= SUPPORT).join(totals, "word").withColumn("confidence", F.col("mass") / F.col("total"))
+        sure = patterns.where(F.col("confidence") >= CONFIDENT)
         sure = scratch.materialise(sure.select("side", "word", F.least("confidence", F.lit(0.99)).alias("confidence")), "patterns")
         new = edges.where("open AND NOT seed").join(sure, ["side", "word"]).groupBy("instance")
         new = new.agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))

@@ -351,6 +351,13 @@ def test_pii_contexts_discover_unseen_forms(spark):
     assert got == {40: "learned:14:25"}
 
 
+def test_pii_patterns_follow_from_discovered_instances(spark):
+    texts = [f"some words Telefon: +49 (030) 555-{i:04d} and more" for i in range(40)]
+    texts += [f"call Telefon: 030-555{i:04d} Nebenstelle" for i in range(4)] + ["ask 040-1234567 Nebenstelle", "ask 040-7654321 nobody"]
+    got = {r.doc_id for r in pii.scan(frame(spark, texts)).where("n_learned > 0").collect()}
+    assert got == {40, 41, 42, 43, 44}
+
+
 def test_native_operators_run_without_python(spark):
     import __spark_entry__ as entry
 
