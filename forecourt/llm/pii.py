@@ -166,7 +166,9 @@ def _learned(docs: DataFrame, found: DataFrame) -> DataFrame:
     # Every word beside a candidate is counted: a pattern may have no seed and gain support from discovered instances.
     edges = scratch.materialise(edges, "edges")
     totals = scratch.materialise(totals.join(edges.select("word").distinct(), "word", "left_semi"), "totals")
-    scores = edges.where("seed").select("instance").distinct().withColumn("score", F.lit(1.0))
+    # ``given`` tells seeds from instances whose score is rounded to 1.
+    seeds = edges.where("seed").select("instance").distinct().select("instance", F.lit(1.0).alias("score"), F.lit(True).alias("given"))
+    scores = seeds
     for _ in range(ROUNDS):
         weighted = edges.join(scores, "instance").groupBy("side", "word").agg(
             F.sum(F.col("score") * F.col("n")).alias("mass"), F.sum("score").alias("support")
@@ -175,10 +177,9 @@ def _learned(docs: DataFrame, found: DataFrame) -> DataFrame:
         sure = patterns.where(F.col("confidence") >= CONFIDENT)
         sure = scratch.materialise(sure.select("side", "word", F.least("confidence", F.lit(0.99)).alias("confidence")), "patterns")
         new = edges.where("open AND NOT seed").join(sure, ["side", "word"]).groupBy("instance")
-        new = new.agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
-        seeds = edges.where("seed").select("instance").distinct().withColumn("score", F.lit(1.0))
+        new = new.agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"), F.lit(False).alias("given"))
         scores = scratch.materialise(seeds.unionByName(new.join(seeds, "instance", "left_anti")), "scores")
-    return scores.where((F.col("score") >= ACCEPT) & (F.col("score") < 1)).select("instance")
+    return scores.where((F.col("score") >= ACCEPT) & ~F.col("given")).select("instance")
 
 
 def _listed(spans: Column) -> Column:

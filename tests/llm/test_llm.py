@@ -358,6 +358,14 @@ def test_pii_patterns_follow_from_discovered_instances(spark):
     assert got == {40, 41, 42, 43, 44}
 
 
+def test_pii_keeps_an_instance_beside_many_confident_words(spark):
+    words = ["alef", "beth", "gimel", "daleth", "he", "waw", "zayin", "heth", "teth", "yodh"]
+    texts = [f"{w}: +49 (030) 555-{i}{k}77 and more" for k, w in enumerate(words) for i in range(10, 14)]
+    texts += [f"{w}: 030-5551234 and more" for w in words] + [f"and {i} more" for i in range(200)]
+    got = {r.doc_id for r in pii.scan(frame(spark, texts)).where("n_learned > 0").collect()}
+    assert got == set(range(40, 50))
+
+
 def test_native_operators_run_without_python(spark):
     import __spark_entry__ as entry
 
