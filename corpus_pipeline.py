@@ -35,8 +35,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard and slot."""
-    return sharding.reshard(docs, SHARDS)
+    """All documents with their shard; the slots of a shard follow the mixture, which is the order of ``docs``."""
+    return sharding.reshard_in_order(docs, SHARDS)
 
 
 STAGES = [

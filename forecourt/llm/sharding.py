@@ -11,7 +11,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import ranked
+from forecourt.llm.common import fresh, ranked
 from forecourt.sources import scratch
 
 Edge = tuple[object, object, int, int]
@@ -187,6 +187,34 @@ def reshard(
     )
 
 
+#: Rows of a file that are numbered together.
+RUN = 50_000
+
+
+def _as_stored(docs: DataFrame, file: str, row: str) -> DataFrame:
+    """``docs`` with the name of each row's file and its place there. What is no table of files is written first."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = scratch.materialise(docs, "stored")
+    return docs.withColumns({file: F.col("_metadata.file_name"), row: F.col("_metadata.row_index")})
+
+
+def reshard_in_order(docs: DataFrame, shards: int, **options) -> DataFrame:
+    """``reshard``, but the slots of a shard follow the order of ``docs``: file after file by name, row after row.
+
+    Rows are numbered inside runs of ``RUN`` rows of a file, and the counts of the runs are summed.
+    """
+    file, row, run, before, inside = (fresh(docs, c) for c in ("_file", "_row", "_run", "_before", "_inside"))
+    placed = reshard(_as_stored(docs, file, row), shards, **options)
+    placed = scratch.materialise(placed.withColumn(run, F.floor(F.col(row) / RUN)), "placed")
+    counts = placed.groupBy("shard", file, run).agg(F.count(F.lit(1)).alias("_n"))
+    part = F.length(F.regexp_extract(file, r"part-([0-9]+)", 1))  # longer numbers follow shorter ones
+    earlier = F.sum("_n").over(Window.partitionBy("shard").orderBy(part, file, run)) - F.col("_n")
+    counts = scratch.materialise(counts.withColumn(before, earlier).drop("_n"), "runs")
+    numbered = placed.withColumn(inside, F.row_number().over(Window.partitionBy("shard", file, run).orderBy(row)))
+    joined = numbered.join(counts, ["shard", file, run]).withColumn("slot", F.col(before) + F.col(inside) - 1)
+    return joined.select(*[c for c in placed.columns if c not in (file, row, run)])
+
+
 def rewrite(placed: DataFrame, path: str) -> list[int]:
     """Write the files of the shards that rows left or entered, as ``shard=N`` below ``path``; the other shards' files stay.
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from forecourt.llm import chat, decontaminate, dedup, graph, mixing, pii, quality, secrets, sharding, textnum, toxicity, urlrules
+from forecourt.sources import scratch
 
 DOC = "doc_id long, text string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -392,3 +393,29 @@ def test_pipeline_stages(spark):
     groups = brute_groups(list(first.items()), 80)
     assert {r.doc_id for r in steps[1].collect()} == {i for i, g in groups.items() if g[2]}
     assert sorted(r.doc_id for r in steps[3].collect()) == sorted(r.doc_id for r in steps[4].collect())
+
+
+def test_pipeline_slots_follow_the_mixture(spark):
+    docs = documents(spark)
+    docs = scratch.materialise(docs.unionByName(docs.limit(3)).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long"))).repartition(5), "docs")
+    stages = dict(corpus_pipeline.STAGES)
+    ordered = scratch.materialise(stages["mixed"](spark, docs, SMALL).repartitionByRange(3, "doc_id"), "other")
+    mixture = scratch.materialise(stages["mixed"](spark, docs, SMALL), "mixture")
+
+    def slots(rows):
+        out = {}
+        for r in sorted(stages["sharded"](spark, rows, SMALL).collect(), key=lambda r: r.slot):
+            out.setdefault(r.shard, []).append((r.doc_id, r.slot))
+        return out
+
+    with_mixture = slots(mixture)
+    assert slots(stages["mixed"](spark, docs, SMALL).cache()) == with_mixture
+    assert slots(docs) != with_mixture and slots(ordered) != with_mixture
+    at = {}
+    for r in mixing.mix(docs).collect():
+        at.setdefault(r.doc_id, []).append(r.position)
+    assert sum(map(len, with_mixture.values())) == docs.count()
+    for held in with_mixture.values():
+        assert [slot for _, slot in held] == list(range(len(held)))
+        places = [min(at[i]) for i, _ in held if len(at[i]) == 1]
+        assert places == sorted(places)
