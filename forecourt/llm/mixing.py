@@ -5,24 +5,28 @@ release time floor(i * W / W_s) and the deadline ceil((i + 1) * W / W_s); slots
 released block of the earliest deadline. At every slot t of a phase, each source has then had more than
 t * W_s / W - 1 and less than t * W_s / W + 1 blocks.
 
-The schedule repeats after W slots, so the driver lays out one period of W slots, and Spark computes the slot of
-every block from it. When a source has no more blocks, a new phase begins in which the others share its weight
-in proportion, until every document has its place.
+Weights are taken as they are: a float is a fraction, and all fractions are scaled to integers of one denominator.
+When a source has no more blocks and its next one would be due for release, a new phase begins in which the others
+share its weight in proportion, until every document has its place. Counts begin anew with each phase. The driver lays out the schedule, one row per block; Spark counts, ranks and joins.
 """
 
 import heapq
-from collections.abc import Mapping
+from array import array
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
+from math import lcm
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import fresh, ranked
 from forecourt.sources import scratch
 
-#: Weights are rounded to whole parts of this sum.
-PARTS = 1000
-#: The driver holds one row per source; more sources than this are refused.
-MOST_SOURCES = 10_000
+#: Largest release or deadline that is written down: those of weights below 1e-18 of the sum may lie beyond.
+LAST = (1 << 63) - 1
+#: Blocks that the driver holds as one piece.
+_PIECE = 100_000
 
 
 def source_key(source: Column) -> Column:
@@ -35,56 +39,89 @@ def tempered(counts: Mapping[str, int], alpha: float) -> dict[str, float]:
     return {s: n**alpha for s, n in counts.items()}
 
 
-def whole_parts(weights: Mapping[str, float], parts: int = PARTS) -> dict[str, int]:
-    """Weights as positive integers of about the sum ``parts``, or one part each if there are more sources."""
-    total = sum(weights.values())
-    return {s: max(1, round(w * parts / total)) for s, w in weights.items()}
+def exact_parts(weights: Mapping[str, float]) -> dict[str, int]:
+    """Weights as integers in exactly the same proportions."""
+    if not all(0 <= w < float("inf") for w in weights.values()):
+        raise ValueError("a weight is negative or not finite")
+    whole = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(w.denominator for w in whole.values()))
+    return {s: int(w * scale) for s, w in whole.items()}
 
 
-def period(parts: Mapping[str, int]) -> dict[str, list[int]]:
-    """Slots of each source in one period: earliest deadline first among released blocks.
+def schedule(blocks: Mapping[str, int], parts: Mapping[str, int]) -> Iterator[tuple]:
+    """``source, block, phase, slot, release, deadline, weight`` of every block, slot after slot.
 
-    Ties: a block whose deadline window overlaps the next one's goes first, then the larger weight, then the name.
+    Earliest deadline first among released blocks. Ties: a block whose deadline window overlaps the next one's goes
+    first, then the larger weight, then the name. Among the first blocks of a phase this is the order of weight and
+    name, so a phase begins without a look at every source. A phase ends when a source that has got its last block would
+    have its next one released: until then the others keep their weights. Sources of weight 0 come when the others are used up, at equal weights.
     """
-    total = sum(parts.values())
-    slots: dict[str, list[int]] = {s: [] for s in parts}
-    waiting = [(0, s) for s in sorted(parts)]
-    heapq.heapify(waiting)
-    ready: list[tuple] = []
-    for slot in range(total):
-        while waiting and waiting[0][0] <= slot:
-            _, s = heapq.heappop(waiting)
-            done = len(slots[s]) + 1
-            heapq.heappush(ready, (-(-done * total // parts[s]), (done * total) % parts[s] == 0, -parts[s], s))
-        *_, s = heapq.heappop(ready)
-        slots[s].append(slot)
-        heapq.heappush(waiting, (len(slots[s]) * total // parts[s], s))
-    return slots
-
-
-def phases(blocks: Mapping[str, int], parts: Mapping[str, int]) -> list[dict]:
-    """For each phase and source: first block, end block, first slot of the phase and slots in its period.
-
-    A phase ends with the slot in which a source gets its last block.
-    """
-    left, start, out = dict(blocks), 0, []
-    while left := {s: n for s, n in left.items() if n}:
-        share = {s: parts[s] for s in left}
-        total, slots = sum(share.values()), period(share)
-
-        def slot_of(s, i):
-            return i // share[s] * total + slots[s][i % share[s]]
-
-        length = min(slot_of(s, n - 1) for s, n in left.items()) + 1
-        for s in sorted(left):
-            whole, rest = divmod(length, total)
-            taken = whole * share[s] + sum(x < rest for x in slots[s])
-            first = blocks[s] - left[s]
-            out.append({"source": s, "phase": len(out), "first": first, "end": first + taken, "start": start, "total": total, "part": share[s], "slots": slots[s]})
-            left[s] -= taken
-        start += length
-    number = {x: k for k, x in enumerate(sorted({p["start"] for p in out}))}
-    return [p | {"phase": number[p["start"]]} for p in out]
+    for some, weigh in ((lambda s: parts[s] > 0, parts.get), (lambda s: parts[s] == 0, lambda s: 1)):
+        order = sorted((s for s, n in blocks.items() if n and some(s)), key=lambda s: (-weigh(s), s))
+        if order:
+            yield from _schedule({s: blocks[s] for s in order}, {s: weigh(s) for s in order}, order)
+
+
+def _schedule(blocks: dict[str, int], parts: dict[str, int], order: list[str]) -> Iterator[tuple]:
+    after, before = dict(zip([None, *order], [*order, None])), dict(zip([*order, None], [None, *order]))
+    total, taken = sum(parts.values()), dict.fromkeys(order, 0)
+
+    def wanted(s, done):
+        done += 1
+        return -(-done * total // parts[s]), (done * total) % parts[s] == 0, -parts[s], s
+
+    phase = slot = 0
+    while total:
+        untouched, ready, waiting, done, t = after[None], [], [], {}, 0
+        gone, end = [], None
+        while end is None or t < end:
+            while waiting and waiting[0][0] <= t:
+                s = heapq.heappop(waiting)[1]
+                heapq.heappush(ready, wanted(s, done[s]))
+            first = wanted(untouched, 0) if untouched is not None else None
+            if first and (not ready or first < ready[0]):
+                untouched, key = after[untouched], first
+            else:
+                key = heapq.heappop(ready)
+            s = key[-1]
+            n = done.get(s, 0)
+            yield s, taken[s], phase, slot, min(n * total // parts[s], LAST), min(key[0], LAST), parts[s] / total
+            done[s], taken[s], slot, t = n + 1, taken[s] + 1, slot + 1, t + 1
+            release = (n + 1) * total // parts[s]
+            if taken[s] < blocks[s]:
+                heapq.heappush(waiting, (release, s))
+            else:
+                gone.append(s)
+                end = release if end is None else min(end, release)
+        for s in gone:
+            after[before[s]], before[after[s]] = after[s], before[s]
+            total -= parts[s]
+        phase += 1
+
+
+def _pieces(counts: Mapping[str, int], parts: Mapping[str, int], block_rows: int) -> Iterator[pa.RecordBatch]:
+    """The schedule as Arrow batches, with the position ``at`` of the first row of each block."""
+    names = ["source", "block", "phase", "slot", "release", "deadline", "weight", "at"]
+    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
+    at = slots = phases = 0
+    last, rows = (-1, -1), None
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), *[pa.array(memoryview(x)) for x in rows[1:]]], names)
+
+    for s, block, phase, slot, release, deadline, weight in schedule(blocks, parts):
+        if slot < last[0]:  # the sources of weight 0 begin
+            slots, phases = slots + last[0] + 1, phases + last[1] + 1
+        last = slot, phase
+        rows = rows or [[], *[array(c) for c in "qqqqqdq"]]
+        for column, value in zip(rows, (s, block, phase + phases, slot + slots, release, deadline, weight, at)):
+            column.append(value)
+        at += min(block_rows, counts[s] - block * block_rows)
+        if len(rows[0]) == _PIECE:
+            yield batch()
+            rows = None
+    if rows:
+        yield batch()
 
 
 def mix(
@@ -98,7 +135,7 @@ def mix(
     """``docs`` with ``block, weight, release, deadline, slot, phase, position``, which replace columns of these names.
 
     ``weights`` by source name; a source without one, like all sources without ``weights``, has its number of rows to
-    the power ``alpha`` of all rows. ``block`` is the number of the row's block in its source (``block_rows`` rows,
+    the power ``alpha`` of all rows. A weight of 0 places a source behind all others. ``block`` is the number of the row's block in its source (``block_rows`` rows,
     the last one fewer), ``release`` and ``deadline`` are counted from the start of its phase with the ``weight`` (0
     to 1) it has there, ``slot`` and ``position`` from 0 over all; positions are unique and gapless. A source's rows
     are taken in the order of a hash of the ``order`` columns. Every row is placed once; repeated rows are rows. A null
@@ -108,35 +145,24 @@ def mix(
     key, spread = fresh(rows, "_source"), fresh(rows, "_spread")
     rows = rows.withColumns({key: source_key(F.col(source)), spread: F.xxhash64(*order)})
     slim = scratch.materialise(rows.select(key, spread), "sources")
-    counted = slim.groupBy(key).count().limit(MOST_SOURCES + 1).collect()
-    if len(counted) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    counts = {r[key]: r["count"] for r in counted}
+    counts = {r[key]: r["count"] for r in slim.groupBy(key).count().collect()}
     shares = tempered({s: n / max(1, sum(counts.values())) for s, n in counts.items()}, alpha)
-    parts = whole_parts(shares | {f"={s}": w for s, w in (weights or {}).items() if f"={s}" in counts}) if counts else {}
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    table = []
-    for p in phases(blocks, parts):
-        # A source's short last block ends a phase, so later phases begin earlier by the rows it lacks.
-        short = sum(blocks[s] * block_rows - counts[s] for s in {q["source"] for q in table if q["end"] == blocks[q["source"]] and q["phase"] < p["phase"]})
-        table.append(p | {"gap": short})
-    schema = "source string, phase int, first long, end long, start long, total long, part long, slots array<int>, gap long"
-    spans = docs.sparkSession.createDataFrame([tuple(p[c.split()[0]] for c in schema.split(", ")) for p in table], schema)
-    spans = spans.select(*[F.col(c).alias(f"_p_{c}") for c in spans.columns])
+    parts = exact_parts(shares | {f"={s}": w for s, w in (weights or {}).items() if f"={s}" in counts})
+    schema = "source string, block long, phase long, slot long, release long, deadline long, weight double, at long"
+    pieces = list(_pieces(counts, parts, block_rows))
+    blocks = docs.sparkSession.createDataFrame(pa.Table.from_batches(pieces), schema) if pieces else docs.sparkSession.createDataFrame([], schema)
+    blocks = scratch.materialise(blocks.select(*[F.col(c).alias(f"_p_{c}") for c in blocks.columns]), "blocks")
     placed = ranked(rows, [key], [spread], list(order), slim).withColumn("block", F.floor(F.col("rank") / block_rows))
-    joined = placed.join(spans, (F.col(key) == F.col("_p_source")) & (F.col("block") >= F.col("_p_first")) & (F.col("block") < F.col("_p_end")))
-    i, total, part = F.col("block") - F.col("_p_first"), F.col("_p_total"), F.col("_p_part")
-    inside = F.floor(i / part) * total + F.element_at("_p_slots", (i % part + 1).cast("int"))
-    slot = F.col("_p_start") + inside
+    joined = placed.join(blocks, (F.col(key) == F.col("_p_source")) & (F.col("block") == F.col("_p_block")))
     return joined.select(
         *docs.drop("block", "weight", "release", "deadline", "slot", "phase", "position").columns,
         "block",
-        (part / total).alias("weight"),
-        F.expr("(block - _p_first) * _p_total div _p_part").alias("release"),
-        F.expr("((block - _p_first + 1) * _p_total + _p_part - 1) div _p_part").alias("deadline"),
-        slot.cast("long").alias("slot"),
-        F.col("_p_phase").alias("phase"),
-        (slot * block_rows - F.col("_p_gap") + F.col("rank") - F.col("block") * block_rows).cast("long").alias("position"),
+        F.col("_p_weight").alias("weight"),
+        F.col("_p_release").alias("release"),
+        F.col("_p_deadline").alias("deadline"),
+        F.col("_p_slot").alias("slot"),
+        F.col("_p_phase").cast("int").alias("phase"),
+        (F.col("_p_at") + F.col("rank") - F.col("block") * block_rows).cast("long").alias("position"),
     )
 
 

@@ -287,6 +287,31 @@ def test_mixture_deviates_less_than_a_block(spark, weights):
     assert mixing.mix(docs.limit(0), weights, order=("doc_id",)).count() == 0
 
 
+def test_mixture_keeps_exact_weights_with_many_sources(spark):
+    name = F.when(F.col("id") < 4000, "hot").when(F.col("id") < 4100, "last").otherwise(F.concat(F.lit("s"), F.col("id")))
+    docs = spark.range(4100 + 10_500).select(F.col("id").alias("doc_id"), name.alias("source"))
+    target = {"hot": 0.1} | {f"s{i}": 0.9 / 10_500 for i in range(4100, 14_600)} | {"last": 0.0}
+    rows = mixing.mix(docs, target, order=("doc_id",), block_rows=1).collect()
+    assert sorted(r.position for r in rows) == sorted(r.slot for r in rows) == list(range(14_600))
+    first = {r.source: r.weight for r in rows if r.phase == 0}
+    assert len(first) >= 1 and all(abs(w - target[s]) < 1e-12 for s, w in first.items())
+    assert min(r.slot for r in rows if r.source == "last") == 14_500
+    hot = sorted(r.slot for r in rows if r.source == "hot")
+    assert 80 <= sum(s < 1000 for s in hot) <= 120
+
+
+def test_mixture_deviates_less_than_a_block_from_the_targets(spark):
+    n = {"a": 60_000, "b": 7_919, "c": 31}
+    docs = spark.range(sum(n.values())).selectExpr("id AS doc_id", f"CASE WHEN id < {n['a']} THEN 'a' WHEN id < {n['a'] + n['b']} THEN 'b' ELSE 'c' END AS source")
+    rows = mixing.mix(docs, order=("doc_id",), block_rows=1).where("phase = 0").select("slot", "source").collect()
+    target = {s: (x / sum(n.values())) ** 0.7 for s, x in n.items()}
+    done, total = Counter(), sum(target.values())
+    assert len(rows) > 1000
+    for t, r in enumerate(sorted(rows)):
+        done[r.source] += 1
+        assert all(abs(done[s] - w / total * (t + 1)) < 1 for s, w in target.items())
+
+
 # Sharding
 
 
