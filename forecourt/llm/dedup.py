@@ -4,19 +4,21 @@
 2. A class has a SuperMinHash signature: each shingle visits the slots in an order of its own (a random
    permutation), and its value in the j-th slot it visits lies in [j, j + 1). Once every slot holds a value
    below j, further visits cannot change a slot, so long sets stop after a few steps.
-3. Classes that agree in a band of ``ROWS`` slots are candidates. In each bucket the most typical member is
-   compared with all others; members whose group is still open are compared in further rounds, the most typical
-   of every group against the members of other groups, until no bucket holds two groups that were not
-   compared; four times as many represent a group in each round. A bucket of copies is settled by its first, linear round. A pair is left out only if it is in one
-   group already or if counts of rare shingles prove that it is no link.
-4. Candidates are verified on full shingle sets; links are grouped into components.
+3. Classes that agree in a band of ``ROWS`` slots are candidates. In each bucket the most typical member, the one
+   whose own buckets are the fullest, is compared with all others. That is linear, and settles buckets of copies.
+4. Buckets that still hold several groups are refined by rare shingles: two linked sets share one of their first
+   elements in a common order by rarity (``_prefixes``). Members that share such an element are compared with
+   the most typical one there, then with 16, 256, 4096, ... of them, and groups are contracted after each round, until
+   no element holds two groups that were not compared. No round makes more than its number of pivots times its rows.
+5. Every pair first has to pass a parity sketch, a bound on the symmetric difference that no link can fail. What
+   passes is verified on full shingle sets; links are grouped into components.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm import graph, textnum
@@ -27,6 +29,8 @@ SIZE = 5
 #: Bands and rows: a pair with a Jaccard similarity of 0.8 is missed with probability 3e-6, of 0.85 with 7e-9.
 BANDS, ROWS = 32, 5
 SLOTS = BANDS * ROWS
+#: Longs of a parity sketch.
+SKETCH = 8
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,6 +75,18 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return keys
 
 
+def sketches(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
+    """One bit for each cell of the hash range: whether the cell holds an odd number of the set's elements.
+
+    The sketches of two sets differ in the cells that hold an odd number of elements of their symmetric
+    difference, so in no more bits than that difference has elements.
+    """
+    cells = 64 * SKETCH
+    cell = (textnum.mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(cells)).astype(np.int64)
+    odd = np.bincount(row * cells + cell, minlength=n_rows * cells).reshape(n_rows, cells) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
+
+
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = batch.column("key")
@@ -88,8 +104,9 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(sums[0].view(np.int64)),
                     pa.array(sums[1].view(np.int64)),
                     pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel()), BANDS).cast(pa.list_(pa.int64())),
+                    pa.FixedSizeListArray.from_arrays(pa.array(sketches(row, h, n).ravel()), SKETCH).cast(pa.list_(pa.int64())),
                 ],
-                ["key", "n_shingles", "d1", "d2", "bands"],
+                ["key", "n_shingles", "d1", "d2", "bands", "sketch"],
             )
 
 
@@ -103,99 +120,111 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([nodes.slice(at, to - at), lists], ["node", "elements"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` (b has the larger share of rows) with 100 * intersection >= percent * union."""
-    left = pairs.join(sets.toDF("a", "set_a"), "a")
-    both = left.join(sets.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi").toDF("b", "set_b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    union = F.size("set_a") + F.size("set_b") - common
-    return both.where(100 * common >= percent * union).select("a", "b")
+def _near(percent: int) -> Column:
+    """Whether ``n, sketch`` and ``pivot_n, pivot_sketch`` allow a link: a bound that no linked pair fails.
+
+    100 * intersection >= percent * union is (100 + percent) * difference <= (100 - percent) * (sum of sizes).
+    """
+    bits = " + ".join(f"bit_count(sketch[{k}] ^ pivot_sketch[{k}])" for k in range(SKETCH))
+    return F.expr(f"{100 + percent} * greatest({bits}, abs(n - pivot_n)) <= {100 - percent} * (n + pivot_n)")
 
 
-def _unique(sets: DataFrame) -> DataFrame:
-    """``node, u``: how many elements of a set occur in no other set."""
-    element = sets.select("node", F.explode("elements").alias("e")).groupBy("e")
-    alone = element.agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node")).where("c = 1")
-    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("u"))
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``node, pivot`` (the pivot has the larger share of rows) with 100 * intersection >= percent * union."""
+    left = pairs.join(sets, "node").withColumnRenamed("elements", "own")
+    wanted = sets.withColumnRenamed("node", "pivot").join(pairs.select("pivot").distinct(), "pivot", "left_semi")
+    both = left.join(wanted, "pivot")
+    common = F.size(F.array_intersect("own", "elements"))
+    union = F.size("own") + F.size("elements") - common
+    return both.where(100 * common >= percent * union).drop("own", "elements")
 
 
 def _prefixes(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``node, prefix``: the rarest elements of each set, in one order for all, as many as a linked pair cannot both avoid.
+    """``node, e``: the rarest elements of each set, in one order for all, as many as a linked pair cannot both avoid.
 
     Linked sets share at least ``percent`` per cent of either one, so they share one of the first
     ``n - ceil(percent * n / 100) + 1`` elements. Elements that only one group (``root``) has are left out of a
     prefix, and sets whose prefix is then empty are left out of the table: they have no link to another group.
     """
-    nodes = placed.select("node", "root").distinct()
-    held = sets.join(nodes, "node").select("node", "root", F.explode("elements").alias("e"))
+    # The rows of one set, not of one node: an id may have several texts.
+    held = sets.join(placed, "node").select("node", "root", F.xxhash64("elements").alias("set"), F.explode("elements").alias("e"))
     counts = held.groupBy("e").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     counts = counts.select("e", "c", (F.col("lo") != F.col("hi")).alias("across"))
-    listed = held.join(counts, "e").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "e", "across"))).alias("r"))
+    listed = held.join(counts, "e").groupBy("node", "set").agg(F.array_sort(F.collect_list(F.struct("c", "e", "across"))).alias("r"))
     length = (F.size("r") - F.ceil(F.size("r") * percent / 100) + 1).cast("int")
     first = F.filter(F.slice("r", F.lit(1), length), lambda x: x["across"])
-    return listed.select("node", F.transform(first, lambda x: x["e"]).alias("prefix")).where("size(prefix) > 0")
+    return listed.select("node", F.explode(first).alias("x")).select("node", F.col("x.e").alias("e")).distinct()
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the ``root`` of their ``node``: itself, if it has no link yet."""
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _mixed(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` still holds more than one root."""
+    mixed = rows.groupBy(key).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select(key)
+    return rows.join(mixed, key, "left_semi")
+
+
+def _contracted(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after links ``a, b`` between roots."""
+    merged = scratch.materialise(graph.components(links), "components")
+    moved = roots.join(merged.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    return scratch.materialise(moved.unionByName(merged.join(roots, "node", "left_anti")), "roots")
 
 
-def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Component roots of the nodes of ``members`` (``band, node, n, u``) that are linked: ``node, root``.
+def _links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Component roots of the nodes of ``members`` (``band, node``) that are linked: ``node, root``.
 
-    Elements of no other set bound the similarity of a pair, so most pairs of loosely edited copies need no
-    comparison. The member with the fewest such elements is the most typical one and comes first.
+    ``nodes`` holds ``node, n, sketch, weight``; a bucket's pivot has the largest weight.
     """
-    most = "least(n - u, pivot_n - pivot_u)"
-    fits = F.expr(f"100 * {most} >= {percent} * (n + pivot_n - {most})")
-    first = F.min(F.struct("u", "node", "n")).alias("p")
-    as_pivot = [F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.u").alias("pivot_u")]
-    pivots = scratch.materialise(members.groupBy("band").agg(first).select("band", *as_pivot), "pivots")
-    placed = members.join(pivots, "band").where(F.col("node") != F.col("pivot"))
-    pairs = placed.where(fits).select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = scratch.materialise(_verified(pairs, sets, percent), "verified")
-    roots = scratch.materialise(graph.components(links), "components")
-    open_, prefixes, turn = placed.select("band", "node", "n", "u"), None, 0
+    near, pivot_of = _near(percent), F.max_by("node", "weight").alias("pivot")
+    as_pivot = nodes.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sketch").alias("pivot_sketch"))
+    pivots = scratch.materialise(members.join(nodes.select("node", "weight"), "node").groupBy("band").agg(pivot_of), "pivots")
+    pairs = members.join(pivots, "band").where("node != pivot").select("node", "pivot").distinct()
+    pairs = pairs.join(nodes, "node").join(as_pivot, "pivot").where(near).select("node", "pivot")
+    links = scratch.materialise(_verified(scratch.materialise(pairs, "pairs"), sets, percent), "verified")
+    roots = scratch.materialise(graph.components(links.toDF("a", "b")), "roots")
+    placed = _mixed(_rooted(members, roots), "band").select("node", "root").distinct()
+    open_, turn = _prefixes(scratch.materialise(placed, "open"), sets, percent), 0
     while True:
-        placed = open_.join(roots, "node", "left").select("band", "node", "n", "u", F.coalesce("root", "node").alias("root"))
-        mixed = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band")
-        open_ = scratch.materialise(placed.join(mixed, "band", "left_semi"), "open")
+        open_ = scratch.materialise(_mixed(_rooted(open_, roots), "e"), "open")
         if open_.isEmpty():
             return roots
-        if prefixes is None:
-            prefixes = scratch.materialise(_prefixes(open_, sets, percent), "prefixes")
-            open_ = open_.join(prefixes.select("node"), "node", "left_semi").select("band", "node", "n", "u")
-            continue
-        part = F.pmod(F.xxhash64("node"), F.lit(4**turn))
+        held = open_.join(nodes, "node")
+        part = F.pmod(F.xxhash64("node"), F.lit(16**turn))
+        pivots = scratch.materialise(held.groupBy("e", part.alias("part")).agg(pivot_of).select("e", "pivot"), "pivots")
+        right = pivots.join(open_.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root")).distinct(), "pivot").join(as_pivot, "pivot")
+        pairs = held.join(right, "e").where(near & (F.col("root") != F.col("pivot_root")))
+        pairs = scratch.materialise(pairs.select("node", "pivot", "root", "pivot_root").distinct(), "pairs")
+        links = _verified(pairs, sets, percent).select(F.least("root", "pivot_root").alias("a"), F.greatest("root", "pivot_root").alias("b"))
+        links = scratch.materialise(links.distinct(), "verified")
+        if not links.isEmpty():
+            roots = _contracted(roots, links)
+        open_ = open_.drop("root").join(pivots.withColumnRenamed("pivot", "node"), ["e", "node"], "left_anti")
         turn += 1
-        pivots = open_.groupBy("band", "root", part.alias("part")).agg(first).select("band", F.col("root").alias("pivot_root"), *as_pivot)
-        pivots = scratch.materialise(pivots, "pivots")
-        left = open_.join(prefixes, "node")
-        right = pivots.join(prefixes.toDF("pivot", "pivot_prefix"), "pivot")
-        near = F.expr("root != pivot_root AND arrays_overlap(prefix, pivot_prefix)") & fits
-        pairs = left.alias("l").join(right.alias("p"), (F.col("l.band") == F.col("p.band")) & near)
-        pairs = pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-        new = scratch.materialise(_verified(pairs, sets, percent), "verified")
-        if not new.isEmpty():
-            links = scratch.materialise(links.unionByName(new), "links")
-            roots = scratch.materialise(graph.components(links), "components")
-        open_ = open_.drop("root").join(pivots.select("band", F.col("pivot").alias("node")), ["band", "node"], "left_anti")
 
 
 def _placed(docs: DataFrame, percent: int) -> DataFrame:
     """``key, n_shingles, component`` of every row of ``docs`` (``key, text``)."""
-    prints = scratch.materialise(docs.select("key", "text").mapInArrow(_fingerprint, "key long, n_shingles long, d1 long, d2 long, bands array<long>"), "prints")
+    schema = "key long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>"
+    prints = scratch.materialise(docs.select("key", "text").mapInArrow(_fingerprint, schema), "prints")
     small = prints.select("key", "n_shingles", "d1", "d2")
     classes = small.where("n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("key").alias("node"))
     classes = scratch.materialise(classes, "classes")
-    reps = prints.where("n_shingles > 0").join(classes, ["n_shingles", "d1", "d2"]).where("key = node")
-    banded = reps.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band")).distinct()
+    reps = prints.where("n_shingles > 0").join(classes.select(F.col("node").alias("key")), "key", "left_semi")
+    banded = reps.select(F.col("key").alias("node"), F.explode("bands").alias("band")).distinct()
     banded = scratch.materialise(banded, "bands")
-    shared = banded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("band")
-    members = scratch.materialise(banded.join(shared, "band", "left_semi"), "members")
-    nodes = members.select("node").distinct()
-    texts = docs.join(nodes.withColumnRenamed("node", "key"), "key", "left_semi").select(F.col("key").alias("node"), "text")
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    members = scratch.materialise(banded.join(shared, "band"), "members")
+    spread = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / (1 << 30)
+    weights = members.groupBy("node").agg(F.sum("c").alias("w")).select("node", (F.col("w") + spread).alias("weight"))
+    nodes = reps.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "sketch").join(weights, "node")
+    nodes = scratch.materialise(nodes.distinct(), "nodes")
+    texts = docs.join(weights.select(F.col("node").alias("key")), "key", "left_semi").select(F.col("key").alias("node"), "text")
     sets = scratch.materialise(texts.mapInArrow(_sets, "node long, elements array<long>"), "sets")
-    bounded = members.join(_unique(sets), "node", "left").withColumn("u", F.coalesce("u", F.lit(0).cast("long")))
-    bounded = bounded.where(f"100 * (n - u) >= {percent} * n")
-    shared = bounded.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi").select("band")
-    roots = _links(scratch.materialise(bounded.join(shared, "band", "left_semi"), "members"), sets, percent)
+    roots = _links(members.select("band", "node"), nodes, sets, percent)
     repeated = small.where("n_shingles > 0").join(classes, ["n_shingles", "d1", "d2"]).where("key != node")
     # An id with several texts ties their classes together.
     ties = repeated.select("key", "node").join(classes.select(F.col("node").alias("key")), "key", "left_semi")
