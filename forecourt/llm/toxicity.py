@@ -1,20 +1,25 @@
-"""Toxicity by class-conditional models of words with absolute discounts.
+"""Toxicity by class-conditional Kneser-Ney models of words.
 
-A class is the context of its words. Counts get an absolute discount, and the discounted mass goes to one
-lower-order distribution that both classes share (pooled counts), so a rare expression scores alike in
-both and only well-attested ones tell the classes apart:
+A class is the context of its words. Each class has the interpolated Kneser-Ney estimate
 
-    p(w | c) = (max(n(w, c) - d_c, 0) + left_c * p_shared(w)) / n(c)
+    p(w | c) = (max(n(c, w) - D_c, 0) + D_c * N1+(c, .) * p_shared(w)) / n(c)
 
-The discount of a class is in proportion to its tokens. A text's raw score is the log-likelihood ratio per
-word. The discount and the cut at score 0.5 come from labelled rows that gave no counts (``CALIBRATION``).
+with n(c, w) occurrences and N1+(c, .) distinct words of the class. The lower order is shared by both classes and
+holds continuation counts, the number N1+(., w) of different words (or text starts) that w follows:
 
-Words (ASCII punctuation separates, A-Z as a-z) are counted by the word itself in a table that grows with the
-input; texts meet it in a join on the word. A word without more than the discount in either class, or one never
-seen, has the same ratio as every other such word (``rest``), so the model table leaves it out.
+    p_shared(w) = (max(N1+(., w) - D, 0) + D * V / (V + 1)) / N1+(., .)
+
+for V words and one unseen word. Discounts are n1 / (n1 + 2 * n2) from the counts of counts, so between 0 and 1. A rare
+expression keeps little of its own count in either class and gets its mass from the shared counts. A text's raw score
+is the log-likelihood under the toxic model less that under the ordinary one, per word.
+
+Models are fitted on at most about ``sample`` labelled rows, and on half of them as long as they hold more than
+``most_words`` words; so what is sent to the tasks is bounded. Documents are counted and scored where they lie: no
+text is shuffled. Words (ASCII punctuation separates, A-Z as a-z) are known by a 64-bit hash.
 """
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,162 +29,200 @@ from pyspark.sql import functions as F
 from forecourt.llm import textnum
 from forecourt.sources import scratch
 
-DISCOUNTS = (0.5, 0.75, 2.0, 5.0, 10.0, 20.0)
-#: Tokens that the shared distribution adds to each word, and to one unseen word.
-ADDED = 0.1
 BINS = 512
 
-#: Of the five folds by crc32(doc_id), 0 is never learned from and this one calibrates.
-HELD_OUT, CALIBRATION = 0, 4
+#: Of the five folds by crc32(doc_id), this one is never learned from.
+HELD_OUT = 0
+#: One in so many of the other labelled rows, by a hash of the id, calibrates.
+CALIBRATE = 5
+
+
+class Model(NamedTuple):
+    """Log ratio p(w | toxic) / p(w | ordinary) of the known words (sorted hashes) and of every other word."""
+
+    words: np.ndarray
+    ratios: np.ndarray
+    rest: float
 
 
 def fold(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5))
 
 
-def _words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """The words from ``starts`` to ``ends``, A-Z as a-z."""
-    bounds = np.concatenate(([0], np.cumsum(ends - starts)))
-    held = data[np.repeat(starts - bounds[:-1], ends - starts) + np.arange(bounds[-1])]
-    held = np.where((held >= 65) & (held <= 90), held + 32, held).astype(np.uint8)
-    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(held)).cast(pa.string())
-
-
-def _distinct(groups: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Group, word and number of every distinct word of a group."""
-    hashes = textnum.word_hashes(data, starts, ends)
-    order = np.lexsort((hashes, groups))
-    groups, hashes = groups[order], hashes[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (groups[1:] != groups[:-1]) | (hashes[1:] != hashes[:-1])
-    first = np.flatnonzero(new)
-    return groups[first], _words(data, starts[order[first]], ends[order[first]]), np.diff(first, append=len(order))
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
-        for at, to, data, bounds in textnum.row_slices(*textnum.texts(batch.column("text"))):
-            rows, starts, ends = textnum.words(data, bounds, textnum.NONWORD)
-            kind, word, n = _distinct(toxic[at:to][rows], data, starts, ends)
-            yield pa.RecordBatch.from_arrays([pa.array(kind), word, pa.array(n)], ["toxic", "word", "n"])
-
-
-def word_counts(labelled: DataFrame) -> DataFrame:
-    """Words of ``text`` by ``toxic`` (0 or 1): ``word, n0, n1``."""
-    parts = labelled.select("toxic", "text").mapInArrow(_count, "toxic long, word string, n long")
-    return parts.groupBy("word").agg(*[F.sum(F.when(F.col("toxic") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)])
-
-
-def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, hashes = (batch.column(c) for c in ("doc_id", "h"))
-        for at, to, data, bounds in textnum.row_slices(*textnum.texts(batch.column("text"))):
-            rows, starts, ends = textnum.words(data, bounds, textnum.NONWORD)
-            row, word, n = _distinct(rows, data, starts, ends)
-            # A row of its own has the number of words; its space makes it no word, its id keeps such rows apart.
-            sums = np.bincount(rows, minlength=to - at)
-            whole = pa.array([f" {i}" for i in hashes[at:to].to_pylist()], pa.string())
-            row = np.concatenate((row, np.arange(to - at))) + at
-            columns = [ids.take(pa.array(row)), hashes.take(pa.array(row)), pa.concat_arrays([word, whole]), pa.array(np.concatenate((n, sums)))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "word", "n"])
-
-
-class Model:
-    """Word counts of both classes and what follows from their sums."""
-
-    def __init__(self, counts: DataFrame):
-        self.counts = counts
-        sums = counts.agg(F.count(F.lit(1)), F.sum("n0"), F.sum("n1")).first()
-        self.tokens = [n or 0 for n in sums[1:]]
-        self.pooled = sum(self.tokens) + ADDED * (sums[0] + 1)
-        self.discounts = [[d * n / max(1, min(self.tokens)) for n in self.tokens] for d in DISCOUNTS]
-        if self:
-            left = counts.agg(*[F.sum(F.least(F.col(f"n{c}"), F.lit(d[c]))) for d in self.discounts for c in (0, 1)]).first()
-            self.left = [left[2 * k : 2 * k + 2] for k in range(len(DISCOUNTS))]
-
-    def __bool__(self) -> bool:
-        return all(self.tokens)
-
-    def rest(self, k: int) -> float:
-        """log p(w | toxic) - log p(w | ordinary) of every word that no class keeps after its discount."""
-        return float(np.log(self.left[k][1] / self.tokens[1]) - np.log(self.left[k][0] / self.tokens[0]))
-
-    def kept(self, k: int) -> Column:
-        return (F.col("n0") > self.discounts[k][0]) | (F.col("n1") > self.discounts[k][1])
-
-    def ratio(self, k: int) -> Column:
-        """log p(w | toxic) - log p(w | ordinary) of a word, less ``rest``."""
-        shared = (F.col("n0") + F.col("n1") + ADDED) / self.pooled
-        p = [(F.greatest(F.col(f"n{c}") - self.discounts[k][c], F.lit(0.0)) + self.left[k][c] * shared) / self.tokens[c] for c in (0, 1)]
-        return F.log(p[1]) - F.log(p[0]) - self.rest(k)
-
-    def raw(self, docs: DataFrame, ks: list[int]) -> DataFrame:
-        """``doc_id, raw`` for every row of ``docs``: the mean ratio of its words with each of the discounts ``ks``."""
-        some = self.kept(ks[0])
-        for k in ks[1:]:
-            some = some | self.kept(k)
-        table = self.counts.where(some).select("word", *[self.ratio(k).alias(f"r{k}") for k in ks])
-        table = scratch.materialise(table, "words")
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
-        rows = rows.mapInArrow(_expand, "doc_id long, h long, word string, n long")
-        whole = F.col("word").startswith(" ")
-        sums = rows.join(table, "word", "left").groupBy("doc_id", "h").agg(
-            F.sum(F.when(whole, F.col("n"))).alias("n"), F.count_if(whole).cast("int").alias("times"), *[F.sum(F.col("n") * F.col(f"r{k}")).alias(f"r{k}") for k in ks]
-        )
-        mean = [F.when(F.col("n") > 0, F.coalesce(f"r{k}", F.lit(0.0)) / F.col("n") + self.rest(k)).otherwise(0.0) for k in ks]
-        sums = sums.select("doc_id", "times", F.array(*mean).alias("raw"))
-        return sums.select("doc_id", "raw", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("doc_id", "raw")
+def _calibrates() -> Column:
+    return F.pmod(F.xxhash64(F.col("doc_id"), F.lit("calibration")), F.lit(CALIBRATE)) == 0
+
+
+def _known(batch: pa.RecordBatch, ids: np.ndarray) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows of a batch whose ``doc_id`` is among the sorted ``ids``, and their places there."""
+    own = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
+    at = np.minimum(np.searchsorted(ids, own), max(len(ids) - 1, 0))
+    hit = np.zeros(len(own), bool) if not len(ids) else (ids[at] == own) & ~np.asarray(batch.column("doc_id").is_null())
+    return batch.filter(pa.array(hit)), at[hit]
+
+
+def _count(labels):
+    """Words of labelled rows with their contexts: ``word, pair, n0, n1``; ``pair`` is the word and the one before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, toxic = labels.value
+        for batch in batches:
+            rows, at = _known(batch, ids)
+            for first, last, data, bounds in textnum.row_slices(*textnum.texts(rows.column("text"))):
+                row, starts, ends = textnum.words(data, bounds, textnum.NONWORD)
+                word = textnum.word_hashes(data, starts, ends)
+                before = np.concatenate((np.zeros(1, np.uint64), word))[: len(word)]
+                before[np.flatnonzero(np.diff(row, prepend=-1))] = 0
+                pair, one, inverse = np.unique(textnum.mix(before + np.uint64(1)) ^ word, return_index=True, return_inverse=True)
+                n = np.bincount(inverse, minlength=len(pair))
+                n1 = np.bincount(inverse, toxic[at[first:last]][row], minlength=len(pair)).astype(np.int64)
+                columns = [word[one].view(np.int64), pair.view(np.int64), n - n1, n1]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["word", "pair", "n0", "n1"])
+
+    return run
+
+
+def word_counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
+    """``word, n0, n1, follows`` of the rows of ``docs`` with one of the sorted ``ids``: hash, counts by class, N1+(., word)."""
+    labels = docs.sparkSession.sparkContext.broadcast((ids, toxic))
+    pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    pairs = pairs.mapInArrow(_count(labels), "word long, pair long, n0 long, n1 long")
+    pairs = pairs.groupBy("word", "pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return pairs.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count(F.lit(1)).alias("follows"))
+
+
+def _discount(once: int, twice: int) -> float:
+    return once / (once + 2 * twice) if once and twice else 0.5
+
+
+def model_of(counts: DataFrame) -> Model | None:
+    """The log ratios that follow from ``word_counts``; none if a class has no word."""
+    sums = [F.count(F.lit(1)).alias("types")]
+    for c in ("n0", "n1", "follows"):
+        sums += [F.sum(c).alias(c), F.count_if(F.col(c) > 0).alias(f"{c}_types")]
+        sums += [F.count_if(F.col(c) == k).alias(f"{c}_{k}") for k in (1, 2)]
+    s = counts.agg(*sums).first()
+    if not s["n0"] or not s["n1"]:
+        return None
+    d = {c: _discount(s[f"{c}_1"], s[f"{c}_2"]) for c in ("n0", "n1", "follows")}
+
+    def kept(c: str) -> Column:
+        return F.greatest(F.col(c) - F.lit(d[c]), F.lit(0.0))
+
+    unseen = d["follows"] * s["types"] / (s["types"] + 1)
+    shared = (kept("follows") + unseen) / s["follows"]
+    left = {c: d[c] * s[f"{c}_types"] for c in ("n0", "n1")}
+    p = {c: (kept(c) + left[c] * shared) / s[c] for c in ("n0", "n1")}
+    rows = counts.select("word", (F.log(p["n1"]) - F.log(p["n0"])).alias("ratio")).toArrow()
+    words = rows.column("word").to_numpy().view(np.uint64)
+    order = np.argsort(words)
+    rest = float(np.log(left["n1"] / s["n1"]) - np.log(left["n0"] / s["n0"]))
+    return Model(words[order], rows.column("ratio").to_numpy()[order], rest)
+
+
+def _means(column: pa.Array, model: Model) -> np.ndarray:
+    """The mean log ratio of the words of each text; 0 without words."""
+    out = np.zeros(len(column))
+    for at, to, data, bounds in textnum.row_slices(*textnum.texts(column)):
+        row, starts, ends = textnum.words(data, bounds, textnum.NONWORD)
+        word = textnum.word_hashes(data, starts, ends)
+        place = np.minimum(np.searchsorted(model.words, word), len(model.words) - 1)
+        value = np.where(model.words[place] == word, model.ratios[place], model.rest)
+        out[at:to] = np.bincount(row, value, minlength=to - at) / np.maximum(np.bincount(row, minlength=to - at), 1)
+    return out
+
+
+def raw_scores(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, raw`` for every row of ``docs`` (``doc_id, text``)."""
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*sent.value)
+        for batch in batches:
+            raw = pa.array(_means(batch.column("text"), model))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), raw], ["doc_id", "raw"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, raw double")
+
+
+def _calibration_rows(docs: DataFrame, labels: DataFrame, model: Model, sample: int) -> DataFrame:
+    """``toxic, raw`` of the labelled rows that calibrate; their texts are read where they lie."""
+    known = labels.where(_calibrates())
+    ids, toxic = _sampled(known, min(1.0, sample / max(1, known.count())))
+    sent = docs.sparkSession.sparkContext.broadcast((ids, toxic, tuple(model)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, toxic, model = sent.value
+        for batch in batches:
+            rows, at = _known(batch, ids)
+            raw = pa.array(_means(rows.column("text"), Model(*model)))
+            yield pa.RecordBatch.from_arrays([pa.array(toxic[at]), raw], ["toxic", "raw"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "toxic long, raw double")
+    return scratch.materialise(rows, "calibration")
 
 
 def _labels(labels: DataFrame) -> DataFrame:
-    labels = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)")
-    return labels.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
+    labels = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
+    return labels.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic")).where(fold() != HELD_OUT)
+
+
+def _sampled(labels: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ids and classes of about a ``share`` of the labelled rows, the same ones in every run."""
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    rows = labels.where(part).select("doc_id", "toxic").toArrow()
+    ids, toxic = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy()
+    order = np.argsort(ids)
+    return ids[order], toxic[order]
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 50_000, most_words: int = 1 << 23) -> Model | None:
+    """The models of the labelled rows (``doc_id, toxic``, one per id) that are neither held out nor calibrate."""
+    train = labels.where(~_calibrates())
+    share = min(1.0, sample / max(1, train.count()))
+    while True:
+        counts = scratch.materialise(word_counts(docs, *_sampled(train, share)), "counts")
+        if counts.count() <= most_words:
+            return model_of(counts)
+        share /= 2
 
 
-def _calibrate(raw: DataFrame, labels: DataFrame, false_alarm_cost: float) -> tuple[int, float, float]:
-    """Discount, cut and scale: the most caught toxic rows less the false alarms times their cost.
+def _calibrate(known: DataFrame, false_alarm_cost: float) -> tuple[float, float]:
+    """Cut and scale of ``toxic, raw``: the largest share of toxic rows caught less that of false alarms times their cost.
 
-    Rows are counted by class in bins of the raw score, so the driver sees ``BINS`` counts per discount.
+    Rows are counted by class in bins of the raw score, so the driver sees ``BINS`` counts of each class.
     """
-    known = raw.where(fold() == CALIBRATION).join(labels, "doc_id").select("toxic", F.posexplode("raw").alias("k", "x"))
-    spans = {r["k"]: r for r in known.groupBy("k").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.stddev_pop("x").alias("sd")).collect()}
-    if not spans:
-        return 0, 0.0, 1.0
-    lows = F.create_map(*[F.lit(v) for k, r in spans.items() for v in (k, r["lo"])])
-    steps = {k: (r["hi"] - r["lo"]) / BINS or 1.0 for k, r in spans.items()}
-    widths = F.create_map(*[F.lit(v) for k, step in steps.items() for v in (k, step)])
-    binned = known.withColumn("bin", F.least(F.floor((F.col("x") - lows[F.col("k")]) / widths[F.col("k")]), F.lit(BINS - 1)))
-    seen = np.zeros((len(DISCOUNTS), 2, BINS))
-    for r in binned.groupBy("k", "toxic", "bin").count().collect():
-        seen[r["k"], r["toxic"], r["bin"]] = r["count"]
-    above = seen[:, :, ::-1].cumsum(axis=2)[:, :, ::-1]
-    share = above / np.maximum(above[:, :, :1], 1)
-    gain = share[:, 1] - false_alarm_cost * share[:, 0]
-    k, at = np.unravel_index(int(gain.argmax()), gain.shape)
-    return int(k), spans[k]["lo"] + int(at) * steps[k], spans[k]["sd"] or 1.0
-
-
-def score(docs: DataFrame, labels: DataFrame, false_alarm_cost: float = 3.0) -> DataFrame:
+    span = known.agg(F.min("raw").alias("lo"), F.max("raw").alias("hi"), F.stddev_pop("raw").alias("sd")).first()
+    if span["lo"] is None:
+        return 0.0, 1.0
+    step = (span["hi"] - span["lo"]) / BINS or 1.0
+    at = F.least(F.floor((F.col("raw") - span["lo"]) / step), F.lit(BINS - 1))
+    seen = np.zeros((2, BINS))
+    for r in known.groupBy("toxic", at.alias("bin")).count().collect():
+        seen[r["toxic"], r["bin"]] = r["count"]
+    above = seen[:, ::-1].cumsum(axis=1)[:, ::-1]
+    share = above / np.maximum(above[:, :1], 1)
+    return span["lo"] + int((share[1] - false_alarm_cost * share[0]).argmax()) * step, span["sd"] or 1.0
+
+
+def score(docs: DataFrame, labels: DataFrame, false_alarm_cost: float = 5.0, sample: int = 50_000) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs`` (``doc_id, text``).
 
     ``score`` is 0 to 1, and 0.5 at the cut that catches the most toxic calibration rows less
     ``false_alarm_cost`` times the share of false alarms. Rows of fold 0 are held out: their labels are not
-    read. A doc labelled twice is toxic if one label says so. A null or empty text has the raw score 0. A null
-    ``doc_id`` is in no fold (``held_out`` false). Repeated rows are scored alike. Without labels of both
-    classes every score is 0. Other columns are ignored.
+    read. About ``sample`` labelled rows at most are learned from, and as many calibrate. A doc labelled twice is
+    toxic if one label says so. A null or empty text has the raw score 0. A null ``doc_id`` is in no fold
+    (``held_out`` false). Repeated rows are scored alike. Without labels of both classes every score is 0. Other
+    columns are ignored; an empty table gives an empty table.
     """
-    labels = _labels(labels).where(fold() != HELD_OUT)
-    train = labels.where(fold() != CALIBRATION)
     docs = docs.select("doc_id", "text")
-    model = Model(scratch.materialise(word_counts(docs.join(train, "doc_id")), "counts"))
+    labels = scratch.materialise(_labels(labels), "labels")
+    model = fit(docs, labels, sample)
     held_out = F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out")
-    if not model:
+    if model is None:
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
         return rows.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    known = docs.join(labels.where(fold() == CALIBRATION).select("doc_id"), "doc_id", "left_semi")
-    known = scratch.materialise(model.raw(known, list(range(len(DISCOUNTS)))), "toxicity")
-    k, cut, scale = _calibrate(known, labels, false_alarm_cost)
-    scored = 1 / (1 + F.exp(-(F.col("raw")[0] - cut) / scale))
-    rows = model.raw(docs, [k]).select("doc_id", held_out, scored.alias("score"))
-    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    rows = raw_scores(docs, model)
+    cut, scale = _calibrate(_calibration_rows(docs, labels, model, sample), false_alarm_cost)
+    scored = rows.select("doc_id", held_out, (1 / (1 + F.exp(-(F.col("raw") - cut) / scale))).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
