@@ -117,7 +117,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row, h = shingle_sets(data, bounds)
             offsets = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=to - at)))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([nodes.slice(at, to - at), lists], ["node", "elements"])
+            whole = np.zeros(to - at, np.uint64)
+            np.add.at(whole, row, textnum.mix(h))
+            yield pa.RecordBatch.from_arrays([nodes.slice(at, to - at), pa.array(whole.view(np.int64)), lists], ["node", "set", "elements"])
 
 
 def _near(percent: int) -> Column:
@@ -131,6 +133,7 @@ def _near(percent: int) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``node, pivot`` (the pivot has the larger share of rows) with 100 * intersection >= percent * union."""
+    sets = sets.drop("set")
     left = pairs.join(sets, "node").withColumnRenamed("elements", "own")
     wanted = sets.withColumnRenamed("node", "pivot").join(pairs.select("pivot").distinct(), "pivot", "left_semi")
     both = left.join(wanted, "pivot")
@@ -147,7 +150,7 @@ def _prefixes(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     prefix, and sets whose prefix is then empty are left out of the table: they have no link to another group.
     """
     # The rows of one set, not of one node: an id may have several texts.
-    held = sets.join(placed, "node").select("node", "root", F.xxhash64("elements").alias("set"), F.explode("elements").alias("e"))
+    held = sets.join(placed, "node").select("node", "root", "set", F.explode("elements").alias("e"))
     counts = held.groupBy("e").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     counts = counts.select("e", "c", (F.col("lo") != F.col("hi")).alias("across"))
     listed = held.join(counts, "e").groupBy("node", "set").agg(F.array_sort(F.collect_list(F.struct("c", "e", "across"))).alias("r"))
@@ -223,7 +226,7 @@ def _placed(docs: DataFrame, percent: int) -> DataFrame:
     nodes = reps.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "sketch").join(weights, "node")
     nodes = scratch.materialise(nodes.distinct(), "nodes")
     texts = docs.join(weights.select(F.col("node").alias("key")), "key", "left_semi").select(F.col("key").alias("node"), "text")
-    sets = scratch.materialise(texts.mapInArrow(_sets, "node long, elements array<long>"), "sets")
+    sets = scratch.materialise(texts.mapInArrow(_sets, "node long, set long, elements array<long>"), "sets")
     roots = _links(members.select("band", "node"), nodes, sets, percent)
     repeated = small.where("n_shingles > 0").join(classes, ["n_shingles", "d1", "d2"]).where("key != node")
     # An id with several texts ties their classes together.
