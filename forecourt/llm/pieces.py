@@ -18,6 +18,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forecourt.llm import textnum
 from forecourt.llm.common import fresh
@@ -207,8 +208,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", check: bool = True) -
                     added["agrees"] = pa.array(same, pa.bool_())
                 yield _with(part.drop_columns([own]), added)
 
-    schema = rows.drop(own).schema.add("n_tokens", "long").add("ids", "binary")
-    return rows.mapInArrow(run, schema.add("agrees", "boolean") if check else schema)
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("agrees", T.BooleanType())]
+    return rows.mapInArrow(run, T.StructType([*rows.drop(own).schema.fields, *fields[: len(new)]]))
 
 
 def decode(rows: DataFrame, path: str, check: bool = True) -> DataFrame:
@@ -236,5 +237,5 @@ def decode(rows: DataFrame, path: str, check: bool = True) -> DataFrame:
                 yield _with(part, added)
                 at += step
 
-    schema = rows.schema.add("decoded", "string")
-    return rows.mapInArrow(run, schema.add("decodes", "boolean") if check else schema)
+    fields = [T.StructField("decoded", T.StringType()), T.StructField("decodes", T.BooleanType())]
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *fields[: len(new)]]))

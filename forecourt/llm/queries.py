@@ -1,10 +1,8 @@
 """The registered queries of the training-data operators."""
 
-
-
 from pyspark.sql import functions as F
 
-from forecourt.llm import chat, decontaminate, dedup, mixing, pii, quality, secrets, sharding, toxicity, urlrules
+from forecourt.llm import chat, decontaminate, dedup, mixing, periods, pieces, pii, quality, secrets, sharding, toxicity, turnrepair, urlrules
 from workload.registry import query
 
 
@@ -138,3 +136,109 @@ def op1_decontaminate(spark, folder):
 def op10_personal_data(spark, folder):
     """Personal data of every document."""
     return pii.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("found")
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, folder):
+    """Runs of words in every document, one of ten made periodic, and the text without their repetitions."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return periods.digest(periods.collapse(periods.with_planted_runs(docs)))
+
+
+@query("op12_sentence_pieces")
+def op12_sentence_pieces(spark, folder):
+    """Every document encoded and decoded; ``agrees`` and ``decodes`` compare with the library."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = pieces.decode(pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), path), path)
+    hashes = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
+    return rows.select("doc_id", "n_tokens", *hashes, "agrees", "decodes")
+
+
+def _plus(state, cost, letters):
+    return f"CASE WHEN {state} IS NOT NULL THEN struct_pack(c := {state}.c + {cost}, t := {state}.t || '{letters}') END"
+
+
+def _least(*states):
+    return f"list_sort(list_filter([{', '.join(states)}], lambda z: z IS NOT NULL))[1]"
+
+
+def _keep(initial, state):
+    return f"CASE WHEN NOT goes AND initial = '{initial}' THEN {_plus(state, 'cut', 'K')} END"
+
+
+def _rerole(state):
+    return f"CASE WHEN NOT goes THEN {_plus(state, '2 + cut', 'R')} END"
+
+
+#: s, y, u, a: the cheapest edits so far that give no turn, a system turn, an open user turn, complete pairs.
+REPAIR_SQL = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list(t ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([i::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS t
+    FROM range(256) r(i))),
+kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_concat([4294967295::UBIGINT],
+        list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: unicode(x)::UBIGINT)),
+      lambda c, b: xor(c // 256, steps[1 + xor(c % 256, b)::BIGINT])), 4294967295::UBIGINT) % 20 AS kind
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(2) r(i) WHERE kind <> 0 AND (i = 0 OR kind = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS k,
+    rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS shown FROM damaged),
+faults AS (
+  SELECT conv_id, turn, role, text, k, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS earlier,
+    CASE WHEN shown = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed),
+step AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS k, struct_pack(c := 0, t := '') AS s, NULL::STRUCT(c INTEGER, t VARCHAR) AS y,
+    NULL::STRUCT(c INTEGER, t VARCHAR) AS u, NULL::STRUCT(c INTEGER, t VARCHAR) AS a FROM conversations
+  UNION ALL
+  SELECT conv_id, k,
+    {_plus("s", 3, "D")},
+    {_least(_plus("y", 3, "D"), _keep("s", "s"))},
+    {_least(_plus("u", 3, "D"), *[f(x) for x in ("s", "y", "a") for f in (lambda x: _keep("u", x), _rerole)])},
+    {_least(_plus("a", 3, "D"), _keep("a", "u"), _rerole("u"))}
+  FROM (
+    SELECT step.conv_id, faults.k, s, y, {_least("u", _plus("s", 2, "I"), _plus("y", 2, "I"), _plus("a", 2, "I"))} AS u,
+      {_least("a", _plus("u", 2, "I"), _plus("s", 4, "II"), _plus("y", 4, "II"))} AS a,
+      initial, fault IN ('blank', 'duplicate') AS goes, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS cut
+    FROM step JOIN faults ON faults.conv_id = step.conv_id AND faults.k = step.k + 1)),
+ends AS (
+  SELECT conv_id, {_least("s", "a", _plus("u", 2, "I"), _plus("y", 4, "II"))} AS best
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) AS back FROM step) WHERE back = 1),
+letters AS (
+  SELECT conv_id, unnest(string_split(best.t, '')) AS e, generate_subscripts(string_split(best.t, ''), 1) AS pos FROM ends WHERE best.t <> ''),
+walked AS (
+  SELECT *, count(*) FILTER (e <> 'I') OVER w AS k, count(*) FILTER (e <> 'D') OVER w AS m
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+turns AS (
+  SELECT walked.conv_id, pos, e, m, CASE WHEN e <> 'I' THEN faults.role END AS role, CASE WHEN e = 'I' THEN '' ELSE faults.text END AS text,
+    max(CASE WHEN m = 1 AND e = 'K' AND faults.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY walked.conv_id) AS led
+  FROM walked LEFT JOIN faults ON faults.conv_id = walked.conv_id AND faults.k = walked.k),
+repaired AS (
+  SELECT conv_id, count(*) AS n_repaired,
+    string_agg(CASE WHEN e = 'K' THEN role WHEN (m - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY pos) AS whole
+  FROM turns WHERE e <> 'D' GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n_turns,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.c AS BIGINT) AS cost, best.t AS audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256, coalesce(n_turns, 0) AS n_turns, coalesce(n_repaired, 0) AS n_repaired
+FROM ends LEFT JOIN counts USING (conv_id) LEFT JOIN repaired USING (conv_id)
+"""
+
+
+@query("op13_turn_repair", REPAIR_SQL)
+def op13_turn_repair(spark, folder):
+    """All conversations, damaged and repaired."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return turnrepair.digest(turnrepair.repair(turnrepair.damaged(turns)), turns)

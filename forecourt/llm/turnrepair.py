@@ -26,7 +26,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import fresh
 from forecourt.sources import scratch
 
 KEEP, REROLE, DELETE, INSERT = "K", "R", "D", "I"
