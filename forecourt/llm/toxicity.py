@@ -5,13 +5,14 @@ A class is the context of its words. Each class has the interpolated Kneser-Ney
     p(w | c) = (max(n(c, w) - D_c, 0) + D_c * N1+(c, .) * p_shared(w)) / n(c)
 
 with n(c, w) occurrences and N1+(c, .) distinct words of the class. The lower order is shared by both classes and
-holds continuation counts, the number N1+(., w) of different words (or text starts) that w follows:
+holds continuation counts, the number N1+(., w) of different contexts, that is classes, in which w occurs:
 
     p_shared(w) = (max(N1+(., w) - D, 0) + D * V / (V + 1)) / N1+(., .)
 
 for V words and one unseen word. Discounts are n1 / (n1 + 2 * n2) from the counts of counts, so between 0 and 1. A rare
 expression keeps little of its own count in either class and gets its mass from the shared counts. A text's raw score
-is the log-likelihood under the toxic model less that under the ordinary one, per word.
+is the log-likelihood under the toxic model less that under the ordinary one, by the number of words and ``STEADY``
+more that say nothing, so that a few unseen words do not decide on a short text.
 
 Models are fitted on at most about ``sample`` labelled rows, and on half of them as long as they hold more than
 ``most_words`` words; so what is sent to the tasks is bounded. Documents are counted and scored where they lie: no
@@ -33,6 +34,8 @@ BINS = 512
 
 #: Of the five folds by crc32(doc_id), this one is never learned from.
 HELD_OUT = 0
+#: Words of no weight that are added to the length of a text.
+STEADY = 50
 #: One in so many of the other labelled rows, by a hash of the id, calibrates.
 CALIBRATE = 5
 
@@ -62,7 +65,7 @@ def _known(batch: pa.RecordBatch, ids: np.ndarray) -> tuple[pa.RecordBatch, np.n
 
 
 def _count(labels):
-    """Words of labelled rows with their contexts: ``word, pair, n0, n1``; ``pair`` is the word and the one before it."""
+    """Distinct words of a few labelled rows: ``word, n0, n1``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, toxic = labels.value
@@ -70,25 +73,20 @@ def _count(labels):
             rows, at = _known(batch, ids)
             for first, last, data, bounds in textnum.row_slices(*textnum.texts(rows.column("text"))):
                 row, starts, ends = textnum.words(data, bounds, textnum.NONWORD)
-                word = textnum.word_hashes(data, starts, ends)
-                before = np.concatenate((np.zeros(1, np.uint64), word))[: len(word)]
-                before[np.flatnonzero(np.diff(row, prepend=-1))] = 0
-                pair, one, inverse = np.unique(textnum.mix(before + np.uint64(1)) ^ word, return_index=True, return_inverse=True)
-                n = np.bincount(inverse, minlength=len(pair))
-                n1 = np.bincount(inverse, toxic[at[first:last]][row], minlength=len(pair)).astype(np.int64)
-                columns = [word[one].view(np.int64), pair.view(np.int64), n - n1, n1]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["word", "pair", "n0", "n1"])
+                word, inverse = np.unique(textnum.word_hashes(data, starts, ends), return_inverse=True)
+                n = np.bincount(inverse, minlength=len(word))
+                n1 = np.bincount(inverse, toxic[at[first:last]][row], minlength=len(word)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (word.view(np.int64), n - n1, n1)], ["word", "n0", "n1"])
 
     return run
 
 
 def word_counts(docs: DataFrame, ids: np.ndarray, toxic: np.ndarray) -> DataFrame:
-    """``word, n0, n1, follows`` of the rows of ``docs`` with one of the sorted ``ids``: hash, counts by class, N1+(., word)."""
+    """``word, n0, n1`` of the rows of ``docs`` with one of the sorted ``ids``: hash and counts by class."""
     labels = docs.sparkSession.sparkContext.broadcast((ids, toxic))
-    pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pairs = pairs.mapInArrow(_count(labels), "word long, pair long, n0 long, n1 long")
-    pairs = pairs.groupBy("word", "pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    return pairs.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.count(F.lit(1)).alias("follows"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    parts = rows.mapInArrow(_count(labels), "word long, n0 long, n1 long")
+    return parts.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def _discount(once: int, twice: int) -> float:
@@ -97,20 +95,21 @@ def _discount(once: int, twice: int) -> float:
 
 def model_of(counts: DataFrame) -> Model | None:
     """The log ratios that follow from ``word_counts``; none if a class has no word."""
+    counts = counts.withColumn("classes", (F.col("n0") > 0).cast("int") + (F.col("n1") > 0).cast("int"))
     sums = [F.count(F.lit(1)).alias("types")]
-    for c in ("n0", "n1", "follows"):
+    for c in ("n0", "n1", "classes"):
         sums += [F.sum(c).alias(c), F.count_if(F.col(c) > 0).alias(f"{c}_types")]
         sums += [F.count_if(F.col(c) == k).alias(f"{c}_{k}") for k in (1, 2)]
     s = counts.agg(*sums).first()
     if not s["n0"] or not s["n1"]:
         return None
-    d = {c: _discount(s[f"{c}_1"], s[f"{c}_2"]) for c in ("n0", "n1", "follows")}
+    d = {c: _discount(s[f"{c}_1"], s[f"{c}_2"]) for c in ("n0", "n1", "classes")}
 
     def kept(c: str) -> Column:
         return F.greatest(F.col(c) - F.lit(d[c]), F.lit(0.0))
 
-    unseen = d["follows"] * s["types"] / (s["types"] + 1)
-    shared = (kept("follows") + unseen) / s["follows"]
+    unseen = d["classes"] * s["types"] / (s["types"] + 1)
+    shared = (kept("classes") + unseen) / s["classes"]
     left = {c: d[c] * s[f"{c}_types"] for c in ("n0", "n1")}
     p = {c: (kept(c) + left[c] * shared) / s[c] for c in ("n0", "n1")}
     rows = counts.select("word", (F.log(p["n1"]) - F.log(p["n0"])).alias("ratio")).toArrow()
@@ -121,14 +120,14 @@ def model_of(counts: DataFrame) -> Model | None:
 
 
 def _means(column: pa.Array, model: Model) -> np.ndarray:
-    """The mean log ratio of the words of each text; 0 without words."""
+    """The sum of the log ratios of the words of each text by their number and ``STEADY`` more."""
     out = np.zeros(len(column))
     for at, to, data, bounds in textnum.row_slices(*textnum.texts(column)):
         row, starts, ends = textnum.words(data, bounds, textnum.NONWORD)
         word = textnum.word_hashes(data, starts, ends)
         place = np.minimum(np.searchsorted(model.words, word), len(model.words) - 1)
         value = np.where(model.words[place] == word, model.ratios[place], model.rest)
-        out[at:to] = np.bincount(row, value, minlength=to - at) / np.maximum(np.bincount(row, minlength=to - at), 1)
+        out[at:to] = np.bincount(row, value, minlength=to - at) / (np.bincount(row, minlength=to - at) + STEADY)
     return out
 
 
@@ -176,7 +175,7 @@ def _sampled(labels: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
     return ids[order], toxic[order]
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 50_000, most_words: int = 1 << 23) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 100_000, most_words: int = 1 << 23) -> Model | None:
     """The models of the labelled rows (``doc_id, toxic``, one per id) that are neither held out nor calibrate."""
     train = labels.where(~_calibrates())
     share = min(1.0, sample / max(1, train.count()))
@@ -205,7 +204,7 @@ def _calibrate(known: DataFrame, false_alarm_cost: float) -> tuple[float, float]
     return span["lo"] + int((share[1] - false_alarm_cost * share[0]).argmax()) * step, span["sd"] or 1.0
 
 
-def score(docs: DataFrame, labels: DataFrame, false_alarm_cost: float = 5.0, sample: int = 50_000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, false_alarm_cost: float = 3.0, sample: int = 100_000) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs`` (``doc_id, text``).
 
     ``score`` is 0 to 1, and 0.5 at the cut that catches the most toxic calibration rows less

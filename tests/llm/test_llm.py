@@ -166,8 +166,9 @@ def test_toxicity_keeps_words_apart_that_share_a_short_hash(spark):
     ends = np.cumsum([5, *map(len, names)])
     short = textnum.word_hashes(data, np.concatenate(([0], ends[:-1])), ends) >> np.uint64(44)
     twin = names[int(np.flatnonzero(short[1:] == short[0])[0])]
-    counts = toxicity.word_counts(spark.createDataFrame([(1, f"Idiot {twin}"), (0, f"{twin}, kind"), (0, None)], "toxic long, text string"))
-    assert sorted(map(tuple, counts.collect())) == sorted([("idiot", 0, 1), (twin, 1, 1), ("kind", 1, 0)])
+    few = frame(spark, [f"Idiot {twin}", f"{twin}, kind", None])
+    counts = {r.word: (r.n0, r.n1) for r in toxicity.word_counts(few, np.arange(3), np.array([1, 0, 0])).collect()}
+    assert sorted(counts.values()) == [(0, 1), (1, 0), (1, 1)]
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
     docs = frame(spark, ["idiot word here" if i % 3 == 0 else "a kind word stands here" for i in range(60)] + ["Idiot", twin, "unseen"])
     rows = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
@@ -212,6 +213,41 @@ def test_near_duplicates_match_brute_force(spark):
     assert got == brute_groups(rows, 85)
 
 
+def test_near_duplicates_of_few_swapped_words_match_brute_force(spark):
+    rng = random.Random(12)
+    base, few = [f"w{k}" for k in range(150)], [f"v{k}" for k in range(20)]
+    texts = []
+    for _ in range(240):
+        w = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            w[rng.randrange(150)] = rng.choice(few)
+        texts.append(" ".join(w))
+    docs = frame(spark, texts)
+    for percent in (80, 85):
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in dedup.groups(docs, percent).collect()}
+        assert got == brute_groups(list(enumerate(texts)), percent)
+
+
+def test_near_duplicate_recall_over_all_pairs(spark):
+    rows = [tuple(r) for r in spark.read.parquet(SMALL.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "text").collect()]
+    docs = spark.createDataFrame(rows, DOC)
+    for percent in (80, 85):
+        want = brute_groups(rows, percent)
+        got = {r.doc_id: r.component_id for r in dedup.groups(docs, percent).collect()}
+        linked = [i for i, g in want.items() if g[1] != i]
+        assert len(linked) > 20 and sum(got[i] == want[i][1] for i in linked) >= 0.99 * len(linked)
+        assert all(got[i] == i for i, g in want.items() if g[1] == i)
+
+
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(13)
+    for n in (3, 100, 5000):
+        a, b = (np.unique(rng.integers(0, 2 * n, n)).astype(np.uint64) for _ in range(2))
+        sketch = dedup.sketches(np.repeat([0, 1], [len(a), len(b)]), np.concatenate((a, b)), 2)
+        bits = np.unpackbits((sketch[0] ^ sketch[1]).view(np.uint8)).sum()
+        assert 0 < bits <= len(np.setxor1d(a, b))
+
+
 def test_keep_one_with_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f g h"), (5, "a b c d e f g h"), (5, "a b c d e f g h"), (7, "A b c d e f g h"), (None, "no id at all"), (None, "no id at all"), (8, None)]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, key int")
