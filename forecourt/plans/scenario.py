@@ -1,4 +1,4 @@
-"""What-if frames, rolling forecasts over days, and their summaries.
+"""What-if frames and the summaries of their forecasts.
 
 Conditions are in raw units and act on raw columns; scale afterwards if a model needs it.
 """
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from forecourt import roles
 from forecourt.functions.calendar import shop_open, with_calendar, with_calendar_flags
 from forecourt.functions.expressions import change_pct, hours, moment
-from forecourt.operators.features import add_cyclical, present, unlog
+from forecourt.operators.features import present, unlog
 from forecourt.operators.joins import (
     apply_conditions,
     first_by_month,
@@ -20,10 +20,8 @@ from forecourt.operators.joins import (
     with_season_code,
 )
 from forecourt.operators.series import KEY
-from forecourt.plans.forecast import LAGS, NAMES, forecast_regression
-from forecourt.sources import scratch
+from forecourt.plans.forecast import NAMES
 
-MOST_DAYS = 30
 CALENDAR = ["hour", "day_of_week", "week_of_year", "month", "day", "date"]
 FLAGS = ["is_weekend", "is_rush_hour", "is_night", "is_shop_open", "is_holiday", "holiday_name", "season"]
 
@@ -91,57 +89,6 @@ def natural_units(forecast: DataFrame) -> DataFrame:
     return forecast.withColumns(pick).drop(*NAMES)
 
 
-def rolling_forecast(
-    model, spread: DataFrame, history: DataFrame, frame: DataFrame, drivers: list[str], target: str
-) -> DataFrame:
-    """Day after day, with the median of earlier days as history, for at most ``MOST_DAYS`` days.
-
-    ``frame`` holds every scenario, station and hour; each day is one distributed batch.
-    Day d takes its lags from day d-1 and day d-7, or from the history before the start.
-    The rows of a day are written to the shared folder, which keeps plans short and
-    survives lost executors. A lag that is not known takes the last known value of the
-    station and hour, then the station's mean, then the mean of all; ``lags_filled``
-    counts such lags, so every row of the frame has a forecast.
-    """
-    last_day = frame.agg(F.max("day")).first()[0]
-    days = 1 if last_day is None else last_day + 1
-    if days > MOST_DAYS:
-        raise ValueError(f"{days} days; at most {MOST_DAYS}")
-    known = history.select(KEY, "timestamp", F.log1p(F.col(target).cast("double")).alias("log_y"))
-    there = known.where("log_y IS NOT NULL")
-    by_hour = there.groupBy(KEY, F.hour("timestamp").alias("hour")).agg(F.max_by("log_y", "timestamp").alias("_hour_value"))
-    by_station = there.groupBy(KEY).agg(F.avg("log_y").alias("_station_value"))
-    usual = scratch.materialise(by_hour.join(by_station, KEY), "usual")
-    overall = F.coalesce(there.agg(F.avg("log_y")).scalar(), F.lit(0.0))
-    frame = frame.join(usual.drop("_station_value"), [KEY, "hour"], "left").join(
-        usual.select(KEY, "_station_value").distinct(), KEY, "left"
-    )
-    frame = frame.withColumn("_usual", F.coalesce("_hour_value", "_station_value", overall)).drop("_hour_value", "_station_value")
-    # Written by day, so that each round reads its own day only.
-    frame = scratch.materialise(frame, "frame", ["day"])
-    names, parts = [f"log_y_lag{n}" for n in LAGS], []
-    for day in range(days):
-        rows = add_cyclical(frame.where(F.col("day") == day))
-        for lag in LAGS:
-            ahead = day - lag // 24
-            name = f"log_y_lag{lag}"
-            when = (F.col("timestamp") + hours(lag)).alias("timestamp")
-            if ahead < 0:
-                source = known.select(KEY, when, F.col("log_y").alias(name))
-                rows = rows.join(source, [KEY, "timestamp"], "left")
-            else:
-                source = parts[ahead].select("scenario_id", KEY, when, F.col("q50").alias(name))
-                rows = rows.join(source, ["scenario_id", KEY, "timestamp"], "left")
-        missing = sum((F.col(n).isNull().cast("int") for n in names), F.lit(0))
-        rows = rows.withColumn("lags_filled", missing).withColumns({n: F.coalesce(n, "_usual") for n in names})
-        out = forecast_regression(model, spread, rows, ("scenario_id", "day", "lags_filled"))
-        parts.append(scratch.materialise(out, f"rolling-day-{day}"))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return natural_units(whole)
-
-
 def scenario_summary(result: DataFrame, keys: tuple = ("scenario_id", KEY, "target")) -> DataFrame:
     """Mean median, peak and time of the peak; the earliest hour on ties."""
     peak = F.min_by("timestamp", F.struct(-F.col("p50"), "timestamp"))

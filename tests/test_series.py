@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from forecourt import roles
 from forecourt.operators import joins, series
-from forecourt.plans import accuracy, forecast, interpret, recommend, runs, scenario
+from forecourt.plans import accuracy, forecast, interpret, recommend, regression, runs, scenario
 from forecourt.sources import tables
 from forecourt.sources.schemas import CONDITIONS
 
@@ -198,46 +198,83 @@ def test_scenario_changes_the_frame_and_traffic_does_not_compound(spark):
     assert all(math.isclose(r.price_AI92, 55.0) for r in rows)
 
 
+def series_fixture(spark):
+    past = scenario_history(spark).withColumn("shop_coffee", F.col("sales_AI92") * 0.5 + F.col("total_traffic") % 3)
+    drivers, targets = ["ad_active", "total_traffic"], ["sales_AI92", "shop_coffee"]
+    past = past.withColumns({"hour": F.hour("timestamp"), "day_of_week": F.weekday("timestamp")})
+    rows = regression.regression_rows(series.with_time_idx(past), drivers, targets)
+    return past, rows, drivers, targets
+
+
+def test_series_models_solve_the_normal_equations(spark):
+    _, rows, drivers, targets = series_fixture(spark)
+    features = forecast.regression_features(drivers)
+    model = regression.fit_series(rows, drivers).collect()
+    assert sorted((r.station_id or 0, r.target) for r in model) == sorted((k, t) for k in [0, *{r.station_id for r in rows.collect()}] for t in targets)
+    whole = rows.toPandas().dropna(subset=[*features, "log_y"])
+    for r in model:
+        mine = whole[(whole.target == r.target) & ((whole.station_id == r.station_id) | (r.station_id is None))]
+        x, y = mine[features].to_numpy(float), mine["log_y"].to_numpy(float)
+        cov = np.cov(x.T, bias=True)
+        flat = np.diag(cov) <= regression.FLAT * (1 + (x * x).mean(0))
+        a = cov + np.diag(np.diag(cov)) * regression.RIDGE
+        a[flat, :], a[:, flat] = 0, 0
+        a[flat, flat] = 1
+        c = np.where(flat, 0, ((x - x.mean(0)) * (y - y.mean())[:, None]).mean(0))
+        w = np.linalg.solve(a, c)
+        assert r.n == len(mine) and np.allclose(r.weights, w, atol=1e-8)
+        rest = y - y.mean() - (x - x.mean(0)) @ w
+        assert np.isclose(r.rss, (rest * rest).sum(), rtol=1e-6, atol=1e-9) and np.isclose(r.intercept, y.mean() - x.mean(0) @ w)
+        for j in np.flatnonzero(~flat):  # a fit without the column
+            others = np.arange(len(w)) != j
+            less = np.linalg.solve(a[np.ix_(others, others)], c[others])
+            full = len(y) * (w @ a @ w - 2 * w @ c)
+            assert np.isclose(r.lost[j], len(y) * (less @ a[np.ix_(others, others)] @ less - 2 * less @ c[others]) - full, rtol=1e-5, atol=1e-8)
+
+
 def test_rolling_forecast_feeds_medians_back(spark):
-    """Day by day in numpy: lags come from the history first and from forecasts later."""
-    past = scenario_history(spark)
-    drivers = ["ad_active", "total_traffic"]
-    with_idx = series.with_time_idx(
-        past.withColumns({"hour": F.hour("timestamp"), "day_of_week": F.weekday("timestamp")})
-    )
-    train = forecast.regression_frame(with_idx, "sales_AI92", drivers)
-    model, spread = forecast.fit_regression(train, drivers)
-    frame = scenario.future_frame(past, "2023-01-23 00:00:00", 9 * 24)
+    """Hour by hour in Python: lags come from the history first and from forecasts later."""
+    past, rows, drivers, targets = series_fixture(spark)
+    model = regression.fit_series(rows, drivers)
+    spread = regression.residual_quantiles(rows, model, drivers)
+    start = "2023-01-23 00:00:00"
+    frame = scenario.future_frame(past, start, 9 * 24)
     given = spark.createDataFrame([(1, 0, "normal", 100, 0, 0, 0), (2, 0, "normal", 120, 0, 0, 1)], CONDITIONS)
     applied = scenario.apply_scenario(frame, given)
-    got = scenario.rolling_forecast(model, spread, past, applied, drivers, "sales_AI92").toPandas()
-    assert len(got) == 2 * 9 * 24
-
-    weights = dict(forecast.regression_weights(model, drivers))
-    intercept = model.stages[-1].intercept
-    offset = {r.hour: r._d_q50 for r in spread.collect()}
-    log_y = {r.timestamp: math.log1p(r.sales_AI92) for r in past.collect()}
-    rows = applied.where("scenario_id = 2").orderBy("timestamp").collect()
-    known = dict(log_y)
-    for r in rows:
-        t = r.timestamp
-        x = {
-            "hour_sin": math.sin(2 * math.pi * r.hour / 24), "hour_cos": math.cos(2 * math.pi * r.hour / 24),
-            "day_of_week_sin": math.sin(2 * math.pi * r.day_of_week / 7), "day_of_week_cos": math.cos(2 * math.pi * r.day_of_week / 7),
-            "ad_active": r.ad_active, "total_traffic": r.total_traffic,
-            "log_y_lag24": known[t - dt.timedelta(hours=24)], "log_y_lag168": known[t - dt.timedelta(hours=168)],
-        }
-        known[t] = intercept + sum(weights[k] * v for k, v in x.items()) + offset[r.hour]
-    assert (got["lags_filled"] == 0).all()
-    mine = got[got.scenario_id == 2].sort_values("timestamp")
-    want = [math.expm1(max(known[t], 0.0)) for t in mine["timestamp"]]
-    assert np.allclose(mine["p50"], want, rtol=1e-9)
-    assert (mine["p10"] <= mine["p50"] + 1e-12).all() and (mine["p50"] <= mine["p90"] + 1e-12).all()
+    got = regression.rolling_forecast(model, spread, past, applied, drivers, start, targets).toPandas()
+    assert len(got) == 2 * 9 * 24 * 2 and (got["lags_filled"] == 0).all()
+
+    features, station = forecast.regression_features(drivers), past.first().station_id
+    hours = applied.where("scenario_id = 2").orderBy("timestamp").collect()
+    for target in targets:
+        m = model.where((F.col("station_id") == station) & (F.col("target") == target)).first()
+        s = spread.where((F.col("station_id") == station) & (F.col("target") == target)).first()
+        known = {r.timestamp: math.log1p(r[target]) for r in past.collect()}
+        for r in hours:
+            t = r.timestamp
+            x = {
+                "hour_sin": math.sin(2 * math.pi * r.hour / 24), "hour_cos": math.cos(2 * math.pi * r.hour / 24),
+                "day_of_week_sin": math.sin(2 * math.pi * r.day_of_week / 7), "day_of_week_cos": math.cos(2 * math.pi * r.day_of_week / 7),
+                "ad_active": r.ad_active, "total_traffic": r.total_traffic,
+                "log_y_lag24": known[t - dt.timedelta(hours=24)], "log_y_lag168": known[t - dt.timedelta(hours=168)],
+            }
+            known[t] = m.intercept + sum(w * x[f] for w, f in zip(m.weights, features)) + s.q50
+        mine = got[(got.scenario_id == 2) & (got.target == target)].sort_values("timestamp")
+        assert np.allclose(mine["p50"], [math.expm1(max(known[t], 0.0)) for t in mine["timestamp"]], rtol=1e-9)
+        assert (mine["p10"] <= mine["p50"] + 1e-12).all() and (mine["p50"] <= mine["p90"] + 1e-12).all()
 
     hole = past.where("timestamp != TIMESTAMP_NTZ '2023-01-22 05:00:00'")
-    patched = scenario.rolling_forecast(model, spread, hole, applied, drivers, "sales_AI92").toPandas()
+    patched = regression.rolling_forecast(model, spread, hole, applied, drivers, start, targets).toPandas()
     assert len(patched) == len(got) and patched["p50"].notna().all()
-    assert patched["lags_filled"].sum() == 2 * 2  # both scenarios: a day later and a week later
+    assert patched["lags_filled"].sum() == 2 * 2 * 2  # both scenarios and targets: a day later and a week later
+
+    # A station without model, residuals and history takes those of all.
+    new = applied.withColumn("station_id", F.lit(99).cast("long"))
+    alone = regression.rolling_forecast(model, spread, past, new, drivers, start, targets).toPandas()
+    assert len(alone) == len(got) and alone["p50"].notna().all() and alone["lags_filled"].max() == 2
+    long = applied.withColumn("day", F.col("day") + 30)
+    with pytest.raises(ValueError):
+        regression.rolling_forecast(model, spread, past, long, drivers, start, targets)
 
 
 def test_station_without_training_rows_is_forecast(spark):

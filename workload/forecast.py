@@ -105,16 +105,14 @@ def seasonal_forecast(spark, folder):
 @query(
     "rolling_origin_forecast",
     model_sql(
-        f"""SELECT station_id, origin_ts, horizon_h, target, {sql.r('q10', 'q10')}, {sql.r('q50', 'q50')}, {sql.r('q90', 'q90')} FROM raw
-        WHERE target IN ('sales_AI92', 'shop_coffee')""",
+        f"""SELECT station_id, origin_ts, horizon_h, target, {sql.r('q10', 'q10')}, {sql.r('q50', 'q50')}, {sql.r('q90', 'q90')} FROM raw""",
         RAW,
     ),
 )
 def rolling_origin_forecast(spark, folder):
     df = facts(spark, folder)
-    some = ["sales_AI92", "shop_coffee"]
-    model = fc.fit_seasonal(base.train_rows(df), some)
-    raw = fc.rolling_origin(model, df, test_origins(df), some)
+    model = fc.fit_seasonal(base.train_rows(df))
+    raw = fc.rolling_origin(model, df, test_origins(df))
     return rounded(raw.select("station_id", "origin_ts", "horizon_h", "target", "q10", "q50", "q90"))
 
 
@@ -269,12 +267,6 @@ def _regression(spark, folder, kind):
     return acc.accuracy(natural)
 
 
-@query("linear_model_accuracy")
-def linear_model_accuracy(spark, folder):
-    """Hold-out accuracy of the MLlib linear model for one fuel."""
-    return _regression(spark, folder, "linear")
-
-
 @query("boosted_model_accuracy")
 def boosted_model_accuracy(spark, folder):
     """Hold-out accuracy of MLlib boosted trees for one fuel."""

@@ -8,7 +8,7 @@ from forecourt.plans import forecast as fc
 from forecourt.plans import interpret, recommend, runs
 from forecourt.sources import scratch, standins
 from workload import base, sql
-from workload.forecast import METRICS, PRED, RAW, REGRESSION_DRIVERS, model_sql, predictions, regression_parts
+from workload.forecast import METRICS, PRED, RAW, model_sql, predictions
 from workload.joins import indexed_sql
 from workload.registry import query, rounded
 from workload.sources import _RANK, _TAG
@@ -52,15 +52,6 @@ def factor_importance(spark, folder):
     return rounded(interpret.importance(strengths, 10))
 
 
-@query("model_importance")
-def model_importance(spark, folder):
-    """Weights of the MLlib linear model as shares."""
-    _, model, _ = regression_parts(spark, folder)
-    rows = fc.regression_weights(model, REGRESSION_DRIVERS)
-    weights = spark.createDataFrame(rows, "factor string, strength double")
-    return rounded(interpret.importance(weights, 20), 4)
-
-
 _LAGS = """, pairs AS (SELECT a.station_id, CAST(a.time_idx - b.time_idx AS INTEGER) AS lag_h, corr(b.y, a.y) AS r FROM (SELECT station_id, time_idx, total_traffic AS y FROM idx) a
   JOIN (SELECT station_id, time_idx, total_traffic AS y FROM idx) b ON b.station_id = a.station_id AND b.time_idx BETWEEN a.time_idx - 168 AND a.time_idx - 1 GROUP BY 1, 2)"""
 

@@ -9,7 +9,6 @@ from forecourt.plans import recommend
 from forecourt.plans import scenario as sc
 from forecourt.sources import scratch, standins
 from workload import base, sql
-from workload.forecast import regression_parts
 from workload.joins import CONDITIONS_SQL, PRESETS_SQL, conditions
 from workload.registry import query, rounded
 
@@ -17,15 +16,18 @@ START = standins.TEST_START
 DAYS = 7
 TRAIN = f"timestamp <= TIMESTAMP '{standins.TRAIN_END}'"
 Q = roles.QUANTILE_NAMES
-TARGETS = ["sales_AI92", "sales_AI95", "shop_coffee"]
+TARGETS = roles.TARGETS
 DRIVERS = ["total_traffic", "promotion_fuel_active", "promotion_shop_active", "ad_active", "temperature"]
 PRICE_PCT = {1: 110, 2: 95}
 
-FRAME = f""", past AS (SELECT * FROM facts WHERE timestamp < TIMESTAMP '{START}'),
+
+
+def future_sql(days):
+    return f""", past AS (SELECT * FROM facts WHERE timestamp < TIMESTAMP '{START}'),
   tmpl AS (SELECT * FROM past QUALIFY row_number() OVER (PARTITION BY station_id, hour ORDER BY timestamp DESC) = 1),
   hol AS (SELECT month, day(timestamp) AS d, arg_min(holiday_name, (timestamp, station_id)) AS holiday_name FROM facts WHERE is_holiday = 1 GROUP BY 1, 2),
   sea AS (SELECT month, arg_min(season, (timestamp, station_id)) AS season FROM facts GROUP BY month),
-  hrs AS (SELECT station_id, n, CAST(unnest(range(0, {DAYS * 24})) AS INTEGER) AS h FROM (SELECT station_id, count(*) AS n FROM past GROUP BY station_id)),
+  hrs AS (SELECT station_id, n, CAST(unnest(range(0, {days * 24})) AS INTEGER) AS h FROM (SELECT station_id, count(*) AS n FROM past GROUP BY station_id)),
   cal AS (SELECT station_id, n + h AS time_idx, CAST(h // 24 AS INTEGER) AS day, TIMESTAMP '{START}' + to_hours(h) AS timestamp FROM hrs),
   frame AS (SELECT t.* EXCLUDE (timestamp, day_of_week, week_of_year, month, is_weekend, is_rush_hour, is_night, is_holiday, holiday_name, season),
     c.time_idx, c.day, c.timestamp, CAST(isodow(c.timestamp) - 1 AS INTEGER) AS day_of_week, CAST(weekofyear(c.timestamp) AS INTEGER) AS week_of_year,
@@ -36,6 +38,8 @@ FRAME = f""", past AS (SELECT * FROM facts WHERE timestamp < TIMESTAMP '{START}'
     FROM cal c JOIN tmpl t ON t.station_id = c.station_id AND t.hour = hour(c.timestamp)
     LEFT JOIN hol ON hol.month = month(c.timestamp) AND hol.d = day(c.timestamp) LEFT JOIN sea ON sea.month = month(c.timestamp))"""
 
+
+FRAME = future_sql(DAYS)
 _TRAFFIC = roles.TRAFFIC + ["total_traffic"]
 APPLIED = f""", {CONDITIONS_SQL}, {PRESETS_SQL},
   ends AS (SELECT CAST(scenario_id AS BIGINT) AS scenario_id, max(day) AS last FROM conditions GROUP BY scenario_id),
@@ -91,9 +95,7 @@ def runs(spark, folder):
     facts, frame, applied = parts(spark, folder)
     train = base.train_rows(facts)
     model = scratch.materialise(fc.fit_seasonal(train, TARGETS), "model")
-    # The effects look at the targets of the model only.
-    drop = [t for t in roles.TARGETS if t not in TARGETS]
-    effects = scratch.materialise(fc.fit_effects(train.drop(*drop), model, DRIVERS), "effects")
+    effects = scratch.materialise(fc.fit_effects(train, model, DRIVERS), "effects")
     result = fc.forecast_seasonal(model, applied, effects, DRIVERS, ("scenario_id", "day"))
     usual = fc.forecast_seasonal(model, frame, effects, DRIVERS, ("day",))
     return sc.natural_units(result), sc.natural_units(usual)
@@ -155,9 +157,7 @@ def scenario_price_delta(spark, folder):
 )
 def driver_effects(spark, folder):
     train = scratch.materialise(base.train_rows(base.hourly(spark, folder)), "train")
-    drop = [t for t in roles.TARGETS if t not in TARGETS]
-    model = fc.fit_seasonal(train, TARGETS)
-    return rounded(fc.fit_effects(train.drop(*drop), model, DRIVERS))
+    return rounded(fc.fit_effects(train, fc.fit_seasonal(train, TARGETS), DRIVERS))
 
 
 @query(
@@ -225,19 +225,3 @@ def scenario_recommendations(spark, folder):
     given = priced(spark)
     prices = given.groupBy("scenario_id").agg((F.max("price_pct") - 100).cast("double").alias("price_delta_pct"))
     return rounded(recommend.scenario(sc.scenario_summary(result), sc.stimuli(given), prices))
-
-
-@query("rolling_forecast_week")
-def rolling_forecast_week(spark, folder):
-    """Seven days of the linear model, each day fed with the medians of the days before."""
-    target = "sales_AI92"
-    rows, model, spread = regression_parts(spark, folder, target)
-    facts = scratch.materialise(base.hourly(spark, folder), "facts")
-    frame = sc.apply_scenario(sc.future_frame(facts, START, DAYS * 24), conditions(spark))
-    drivers = ["is_weekend", "is_shop_open", "total_traffic", "promotion_fuel_active", "ad_active"]
-    keep = ["scenario_id", "station_id", "timestamp", "day", "hour", "day_of_week", *drivers]
-    frame = scratch.materialise(frame.select(*dict.fromkeys(keep)), "frame")
-    past = facts.where(F.col("timestamp") < F.lit(START).cast("timestamp_ntz"))
-    return rounded(sc.rolling_forecast(model, spread, past, frame, drivers, target), 4)
-
-
