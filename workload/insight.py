@@ -1,13 +1,15 @@
 """Queries over interpretation, recommendations and training runs."""
 
 
+from pyspark.sql import functions as F
+
 from forecourt import roles
 from forecourt.operators import stats
 from forecourt.plans import accuracy as acc
-from forecourt.plans import forecast as fc
 from forecourt.plans import interpret, recommend, runs
+from forecourt.plans import scenario as sc
 from forecourt.sources import scratch, standins
-from workload import base, sql
+from workload import base, scenario, sql
 from workload.forecast import METRICS, PRED, RAW, model_sql, predictions
 from workload.joins import indexed_sql
 from workload.registry import query, rounded
@@ -137,33 +139,29 @@ def rec_sql(*bodies):
     return sql.hub(f"SELECT station_name, target, kind, subject, other, {sql.r('value', 'value')}, text FROM ({rows})", LONG)
 
 
-def long_hub(spark, folder):
-    return recommend.long_hub(base.hub(spark, folder))
-
-
 @query("recommend_promotion", rec_sql(PROMO))
 def recommend_promotion(spark, folder):
-    return rounded(recommend.promo(long_hub(spark, folder)))
+    return rounded(recommend.promo(base.hub(spark, folder)))
 
 
 @query("recommend_channel", rec_sql(CHANNEL))
 def recommend_channel(spark, folder):
-    return rounded(recommend.channel(long_hub(spark, folder)))
+    return rounded(recommend.channel(base.hub(spark, folder)))
 
 
 @query("recommend_hour", rec_sql(HOUR))
 def recommend_hour(spark, folder):
-    return rounded(recommend.hour(long_hub(spark, folder)))
+    return rounded(recommend.hour(base.hub(spark, folder)))
 
 
 @query("recommend_weekday", rec_sql(WEEKDAY))
 def recommend_weekday(spark, folder):
-    return rounded(recommend.weekday(long_hub(spark, folder)))
+    return rounded(recommend.weekday(base.hub(spark, folder)))
 
 
 @query("recommend_traffic", rec_sql(TRAFFIC))
 def recommend_traffic(spark, folder):
-    return rounded(recommend.traffic(long_hub(spark, folder)))
+    return rounded(recommend.traffic(base.hub(spark, folder)))
 
 
 @query(
@@ -176,10 +174,31 @@ def recommend_reliability(spark, folder):
     return rounded(recommend.reliability(metrics, stations))
 
 
-@query("recommendations_all", rec_sql(PROMO, CHANNEL, HOUR, WEEKDAY, TRAFFIC))
-def recommendations_all(spark, folder):
-    """Every rule for every station and target; the hub is written once for all of them."""
-    hub = scratch.materialise(base.hub(spark, folder), "hub")
-    return rounded(recommend.recommendations(hub))
+_FIVE = " UNION ALL ".join(f"SELECT * FROM ({b})" for b in (PROMO, CHANNEL, HOUR, WEEKDAY, TRAFFIC))
+_SCENARIOS = f"""SELECT 'Station-' || lpad(CAST(station_id AS VARCHAR), 6, '0') AS station_name, target, 'scenario' AS kind, CAST(scenario_id AS VARCHAR) AS subject,
+  active_stimuli AS other, delta_pct AS value, coalesce(CASE WHEN delta_pct >= 0 THEN 'scenario raises the mean by ' ELSE 'scenario lowers the mean by ' END
+  || {tenths('abs(delta_pct)')} || ' %', 'scenario') || ' (' || {tenths('mean_p50')} || ' against ' || {tenths('base_p50')} || '), ' ||
+  CASE scenario_id WHEN 1 THEN 'price raised by 10.0 %' ELSE 'price cut by 5.0 %' END AS text
+  FROM (SELECT d.*, CASE WHEN base_p50 <> 0 THEN (mean_p50 - base_p50) / base_p50 * 100 END AS delta_pct FROM ({scenario.DELTA}) d)
+  JOIN (SELECT scenario_id, {scenario.STIMULI} AS active_stimuli FROM conditions GROUP BY scenario_id) USING (scenario_id)"""
 
 
+@query(
+    "recommendations_all",
+    "SELECT * FROM ("
+    + sql.hub(f"SELECT station_name, target, kind, subject, other, {sql.r('value', 'value')}, text FROM ({_FIVE})", LONG)
+    + ") UNION ALL SELECT * FROM ("
+    + model_sql(f"SELECT station_name, target, kind, subject, other, {sql.r('value', 'value')}, text FROM ({RELIABILITY})", RAW, PRED, METRICS)
+    + ") UNION ALL SELECT * FROM ("
+    + scenario.run_sql(f"SELECT station_name, target, kind, subject, other, {sql.r('value', 'value')}, text FROM ({_SCENARIOS})")
+    + ")",
+)
+def recommendations_all(spark, folder):
+    """Seven rules for every station and target."""
+    stations = base.hourly(spark, folder).select("station_id", "station_name").distinct()
+    metrics = acc.accuracy(predictions(spark, folder))
+    given = scenario.priced(spark)
+    prices = given.groupBy("scenario_id").agg((F.max("price_pct") - 100).cast("double").alias("price_delta_pct"))
+    delta = sc.scenario_delta(*scenario.runs(spark, folder))
+    told = recommend.scenario_rows(delta, sc.stimuli(given), stations, prices)
+    return rounded(recommend.recommendations(base.hub(spark, folder), metrics, stations=stations, scenarios=told))

@@ -192,7 +192,7 @@ def scenario_days(spark, folder):
     return rounded(sc.scenario_days(runs(spark, folder)[0]))
 
 
-_DELTA = """SELECT r.scenario_id, r.station_id, r.target, avg(r.p50) AS mean_p50, avg(b.p50) AS base_p50
+DELTA = """SELECT r.scenario_id, r.station_id, r.target, avg(r.p50) AS mean_p50, avg(b.p50) AS base_p50
   FROM result r JOIN base b USING (station_id, timestamp, target) GROUP BY ALL"""
 
 
@@ -200,14 +200,14 @@ _DELTA = """SELECT r.scenario_id, r.station_id, r.target, avg(r.p50) AS mean_p50
     "scenario_delta",
     run_sql(
         f"""SELECT scenario_id, station_id, target, {sql.r('mean_p50', 'mean_p50')}, {sql.r('base_p50', 'base_p50')},
-        {sql.r('CASE WHEN base_p50 <> 0 THEN (mean_p50 - base_p50) / base_p50 * 100 END', 'delta_pct')} FROM ({_DELTA})"""
+        {sql.r('CASE WHEN base_p50 <> 0 THEN (mean_p50 - base_p50) / base_p50 * 100 END', 'delta_pct')} FROM ({DELTA})"""
     ),
 )
 def scenario_delta(spark, folder):
     return rounded(sc.scenario_delta(*runs(spark, folder)))
 
 
-_STIMULI = """concat_ws(', ', CASE WHEN max(promo_fuel) = 1 THEN 'fuel promotion' END, CASE WHEN max(promo_shop) = 1 THEN 'shop promotion' END,
+STIMULI = """concat_ws(', ', CASE WHEN max(promo_fuel) = 1 THEN 'fuel promotion' END, CASE WHEN max(promo_shop) = 1 THEN 'shop promotion' END,
   CASE WHEN max(ad_active) = 1 THEN 'advertising' END)"""
 
 
@@ -217,7 +217,7 @@ _STIMULI = """concat_ws(', ', CASE WHEN max(promo_fuel) = 1 THEN 'fuel promotion
         f"""SELECT s.scenario_id, s.station_id, s.target, {sql.r('s.mean_p50', 'mean_p50')}, {sql.r('s.peak_p50', 'peak_p50')}, s.peak_ts,
         c.active_stimuli, CASE s.scenario_id WHEN 1 THEN 10.0::DOUBLE ELSE -5.0::DOUBLE END AS price_delta_pct,
         CASE s.scenario_id WHEN 1 THEN 'price raised' ELSE 'price cut' END AS price_effect
-        FROM ({_SUMMARY}) s JOIN (SELECT scenario_id, {_STIMULI} AS active_stimuli FROM conditions GROUP BY scenario_id) c USING (scenario_id)"""
+        FROM ({_SUMMARY}) s JOIN (SELECT scenario_id, {STIMULI} AS active_stimuli FROM conditions GROUP BY scenario_id) c USING (scenario_id)"""
     ),
 )
 def scenario_recommendations(spark, folder):
