@@ -1,9 +1,9 @@
 """Exact quantiles of columns too long for one task.
 
-A sketch of each column first gives a narrow bracket around every wanted rank. One
-more pass counts the rows under the bracket and the distinct values inside it. The
-bracket is cut into slices of equal width; running totals over the slices are few, and
-only inside a slice are values sorted.
+A sketch of each column gives a bracket around every wanted rank. One pass counts the values below and inside of each
+bracket. Where a rank lies outside, the bracket moves to that side; where too many values lie inside, it is cut into
+slices and the one that holds the rank is the next bracket, until all brackets are small. Only values of small brackets
+are sorted.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -12,10 +12,32 @@ from pyspark.sql import functions as F
 from forecourt.sources import scratch
 
 ACCURACY = 10_000
-SMALL = 20_000
+#: Values that one bracket may hold when they are sorted.
+SMALL = 50_000
 SLICES = 1_000
 
 
+def _narrowed(pending: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame:
+    """Each bracket's slice that holds the rank, with counts, and the least and the largest value there."""
+    known = pending.withColumnsRenamed({k: f"_{k}" for k in keys})
+    inside = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("x").between(F.col("lo"), F.col("hi"))]
+    rows = long.join(known, inside).drop(*[f"_{k}" for k in keys])
+    # Halves, since a difference may be larger than any double. The largest value has a slice of its own.
+    place = F.try_divide(F.col("x") / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2)
+    part = F.coalesce(F.floor(place * SLICES), F.lit(0)).alias("part")
+    group = [*keys, "n", "prob", "rank", "low", "high", "below", "above"]
+    found = rows.groupBy(*group, part).agg(F.count(F.lit(1)).alias("inside"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    along = Window.partitionBy(*keys, "prob").orderBy("part")
+    found = found.withColumns(
+        {
+            "below": F.col("below") + F.sum("inside").over(along) - F.col("inside"),
+            "above": F.coalesce(F.lead("lo").over(along), "above"),
+        }
+    )
+    held = (F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("inside"))
+    return found.where(held).select(*pending.columns)
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: list[str],
@@ -23,16 +45,17 @@ def exact_quantiles(
     by: list[str] = (),
     accuracy: int = ACCURACY,
     small: int = SMALL,
+    spread: float = 3.0,
 ) -> DataFrame:
     """Rows (by..., column, prob, value), with linear interpolation between ranks.
 
-    Groups of at most ``small`` values skip the bracket. Nulls do not count, and rows
-    with a null group are left out.
+    Nulls do not count, and rows with a null group are left out. All groups take the same way, whatever their size:
+    a bracket reaches ``spread`` times the sketch's error to both sides, is narrowed while it holds more than ``small``
+    values, and a sketch that is wrong costs a further pass, not the result.
     """
     by = list(by)
     keys = [*by, "column"]
-    small = max(small, accuracy)
-    margin = 3.0 / accuracy
+    margin = spread / accuracy
     wanted = [max(p - margin, 0.0) for p in probs] + [min(p + margin, 1.0) for p in probs]
 
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
@@ -43,50 +66,63 @@ def exact_quantiles(
         F.max("x").alias("high"),
         F.percentile_approx("x", wanted, accuracy).alias("s"),
     )
-    few = F.col("n") <= small
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("prob"),
-                F.when(few, F.col("low")).otherwise(F.col("s")[i]).alias("lo"),
-                F.when(few, F.col("high")).otherwise(F.col("s")[i + len(probs)]).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
-    brackets = sketch.select(*keys, "n", F.inline(pairs))
+    pairs = [
+        F.struct(
+            F.lit(float(p)).alias("prob"),
+            F.floor((F.col("n") - 1) * p).alias("rank"),
+            F.col("s")[i].alias("lo"),
+            F.col("s")[i + len(probs)].alias("hi"),
+        )
+        for i, p in enumerate(probs)
+    ]
     # Written, so that Spark knows the size and broadcasts it only when it is small.
-    brackets = scratch.materialise(brackets, "brackets")
-    known = brackets.withColumnsRenamed({k: f"_{k}" for k in keys})
-    match = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("x") <= F.col("hi")]
-    rows = long.join(known, match).drop(*[f"_{k}" for k in keys])
-    # Values under the bracket only count; they make slice -1.
-    width = F.try_divide((F.col("x") - F.col("lo")) * SLICES, F.col("hi") - F.col("lo"))
-    inside = F.col("x") >= F.col("lo")
-    rows = rows.withColumns(
-        {
-            "slice": F.when(inside, F.coalesce(F.floor(width), F.lit(0))).otherwise(F.lit(-1)).cast("int"),
-            "x": F.when(inside, F.col("x")),
-        }
-    )
-    group = [*keys, "prob", "n"]
-    counts = rows.groupBy(*group, "slice", "x").agg(F.count(F.lit(1)).alias("m"))
-    slices = counts.groupBy(*group, "slice").agg(F.sum("m").alias("in_slice"))
-    along = Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("before", F.coalesce(F.sum("in_slice").over(along), F.lit(0)))
-    order = Window.partitionBy(*group, "slice").orderBy(F.col("x").asc_nulls_first())
-    upto = F.sum("m").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.join(slices, [*group, "slice"]).withColumn("upto", F.col("before") + upto)
-    at = (F.col("n") - 1) * F.col("prob")
-    left = F.floor(at)
-    right = F.least(left + 1, F.col("n") - 1)
-    picked = ranked.groupBy(*group).agg(
-        F.min(F.when(F.col("upto") > left, F.struct("upto", "x"))).alias("a"),
-        F.min(F.when(F.col("upto") > right, F.struct("upto", "x"))).alias("b"),
-    )
-    sound = F.col("a.x").isNotNull() & F.col("b.x").isNotNull()
-    value = F.col("a.x") + (at - left) * (F.col("b.x") - F.col("a.x"))
-    checked = F.when(sound, value).otherwise(
-        F.raise_error(F.lit("the sketch missed a rank; raise the accuracy")).cast("double")
+    brackets = scratch.materialise(sketch.select(*keys, "n", "low", "high", F.array(*pairs).alias("b")), "brackets")
+    x = F.col("x")
+    counts = []
+    for i in range(len(probs)):
+        lo, hi = F.col("b")[i]["lo"], F.col("b")[i]["hi"]
+        counts += [F.count_if(x < lo), F.count_if(x.between(lo, hi)), F.min(F.when(x > hi, x))]
+    measured = long.join(brackets.select(*keys, "b"), keys).groupBy(*keys)
+    measured = measured.agg(*[c.alias(f"c{k}") for k, c in enumerate(counts)])
+    entries = [
+        F.struct(
+            *[F.col("b")[i][c].alias(c) for c in ("prob", "rank", "lo", "hi")],
+            *[F.col(f"c{3 * i + k}").alias(c) for k, c in enumerate(("below", "inside", "above"))],
+        )
+        for i in range(len(probs))
+    ]
+    state = brackets.join(measured, keys).select(*keys, "n", "low", "high", F.inline(F.array(*entries)))
+    state = scratch.materialise(state, "ranks")
+    before, behind = F.col("rank") < F.col("below"), F.col("rank") >= F.col("below") + F.col("inside")
+    large = (F.col("inside") > small) & (F.col("lo") < F.col("hi"))
+    while True:
+        pending = state.where(before | behind | large)
+        if pending.isEmpty():
+            break
+        moved = pending.withColumns(
+            {
+                "lo": F.when(before, F.col("low")).when(behind, F.col("above")).otherwise(F.col("lo")),
+                "hi": F.when(before, F.col("lo")).when(behind, F.col("high")).otherwise(F.col("hi")),
+                "below": F.when(before, F.lit(0)).when(behind, F.col("below") + F.col("inside")).otherwise(F.col("below")),
+            }
+        )
+        done = state.where(~(before | behind | large))
+        state = scratch.materialise(done.unionByName(_narrowed(moved, long, keys)), "ranks")
+    return _picked(state, long, keys)
+
+
+def _picked(state: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame:
+    """The quantile of every small bracket; the next rank may be the first value above it."""
+    known = state.withColumnsRenamed({k: f"_{k}" for k in keys})
+    inside = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("x").between(F.col("lo"), F.col("hi"))]
+    rows = long.join(known, inside).drop(*[f"_{k}" for k in keys])
+    values = rows.groupBy(*keys, "prob", "n", "rank", "below", "above", "x").agg(F.count(F.lit(1)).alias("m"))
+    along = Window.partitionBy(*keys, "prob").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    upto = values.withColumn("upto", F.col("below") + F.sum("m").over(along))
+    picked = upto.groupBy(*keys, "prob", "n", "rank", "above").agg(
+        F.min(F.when(F.col("upto") > F.col("rank"), F.col("x"))).alias("a"),
+        F.min(F.when(F.col("upto") > F.col("rank") + 1, F.col("x"))).alias("b"),
     )
-    return picked.select(*keys, "prob", checked.alias("value"))
+    part = (F.col("n") - 1) * F.col("prob") - F.col("rank")
+    step = F.coalesce("b", "above", "a") - F.col("a")
+    return picked.select(*keys, "prob", F.when(part > 0, F.col("a") + part * step).otherwise(F.col("a")).alias("value"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from forecourt import roles
 from forecourt.functions.expressions import correlation, sample_skewness
-from forecourt.operators.features import present, to_long
+from forecourt.operators.features import numeric_columns, present, to_long
 from forecourt.operators.overview import STATION
 from forecourt.operators.quantiles import exact_quantiles
 
@@ -220,6 +220,16 @@ def box_stats(df: DataFrame, column: str, by: str = STATION) -> DataFrame:
     )
 
 
+def measured_columns(df: DataFrame, fixed: list[str] = roles.STATIC_REALS) -> list[str]:
+    """Numeric columns that hold more than 0 and 1 and are not ``fixed`` for a station.
+
+    The classes of the columns, one flag each, reach the driver.
+    """
+    cols = [c for c in numeric_columns(df) if c not in fixed]
+    flags = df.agg(*[F.bool_or(~F.col(c).isin(0, 1)).alias(c) for c in cols]).first()
+    return [c for c in cols if flags[c]]
+
+
 def iqr_outliers(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows outside 1.5 IQR for each column that has any."""
     long = exact_quantiles(df, cols, [0.25, 0.75])

@@ -145,3 +145,26 @@ def test_reconcile_counts_gaps(spark):
     df = spark.createDataFrame([(3.0, 1.0, 2.0), (5.0, 1.0, None)], "t double, a double, b double")
     row = quality.reconcile(df, {"t": ["a", "b"]}).first()
     assert (row.n_mismatch, row.gap_sum, row.gap_max) == (1, 4.0, 4.0)
+
+
+def test_quantiles_of_wild_values_and_wrong_brackets(spark):
+    g = np.random.default_rng(8)
+    wild = np.concatenate((g.normal(size=1500) * 10.0 ** g.integers(-300, 300, 1500), [0.0] * 700, [1e308, -1e308], np.nextafter(1.0, 2) * np.ones(400), np.ones(400)))
+    rows = [(1, float(v)) for v in wild] + [(2, float(v)) for v in g.normal(size=50)] + [(3, 7.0)] + [(4, None)]
+    df = spark.createDataFrame(rows, "g long, x double").repartition(4)
+    pdf = pd.DataFrame(rows, columns=["g", "x"])
+    # A coarse sketch without a margin misses ranks on both sides; tiny brackets have to be cut again and again.
+    for accuracy, small, spread in ((3, 5, 0.0), (20, 1, 0.0), (10_000, 50_000, 3.0)):
+        got = exact_quantiles(df, ["x"], PROBS, ["g"], accuracy, small, spread).collect()
+        assert len(got) == 3 * len(PROBS)
+        for r in got:
+            want = np.sort(pdf[pdf.g == r.g].x.dropna().to_numpy())
+            at = (len(want) - 1) * r.prob
+            left = int(at)
+            a, b = want[left], want[min(left + 1, len(want) - 1)]
+            assert np.isclose(r.value, a + (at - left) * (b - a) if at > left else a, rtol=1e-9), (accuracy, r)
+
+
+def test_measured_columns_leave_out_flags_and_fixed_ones(spark):
+    df = spark.createDataFrame([(1, 0, 5.0, 3, "a"), (2, 1, None, 3, "b"), (3, None, 0.0, 3, None)], "k long, flag int, x double, shop_area_m2 int, t string")
+    assert stats.measured_columns(df) == ["k", "x"]

@@ -46,10 +46,10 @@ def shop_by_ad_channel(spark, folder):
 
 @query(
     "promo_by_fuel",
-    _grouped_long("promotion_fuel_active", "active", roles.FUEL_TARGETS[:4], "avg", "fuel", "sales", labels.FUEL, "hub", 9),
+    _grouped_long("promotion_fuel_active", "active", roles.FUEL_TARGETS, "avg", "fuel", "sales", labels.FUEL, "hub", 9),
 )
 def promo_by_fuel(spark, folder):
-    return rounded(d.promo_by_fuel(base.hub(spark, folder), "promotion_fuel_active", roles.FUEL_TARGETS[:4]), 9)
+    return rounded(d.promo_by_fuel(base.hub(spark, folder), "promotion_fuel_active", roles.FUEL_TARGETS), 9)
 
 
 @query(

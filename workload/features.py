@@ -11,21 +11,15 @@ from workload.registry import query, rounded
 IDS = ["station_id", "timestamp"]
 
 
+_LEFT = [c for c in sql.MERGED_TYPES if c not in roles.REDUNDANT]
+
+
 @query(
     "redundant_columns_dropped",
-    sql.merged(
-        "SELECT station_id, timestamp, road_type, total_pumps IS NOT NULL AS had_total_pumps, "
-        "10 AS n_left FROM merged"
-    ),
+    sql.merged(f"SELECT {', '.join(sql.r(c, c) if sql.MERGED_TYPES[c] == 'double' else c for c in _LEFT)} FROM merged"),
 )
 def redundant_columns_dropped(spark, folder):
-    df = base.merged(spark, folder).select(
-        *IDS, "road_type", "sales_AI92", "shop_drinks", "hour", "month", "season", "is_night", "is_rain",
-        "total_pumps", "total_traffic", "quarter", "day_name", "station_name",
-    )
-    had = df.withColumn("had_total_pumps", F.col("total_pumps").isNotNull())
-    left = features.drop_redundant(had)
-    return left.select(*IDS, "road_type", "had_total_pumps", F.lit(len(left.columns) - 1).alias("n_left"))
+    return rounded(features.drop_redundant(base.merged(spark, folder)))
 
 
 @query(
@@ -207,10 +201,7 @@ def normalised_types(spark, folder):
     return features.normalise_types(df, ["station_id"], ["is_rain", "direction", "whole"], ["total_traffic"])
 
 
-_CLASSED = [
-    "total_traffic", "is_rain", "is_weekend", "sales_AI92", "sales_DT_SUMMER", "price_AI92", "price_DT_TANEKO",
-    "has_cafe", "total_pumps", "temperature", "promotion_fuel_active", "month", "distance_to_city_km",
-]
+_CLASSED = [c for c in sql.NUMERIC if c != "station_id"]
 _CLASSES = " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", bool_and({c} IN (0, 1) OR {c} IS NULL) AS is_binary,
     (SELECT bool_and(same) FROM (SELECT coalesce(max({c}) = min({c}), TRUE) AS same FROM merged GROUP BY station_id)) AS is_constant
@@ -221,7 +212,7 @@ _CLASSES = " UNION ALL ".join(
 
 @query("column_classes", sql.merged(_CLASSES))
 def column_classes(spark, folder):
-    return features.classify_columns(base.merged(spark, folder).select("station_id", *_CLASSED))
+    return features.classify_columns(base.merged(spark, folder))
 
 
 @query(

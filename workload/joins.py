@@ -55,12 +55,12 @@ def predictions_with_actuals(spark, folder):
 
 @query(
     "origin_timestamps",
-    indexed_sql("SELECT station_id, time_idx, timestamp FROM idx WHERE time_idx >= 84 AND time_idx % 24 = 0"),
+    indexed_sql("SELECT station_id, time_idx, timestamp FROM idx WHERE time_idx >= 84"),
 )
 def origin_timestamps(spark, folder):
     facts = base.indexed(base.hourly(spark, folder).select(*IDS))
-    days = facts.where((F.col("time_idx") >= 84) & (F.col("time_idx") % 24 == 0))
-    return joins.resolve_origin_ts(days.select("station_id", "time_idx"), facts)
+    origins = facts.where(F.col("time_idx") >= 84)
+    return joins.resolve_origin_ts(origins.select("station_id", "time_idx"), facts)
 
 
 @query(
@@ -236,13 +236,12 @@ def encoder_history(spark, folder):
     indexed_sql(
         f"""SELECT o.station_id, o.time_idx AS origin_idx, count(*) AS n_rows, {sql.r('sum(h.total_traffic * (o.time_idx - h.time_idx))', 'weighted_traffic')}
         FROM idx o JOIN idx h ON h.station_id = o.station_id AND h.time_idx BETWEEN o.time_idx - 168 AND o.time_idx - 1
-        WHERE o.time_idx >= 84 AND o.hour = 0 GROUP BY ALL"""
+        WHERE o.time_idx >= 84 GROUP BY ALL"""
     ),
 )
 def encoder_rows_by_origin(spark, folder):
-    facts = base.indexed(base.hourly(spark, folder).select(*IDS, "hour", "total_traffic"))
-    midnight = facts.where((F.col("time_idx") >= 84) & (F.col("hour") == 0))
-    rows = series.encoder_rows(facts, midnight)
+    facts = base.indexed(base.hourly(spark, folder).select(*IDS, "total_traffic"))
+    rows = series.encoder_rows(facts, facts.where(F.col("time_idx") >= 84))
     out = rows.groupBy("station_id", "origin_idx").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.col("total_traffic") * F.col("lag_h")).cast("double").alias("weighted_traffic"),

@@ -8,7 +8,7 @@ from forecourt.sources import standins
 from workload import base, sql
 from workload.registry import query, rounded
 
-NULL_COLUMNS = ["station_id", "timestamp", "ad_channel", "holiday_name", "temperature", "weather_condition", "road_type", "sales_AI92"]
+NULL_COLUMNS = list(sql.MERGED_TYPES)
 
 
 def nulls_sql(fill=False):
@@ -19,7 +19,7 @@ def nulls_sql(fill=False):
 
 @query("null_report", sql.merged(f"SELECT * FROM ({nulls_sql()}) WHERE n_null > 0"))
 def null_report(spark, folder):
-    return quality.null_report(base.merged(spark, folder).select(*NULL_COLUMNS))
+    return quality.null_report(base.merged(spark, folder))
 
 
 @query(
@@ -30,14 +30,11 @@ def null_report(spark, folder):
     ),
 )
 def null_change(spark, folder):
-    before = base.merged(spark, folder).select(*NULL_COLUMNS)
+    before = base.merged(spark, folder)
     return quality.null_change(before, features.fill_missing(before))
 
 
-PROFILED = {
-    "timestamp": "timestamp_ntz", "station_id": "bigint", "station_name": "string", "total_traffic": "bigint",
-    "hour": "int", "ad_channel": "string", "weather_condition": "string", "is_rain": "int", "season": "string",
-}
+PROFILED = sql.MERGED_TYPES
 
 
 def _examples(c, n):
@@ -61,10 +58,10 @@ def _profile():
 
 @query("column_profile", _profile())
 def column_profile(spark, folder):
-    return quality.column_profile(base.merged_table(spark, folder).select(*PROFILED))
+    return quality.column_profile(base.merged_table(spark, folder))
 
 
-CATALOG = ["timestamp", "station_id", "station_name", "total_traffic", "hour", "ad_channel", "weather_condition", "is_rain", "season", "day_name"]
+CATALOG = list(sql.MERGED_TYPES)
 DESCRIPTIONS = {"timestamp": "hour of the row", "station_id": "station key", "ad_channel": "advertising channel", "season": "season of the month"}
 
 
@@ -79,7 +76,7 @@ DESCRIPTIONS = {"timestamp": "hour of the row", "station_id": "station key", "ad
     ),
 )
 def column_catalog(spark, folder):
-    return quality.column_catalog(base.merged_table(spark, folder).select(*CATALOG), DESCRIPTIONS)
+    return quality.column_catalog(base.merged_table(spark, folder), DESCRIPTIONS)
 
 
 TOTALS = {

@@ -100,7 +100,7 @@ def ad_channel_codes(spark, folder):
 # The numeric columns that the pipeline scales; the rest is 0/1, static, price, target or key.
 _SCALED = ["temperature", "precipitation_mm", "visibility_km", "wind_speed_ms", *roles.TRAFFIC, *roles.RIVAL_PRICES, *roles.CALENDAR]
 _CYCLES = [f"{c}_{f}" for c in roles.CYCLE_PERIODS for f in ("sin", "cos")]
-_CODES = ["season", "ad_channel", "holiday_name", "weather_condition", "road_type"]
+_CODES = ["season", "ad_channel", "holiday_name", "weather_condition", *roles.STATIC_CATEGORIES]
 _FLAGS = ["is_weekend", "is_rush_hour", "is_shop_open"]
 
 
@@ -130,7 +130,7 @@ def _prepared_sql():
       {', '.join(f"CASE WHEN r.{c} IS NOT NULL THEN CAST(r.{c}_enc AS INTEGER) END AS {c}_enc" for c in _CODES)},
       {', '.join('r.' + c for c in _FLAGS)},
       {sql.r('r.price_AI92', 'price_AI92')}, {sql.r('r.distance_to_city_km', 'distance_to_city_km')},
-      {', '.join(sql.r(f'ln(1 + r.{t})', t) + ', ' + sql.r(f'r.{t}', t + '_orig') for t in roles.TARGETS[:3])}
+      {', '.join(sql.r(f'ln(1 + r.{t})', t) + ', ' + sql.r(f'r.{t}', t + '_orig') for t in roles.TARGETS)}
       FROM coded r LEFT JOIN fit f USING (station_id)"""
     return f"WITH {sql.MERGED}{rows} {body}"
 
@@ -146,7 +146,7 @@ def prepared_table(spark, folder):
     rows = rows.withColumns({c: F.col(c).cast("double") for c in _SCALED})
     cols = [*IDS, "time_idx", "split", *_SCALED, *_CYCLES, *[f"{c}_enc" for c in _CODES], *_FLAGS]
     cols += ["price_AI92", "distance_to_city_km"]
-    cols += [x for t in roles.TARGETS[:3] for x in (t, t + "_orig")]
+    cols += [x for t in roles.TARGETS for x in (t, t + "_orig")]
     return rounded(rows.select(*cols))
 
 

@@ -131,14 +131,14 @@ def split_report(spark, folder):
     indexed_sql(
         "SELECT station_id, timestamp, min(horizon_h) AS horizon_h, arg_min(pred, horizon_h) AS pred FROM fc GROUP BY 1, 2",
         """, fc AS (SELECT station_id, timestamp + to_hours(h - 1) AS timestamp, h AS horizon_h, time_idx * 100 + h AS pred
-        FROM (SELECT *, CAST(unnest(range(1, 25)) AS INTEGER) AS h FROM idx WHERE time_idx >= 84 AND time_idx % 6 = 0))""",
+        FROM (SELECT *, CAST(unnest(range(1, 25)) AS INTEGER) AS h FROM idx WHERE time_idx >= 84))""",
     ),
 )
 def shortest_horizon(spark, folder):
-    """A forecast every six hours; each hour keeps the one made last before it."""
+    """A forecast every hour; each hour keeps the one made last before it."""
     from forecourt.operators.joins import expand_horizon
 
-    origins = indexed(spark, folder).where((F.col("time_idx") >= 84) & (F.col("time_idx") % 6 == 0))
+    origins = indexed(spark, folder).where(F.col("time_idx") >= 84)
     steps = expand_horizon(origins)
     pred = steps.select(
         "station_id",

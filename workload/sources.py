@@ -146,21 +146,16 @@ def scalers_saved_and_loaded(spark, folder):
 
 @query(
     "table_summary",
-    sql.hourly(
-        """SELECT CAST(sum(n) AS BIGINT) AS n_rows, 5 AS n_columns, min(a) AS first_ts, max(b) AS last_ts,
+    sql.merged(
+        f"""SELECT CAST(sum(n) AS BIGINT) AS n_rows, {len(sql.MERGED_TYPES)} AS n_columns, min(a) AS first_ts, max(b) AS last_ts,
         count(*) AS n_stations, min(n) AS min_hours, max(n) AS max_hours,
         CAST(sum(date_diff('hour', a, b) + 1 - n) AS BIGINT) AS missing_hours
-        FROM (SELECT station_id, count(*) AS n, min(timestamp) AS a, max(timestamp) AS b FROM busy GROUP BY station_id)"""
+        FROM (SELECT station_id, count(*) AS n, min(timestamp) AS a, max(timestamp) AS b FROM merged WHERE total_traffic > 0 GROUP BY station_id)"""
     ),
 )
 def table_summary(spark, folder):
-    events = standins.table(spark, folder, "events")
-    from forecourt.functions.expressions import hour_start
-
-    hours = events.groupBy(
-        standins.station_of("user_id").alias("station_id"), hour_start("ts").alias("timestamp")
-    ).agg(F.count(F.lit(1)).alias("a"), F.sum("value").alias("b"), F.max("event_id").alias("c"))
-    return tables.table_summary(hours)
+    """The merged facts without their idle hours, which count as missing."""
+    return tables.table_summary(base.merged(spark, folder).where("total_traffic > 0"))
 
 
 @query(

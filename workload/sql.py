@@ -162,6 +162,27 @@ EXTRA = [
     "shop_area_m2", *roles.SERVICES, "competitors_within_5km", *roles.BASE_PRICES,
     "customer_loyalty_score", "staff_quality_score", "corporate_customer_ratio", "staff_engagement_score",
 ]
+#: Columns of the merged table in order, with their types.
+MERGED_TYPES = (
+    {"station_id": "bigint", "timestamp": "timestamp_ntz"}
+    | dict.fromkeys(s.TARGET_RANGES, "double")
+    | dict.fromkeys([*roles.TRAFFIC, "total_traffic"], "bigint")
+    | dict.fromkeys(roles.PROMOTIONS, "int")
+    | dict.fromkeys(["ad_channel", "station_name"], "string")
+    | dict.fromkeys(["temperature", "precipitation_mm", "visibility_km", "wind_speed_ms"], "double")
+    | dict.fromkeys(["is_rain", "is_snow", "is_fog"], "int")
+    | {"weather_condition": "string", "ad_active": "int"}
+    | dict.fromkeys([*roles.RIVAL_PRICES, *(f"price_{g}" for g in s.PRICE_OFFSETS)], "double")
+    | dict.fromkeys(["hour", "day_of_week", "week_of_year", "month", "quarter"], "int")
+    | dict.fromkeys(["season", "day_name"], "string")
+    | dict.fromkeys(["is_weekend", "is_rush_hour", "is_night"], "int")
+    | {"holiday_name": "string", "is_holiday": "int"}
+    | dict.fromkeys(["road_type", "direction", "settlement_size"], "string")
+    | {"distance_to_city_km": "double"}
+    | dict.fromkeys([*roles.PUMPS, "total_pumps", "shop_area_m2", *roles.SERVICES, "competitors_within_5km"], "int")
+    | dict.fromkeys([*roles.BASE_PRICES, "customer_loyalty_score", "staff_quality_score", "corporate_customer_ratio", "staff_engagement_score"], "double")
+)
+NUMERIC = [c for c, t in MERGED_TYPES.items() if t in ("double", "bigint", "int")]
 MERGED = (
     HOURLY + "," + PASSPORT
     + f", merged AS (SELECT f.*, {', '.join('p.' + c for c in EXTRA)} FROM facts f LEFT JOIN passport p USING (station_id))"

@@ -238,29 +238,27 @@ def density_by_station(spark, folder):
     return rounded(st.density(base.hub_table(spark, folder), "total_sales"))
 
 
-OUTLIER_COLUMNS = [
-    *roles.TARGETS, "temperature", "precipitation_mm", "visibility_km", "wind_speed_ms", *roles.TRAFFIC, "total_traffic",
-    *roles.RIVAL_PRICES, *roles.PRICES, "hour", "day_of_week",
-]
+_OUTLIERS = [c for c in sql.NUMERIC if c not in roles.STATIC_REALS]
 
 
 def outlier_sql(cols, source, make, digits=4):
     parts = [
         f"""SELECT '{c}' AS "column", count(CASE WHEN {c} < q[1] - 1.5 * (q[2] - q[1]) OR {c} > q[2] + 1.5 * (q[2] - q[1]) THEN 1 END) AS n_outliers,
         {sql.r('any_value(q[1] - 1.5 * (q[2] - q[1]))', 'low', digits)}, {sql.r('any_value(q[2] + 1.5 * (q[2] - q[1]))', 'high', digits)}
-        FROM {source}, (SELECT quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.75]) AS q FROM {source})"""
+        FROM {source}, (SELECT quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.75]) AS q FROM {source}) HAVING bool_or({c} NOT IN (0, 1))"""
         for c in cols
     ]
     return make(f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE n_outliers > 0")
 
 
-@query("iqr_outliers", outlier_sql(OUTLIER_COLUMNS, "facts", sql.hourly))
+@query("iqr_outliers", outlier_sql(_OUTLIERS, "merged", sql.merged))
 def iqr_outliers(spark, folder):
-    hourly = scratch.materialise(base.hourly(spark, folder), "hourly")
-    return rounded(st.iqr_outliers(hourly, OUTLIER_COLUMNS), 4)
+    """All numeric columns that are neither 0/1 nor fixed for a station."""
+    merged = base.merged_table(spark, folder)
+    return rounded(st.iqr_outliers(merged, st.measured_columns(merged)), 4)
 
 
-_DAILY_OUTLIERS = [*roles.FUEL_TARGETS, "total_traffic", "shop_coffee"]
+_DAILY_OUTLIERS = [*roles.TARGETS, "total_traffic"]
 
 
 @query("iqr_outliers_daily", outlier_sql(_DAILY_OUTLIERS, "daily", sql.daily))
