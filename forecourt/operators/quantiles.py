@@ -2,7 +2,7 @@
 
 A sketch of each column gives a bracket around every wanted rank. One pass counts the values below and inside of each
 bracket. Where a rank lies outside, the bracket moves to that side; where too many values lie inside, it is cut into
-slices and the one that holds the rank is the next bracket, until all brackets are small. Only values of small brackets
+parts and the one that holds the rank is the next bracket, until all brackets are small. Only values of small brackets
 are sorted.
 """
 
@@ -14,19 +14,31 @@ from forecourt.sources import scratch
 ACCURACY = 10_000
 #: Values that one bracket may hold when they are sorted.
 SMALL = 50_000
-SLICES = 1_000
+#: Parts that a bracket is cut into.
+PARTS = 32
 
 
-def _narrowed(pending: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame:
-    """Each bracket's slice that holds the rank, with counts, and the least and the largest value there."""
-    known = pending.withColumnsRenamed({k: f"_{k}" for k in keys})
+def _inside(state: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame:
+    """The values of every bracket, beside the bracket."""
+    known = state.withColumnsRenamed({k: f"_{k}" for k in keys})
     inside = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("x").between(F.col("lo"), F.col("hi"))]
-    rows = long.join(known, inside).drop(*[f"_{k}" for k in keys])
-    # Halves, since a difference may be larger than any double. The largest value has a slice of its own.
-    place = F.try_divide(F.col("x") / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2)
-    part = F.coalesce(F.floor(place * SLICES), F.lit(0)).alias("part")
+    return long.join(known, inside).drop(*[f"_{k}" for k in keys])
+
+
+def _narrowed(pending: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame:
+    """Each bracket's part that holds the rank, with counts, and the least and the largest value there.
+
+    Values of the bracket itself, spread evenly over its ranks, cut it. Each of them is a part of its own, so a value that
+    fills most of a bracket is one part, and every part holds fewer distinct values than the bracket.
+    """
+    cuts = F.percentile_approx("x", [i / PARTS for i in range(PARTS + 1)], 100 * PARTS).alias("cuts")
+    cuts = _inside(pending.select(*keys, "prob", "lo", "hi"), long, keys).groupBy(*keys, "prob").agg(cuts)
+    pending = scratch.materialise(pending.join(cuts, [*keys, "prob"]), "cuts")
+    x = F.col("x")
+    part = 2 * F.size(F.filter("cuts", lambda c: c < x)) + F.array_contains("cuts", x).cast("int")
     group = [*keys, "n", "prob", "rank", "low", "high", "below", "above"]
-    found = rows.groupBy(*group, part).agg(F.count(F.lit(1)).alias("inside"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    found = _inside(pending, long, keys).groupBy(*group, part.alias("part"))
+    found = found.agg(F.count(F.lit(1)).alias("inside"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     along = Window.partitionBy(*keys, "prob").orderBy("part")
     found = found.withColumns(
         {
@@ -35,7 +47,7 @@ def _narrowed(pending: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame
         }
     )
     held = (F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("inside"))
-    return found.where(held).select(*pending.columns)
+    return found.where(held).select(*[c for c in pending.columns if c != "cuts"])
 
 
 def exact_quantiles(
@@ -113,9 +125,7 @@ def exact_quantiles(
 
 def _picked(state: DataFrame, long: DataFrame, keys: list[str]) -> DataFrame:
     """The quantile of every small bracket; the next rank may be the first value above it."""
-    known = state.withColumnsRenamed({k: f"_{k}" for k in keys})
-    inside = [F.col(k) == F.col(f"_{k}") for k in keys] + [F.col("x").between(F.col("lo"), F.col("hi"))]
-    rows = long.join(known, inside).drop(*[f"_{k}" for k in keys])
+    rows = _inside(state, long, keys)
     values = rows.groupBy(*keys, "prob", "n", "rank", "below", "above", "x").agg(F.count(F.lit(1)).alias("m"))
     along = Window.partitionBy(*keys, "prob").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     upto = values.withColumn("upto", F.col("below") + F.sum("m").over(along))
