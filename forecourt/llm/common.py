@@ -25,24 +25,27 @@ def real_id(key: str) -> Column:
 
 
 def ranked(
-    df: DataFrame, groups: list[str], by: list[str], order: list[str], slim: DataFrame | None = None, rows_per_task: int = 100_000
+    df: DataFrame,
+    groups: list[str],
+    by: list[str],
+    order: list[str],
+    slim: DataFrame | None = None,
+    rows_per_task: int = 5_000,
+    out: str = "rank",
 ) -> DataFrame:
-    """Rows with ``rank``, gapless from 0 in each group (non-null columns), in the order of a hash of ``by``.
+    """Rows with ``out``, gapless from 0 in each group (non-null columns), in the order of a hash of ``by``.
 
     No window covers a group: rows are numbered inside hash buckets, and bucket counts are summed. The number of
     buckets follows the number of rows. Rows of one bucket are in the order of ``by``, then ``order``. ``slim``
-    holds the same rows with no more than ``groups`` and ``by``, for counting.
+    holds the same rows with no more than ``groups`` and ``by``, for counting. ``out`` must be no column of ``df``.
     """
     slim = df if slim is None else slim
-    buckets = 1 + slim.count() // rows_per_task
-    bucket = F.pmod(F.xxhash64(*by), F.lit(buckets))
-    counts = slim.groupBy(*groups, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*groups).orderBy("_bucket")) - F.col("_n")
-    counts = scratch.materialise(counts.withColumn("_before", before).drop("_n"), "ranks")
-    inside = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(*by, *order))
-    df = df.withColumn("_bucket", bucket).withColumn("_inside", inside.cast("long"))
-    return (
-        df.join(counts, [*groups, "_bucket"])
-        .withColumn("rank", F.col("_before") + F.col("_inside") - 1)
-        .drop("_before", "_inside", "_bucket")
-    )
+    bucket, inside, before, n = (fresh(df, c) for c in ("_bucket", "_inside", "_before", "_n"))
+    place = F.pmod(F.xxhash64(*by), F.lit(1 + slim.count() // rows_per_task))
+    counts = slim.groupBy(*groups, place.alias(bucket)).agg(F.count(F.lit(1)).alias(n))
+    earlier = F.sum(n).over(Window.partitionBy(*groups).orderBy(bucket)) - F.col(n)
+    counts = scratch.materialise(counts.withColumn(before, earlier).drop(n), "ranks")
+    number = F.row_number().over(Window.partitionBy(*groups, bucket).orderBy(*by, *order))
+    rows = df.withColumn(bucket, place).withColumn(inside, number.cast("long"))
+    numbered = rows.join(counts, [*groups, bucket]).withColumn(out, F.col(before) + F.col(inside) - 1)
+    return numbered.select(*df.columns, out)

@@ -25,6 +25,8 @@ from forecourt.sources import scratch
 
 #: Largest release or deadline that is written down: those of weights below 1e-18 of the sum may lie beyond.
 LAST = (1 << 63) - 1
+#: The columns that a mixture adds.
+MADE = ("block", "weight", "release", "deadline", "slot", "phase", "position")
 #: Blocks that the driver holds as one piece.
 _PIECE = 100_000
 
@@ -141,8 +143,9 @@ def mix(
     are taken in the order of a hash of the ``order`` columns. Every row is placed once; repeated rows are rows. A null
     source is a source of its own. An empty table stays empty.
     """
-    rows = docs.drop("block", "weight", "release", "deadline", "slot", "phase", "position")
-    key, spread = fresh(rows, "_source"), fresh(rows, "_spread")
+    rows = docs.drop(*MADE)
+    kept = rows.columns
+    key, spread, rank = (fresh(rows, c) for c in ("_source", "_spread", "_rank"))
     rows = rows.withColumns({key: source_key(F.col(source)), spread: F.xxhash64(*order)})
     slim = scratch.materialise(rows.select(key, spread), "sources")
     counts = {r[key]: r["count"] for r in slim.groupBy(key).count().collect()}
@@ -151,22 +154,26 @@ def mix(
     schema = "source string, block long, phase long, slot long, release long, deadline long, weight double, at long"
     pieces = list(_pieces(counts, parts, block_rows))
     blocks = docs.sparkSession.createDataFrame(pa.Table.from_batches(pieces), schema) if pieces else docs.sparkSession.createDataFrame([], schema)
-    blocks = scratch.materialise(blocks.select(*[F.col(c).alias(f"_p_{c}") for c in blocks.columns]), "blocks")
-    placed = ranked(rows, [key], [spread], list(order), slim).withColumn("block", F.floor(F.col("rank") / block_rows))
-    joined = placed.join(blocks, (F.col(key) == F.col("_p_source")) & (F.col("block") == F.col("_p_block")))
+    names = {c: fresh(rows, f"_p_{c}") for c in blocks.columns}
+    blocks = scratch.materialise(blocks.withColumnsRenamed(names), "blocks")
+    placed = ranked(rows, [key], [spread], list(order), slim, out=rank).withColumn("block", F.floor(F.col(rank) / block_rows))
+    joined = placed.join(blocks, (F.col(key) == F.col(names["source"])) & (F.col("block") == F.col(names["block"])))
     return joined.select(
-        *docs.drop("block", "weight", "release", "deadline", "slot", "phase", "position").columns,
+        *kept,
         "block",
-        F.col("_p_weight").alias("weight"),
-        F.col("_p_release").alias("release"),
-        F.col("_p_deadline").alias("deadline"),
-        F.col("_p_slot").alias("slot"),
-        F.col("_p_phase").cast("int").alias("phase"),
-        (F.col("_p_at") + F.col("rank") - F.col("block") * block_rows).cast("long").alias("position"),
+        *[F.col(names[c]).alias(c) for c in ("weight", "release", "deadline", "slot")],
+        F.col(names["phase"]).cast("int").alias("phase"),
+        (F.col(names["at"]) + F.col(rank) - F.col("block") * block_rows).cast("long").alias("position"),
     )
 
 
-def in_order(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, with their columns, in the order of the mixture: written, its files hold consecutive positions."""
-    mixed = mix(docs, **options).withColumnRenamed("position", at := fresh(docs, "_position"))
-    return mixed.repartitionByRange(at).sortWithinPartitions(at).select(docs.columns)
+def in_order(docs: DataFrame, order: tuple[str, ...] = ("doc_id", "text"), source: str = "source", **options) -> DataFrame:
+    """The rows of ``docs``, with their columns, in the order of the mixture: written, its files hold consecutive positions.
+
+    Every column keeps its values, whatever its name. Null sources, texts and ids, repeated rows and an empty table are
+    treated as by ``mix``.
+    """
+    names = {c: f"c{k}" for k, c in enumerate(docs.columns)}
+    mixed = mix(docs.toDF(*names.values()), order=tuple(names[c] for c in order), source=names[source], **options)
+    placed = mixed.select(*names.values(), "position").repartitionByRange("position").sortWithinPartitions("position")
+    return placed.select(*names.values()).toDF(*docs.columns)

@@ -122,7 +122,7 @@ def op9_reshard(spark, folder):
 def op4_mix_sources(spark, folder):
     """The place of every document in a mixture of the sources."""
     docs = table(spark, folder, "documents").select("doc_id", "source")
-    return mixing.mix(docs, order=("doc_id",)).withColumn("weight", F.round("weight", 6))
+    return mixing.mix(docs, order=("doc_id",))
 
 
 @query("op1_decontaminate")

@@ -147,7 +147,9 @@ def reshard(
         old_shard = F.pmod(F.crc32(id_text.cast("binary")), F.lit(old_shards))
     size = size_of() if size is None else size
     rows = docs.withColumns({"old_shard": old_shard.cast("int"), "size": size}).drop("shard", "slot")
-    slim = scratch.materialise(rows.select("old_shard", "size", F.xxhash64(*order).alias("_h")), "sizes")
+    kept = docs.drop("old_shard", "size", "shard", "slot").columns
+    kind, spread, rank, out, to_, hit_ = (fresh(rows, c) for c in ("_class", "_h", "_rank", "_out", "_to", "_hit"))
+    slim = scratch.materialise(rows.select("old_shard", "size", F.xxhash64(*order).alias(spread)), "sizes")
     counts = {r["old_shard"]: r["count"] for r in slim.groupBy("old_shard").count().collect()}
     cuts = _cuts(slim, counts, shards)
     base = sum(counts.values()) // shards
@@ -161,11 +163,11 @@ def reshard(
     edge = {old: size_at(old, n) for old, n in leaving.items() if n > 0}
     last = _lookup(edge, F.col("old_shard"), -1)
     order_class = F.when(F.col("size") < last, 0).when(F.col("size") == last, 1).otherwise(2)
-    slim, rows = (df.withColumn("_class", order_class) for df in (slim, rows.withColumn("_h", F.xxhash64(*order))))
-    sizes = {(r["old_shard"], r["_class"]): r["count"] for r in slim.groupBy("old_shard", "_class").count().collect()}
+    slim, rows = (df.withColumn(kind, order_class) for df in (slim, rows.withColumn(spread, F.xxhash64(*order))))
+    sizes = {(r["old_shard"], r[kind]): r["count"] for r in slim.groupBy("old_shard", kind).count().collect()}
     before = {f"{o}/{c}": sum(n for (o2, c2), n in sizes.items() if o2 == o and c2 < c) for o, c in sizes}
-    placed = ranked(rows, ["old_shard", "_class"], ["_h"], [*order, "size"], slim)
-    key = F.concat_ws("/", F.col("old_shard").cast("string"), F.col("_class").cast("string"))
+    placed = ranked(rows, ["old_shard", kind], [spread], [*order, "size"], slim, out=rank)
+    key = F.concat_ws("/", F.col("old_shard").cast("string"), F.col(kind).cast("string"))
     filled = {new: moves.get((new, new), 0) for new in range(shards)}
     begin, target = defaultdict(int), defaultdict(list)
     for (old, new), units in sorted(moves.items()):
@@ -175,15 +177,15 @@ def reshard(
             filled[new] += units
     cases = " ".join(f"WHEN {old} THEN array({', '.join(parts)})" for old, parts in target.items())
     to = F.expr(f"CASE old_shard {cases} END") if cases else F.lit(None).cast("array<struct<upto:bigint,shard:int,shift:bigint>>")
-    placed = placed.withColumns({"_rank": F.col("rank") + _lookup(before, key, 0), "_out": _lookup(leaving, F.col("old_shard"), 0), "_to": to})
-    hit = F.when(F.col("_rank") < F.col("_out"), F.filter("_to", lambda t: F.col("_rank") < t["upto"])[0])
-    placed = placed.withColumn("_hit", hit)
+    placed = placed.withColumns({rank: F.col(rank) + _lookup(before, key, 0), out: _lookup(leaving, F.col("old_shard"), 0), to_: to})
+    hit = F.when(F.col(rank) < F.col(out), F.filter(to_, lambda t: F.col(rank) < t["upto"])[0])
+    placed = placed.withColumn(hit_, hit)
     return placed.select(
-        *docs.drop("old_shard", "size", "shard", "slot").columns,
+        *kept,
         "size",
         "old_shard",
-        F.coalesce("_hit.shard", "old_shard").cast("int").alias("shard"),
-        F.coalesce(F.col("_rank") + F.col("_hit.shift"), F.col("_rank") - F.col("_out")).cast("long").alias("slot"),
+        F.coalesce(F.col(hit_)["shard"], "old_shard").cast("int").alias("shard"),
+        F.coalesce(F.col(rank) + F.col(hit_)["shift"], F.col(rank) - F.col(out)).cast("long").alias("slot"),
     )
 
 
@@ -201,15 +203,17 @@ def _as_stored(docs: DataFrame, file: str, row: str) -> DataFrame:
 def reshard_in_order(docs: DataFrame, shards: int, **options) -> DataFrame:
     """``reshard``, but the slots of a shard follow the order of ``docs``: file after file by name, row after row.
 
-    Rows are numbered inside runs of ``RUN`` rows of a file, and the counts of the runs are summed.
+    Rows are numbered inside runs of ``RUN`` rows of a file, and the counts of the runs are summed. ``shard, slot, size`` and
+    ``old_shard`` replace columns of these names; all others keep their values. Null and empty texts, repeated rows and
+    an empty table are treated as by ``reshard``.
     """
-    file, row, run, before, inside = (fresh(docs, c) for c in ("_file", "_row", "_run", "_before", "_inside"))
+    file, row, run, before, inside, n = (fresh(docs, c) for c in ("_file", "_row", "_run", "_before", "_inside", "_n"))
     placed = reshard(_as_stored(docs, file, row), shards, **options)
     placed = scratch.materialise(placed.withColumn(run, F.floor(F.col(row) / RUN)), "placed")
-    counts = placed.groupBy("shard", file, run).agg(F.count(F.lit(1)).alias("_n"))
+    counts = placed.groupBy("shard", file, run).agg(F.count(F.lit(1)).alias(n))
     part = F.length(F.regexp_extract(file, r"part-([0-9]+)", 1))  # longer numbers follow shorter ones
-    earlier = F.sum("_n").over(Window.partitionBy("shard").orderBy(part, file, run)) - F.col("_n")
-    counts = scratch.materialise(counts.withColumn(before, earlier).drop("_n"), "runs")
+    earlier = F.sum(n).over(Window.partitionBy("shard").orderBy(part, file, run)) - F.col(n)
+    counts = scratch.materialise(counts.withColumn(before, earlier).drop(n), "runs")
     numbered = placed.withColumn(inside, F.row_number().over(Window.partitionBy("shard", file, run).orderBy(row)))
     joined = numbered.join(counts, ["shard", file, run]).withColumn("slot", F.col(before) + F.col(inside) - 1)
     return joined.select(*[c for c in placed.columns if c not in (file, row, run)])

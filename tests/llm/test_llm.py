@@ -480,3 +480,54 @@ def test_pipeline_slots_follow_the_mixture(spark):
         assert [slot for _, slot in held] == list(range(len(held)))
         places = [min(at[i]) for i, _ in held if len(at[i]) == 1]
         assert places == sorted(places)
+
+
+# Columns whose names the operators use themselves
+
+CLASHING = ["rank", "weight", "slot", "block", "position", "shard", "size", "old_shard", "release", "deadline", "phase", "_bucket", "_inside", "_before", "_n",
+            "_p_slot", "_p_block", "_p_source", "_p_at", "_source", "_spread", "_rank", "_class", "_h", "_out", "_to", "_hit", "_file", "_row", "_run",
+            "key", "node", "root", "band", "e", "n", "ids", "runs", "collapsed", "n_words", "agrees", "raw", "score", "kept", "c0", "at", "piece"]
+
+
+def clashing(spark):
+    texts = HARD[:8] + ["some plain words stand here in a row of their own today"] * 3
+    rows = [(i % 9, t, ["a", "b", None][i % 3], *range(len(CLASHING))) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{c}` int" for c in CLASHING)
+    return scratch.materialise(spark.createDataFrame(rows, schema).repartition(3), "clashing")
+
+
+def values(df, names):
+    """Id and clashing columns of each row."""
+    return Counter((r["doc_id"], *[r[c] for c in names]) for r in df.collect())
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = clashing(spark)
+    mixed = mixing.in_order(docs)
+    assert mixed.columns == docs.columns and values(mixed, CLASHING) == values(docs, CLASHING)
+    made = {"shard", "slot", "size", "old_shard"}
+    placed = sharding.reshard_in_order(docs, 4)
+    others = [c for c in CLASHING if c not in made]
+    assert made <= set(placed.columns) and values(placed, others) == values(docs, others)
+    others = [c for c in CLASHING if c not in mixing.MADE]
+    assert values(mixing.mix(docs), others) == values(docs, others)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(9)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "nothing of the kind")], "item_id long, text string")
+    for stage in (dedup.keep_one(docs), decontaminate.clean(docs, bench), quality.keep_good(docs, labels)):
+        assert stage.columns == docs.columns and not values(stage, CLASHING) - values(docs, CLASHING)
+    for name, stage in corpus_pipeline.STAGES:
+        if name in ("mixed", "sharded"):
+            assert stage(spark, docs, SMALL).count() == docs.count()
+
+
+def test_operators_ignore_columns_of_any_name(spark):
+    from forecourt.llm import periods, pieces
+    import public_tokenizers
+
+    docs, model = clashing(spark), public_tokenizers.path("piece_bpe_32k.model")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(9)], "doc_id long, quality int, toxic int")
+    assert toxicity.score(docs, labels).count() == quality.judge(docs, labels).count() == docs.count()
+    assert dedup.groups(docs).count() == pii.scan(docs).count() == secrets.scan(docs).count() == docs.count()
+    for rows, made in ((periods.collapse(docs), {"runs", "collapsed", "n_words"}), (pieces.encode(docs, model), {"ids", "n_tokens", "agrees"})):
+        others = [c for c in CLASHING if c not in made]
+        assert values(rows, others) == values(docs, others)
