@@ -11,6 +11,7 @@ Arrow batches.
 
 import heapq
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ from forecourt.llm.common import fresh
 MARK, UNKNOWN = "▁", " ⁇ "
 #: Parts of texts that a task remembers.
 REMEMBERED = 1 << 19
+#: Longest part whose agenda is a row beside others, and so many rows at once; longer parts have a heap.
+SHORT, TOGETHER, NEVER = 48, 20_000, 1 << 62
 
 
 class Vocabulary:
@@ -54,6 +57,25 @@ class Vocabulary:
         self.bytes = {i: bytes([b]) for b, i in self.byte.items()}
         self.shown = [self._shown(i) for i in ids]
         self.known: dict[str, bytes] = {}
+        self.size = len(self.pieces)
+        costs = Counter(self.cost[p] for p in self.ids if len(p) > 1)
+        #: Longer pieces of equal score: between them the place decides. Those that hold another one are left out.
+        tied = [p for p in self.ids if len(p) > 1 and costs[self.cost[p]] > 1]
+        self.tied = [p for p in tied if not any(t != p and t in p for t in tied)]
+        rank = {c: k for k, c in enumerate(sorted(costs))}
+        joins = {
+            self.ids[p[:k]] << 21 | self.ids[p[k:]]: rank[self.cost[p]] << 21 | i
+            for p, i in self.ids.items()
+            for k in range(1, len(p))
+            if p[:k] in self.ids and p[k:] in self.ids
+        }
+        #: Two pieces that make a longer one, in order, and rank and id of that.
+        self.pairs = np.array(sorted(joins), np.int64)
+        self.joined = np.array([joins[k] for k in self.pairs.tolist()], np.int64)
+        self.symbol = np.arange(0x110000, dtype=np.int64) + self.size
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
 
     def _shown(self, i: int) -> bytes:
         if i in self.control:
@@ -62,8 +84,70 @@ class Vocabulary:
             return self.bytes[i]
         return UNKNOWN.encode() if self.library.is_unknown(i) else self.pieces[i].replace(MARK, " ").encode()
 
-    def merged(self, text: str) -> list[str]:
-        """The symbols of a text after all joins of the agenda."""
+    def _joins(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and id of the joins of symbols, ``NEVER`` where they make no piece."""
+        key = left.astype(np.int64) << 21 | right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.joined[at], NEVER)
+
+    def _merged_together(self, parts: list[str]) -> list[bytes]:
+        """Ids of short parts. Each part is a row with an agenda of its own; all rows take their best join at once."""
+        length = np.array([len(p) for p in parts])
+        rows, width = np.arange(len(parts)), int(length.max())
+        there = np.arange(width) < length[:, None]
+        symbol = np.full((len(parts), width), -1, np.int64)
+        symbol[there] = self.symbol[np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)]
+        agenda = np.full((len(parts), width), NEVER)
+        agenda[:, :-1] = np.where(there[:, 1:], self._joins(symbol[:, :-1], symbol[:, 1:]), NEVER)
+        after = np.tile(np.arange(1, width + 1), (len(parts), 1))
+        before = after - 2
+        while True:
+            k = agenda[rows].argmin(1)
+            best = agenda[rows, k]
+            on = best < NEVER
+            rows, k, best = rows[on], k[on], best[on]
+            if not len(rows):
+                break
+            new, right = best & 0x1FFFFF, after[rows, k]
+            follower = after[rows, right]
+            symbol[rows, k], symbol[rows, right] = new, -1
+            agenda[rows, k], agenda[rows, right] = NEVER, NEVER
+            after[rows, k] = follower
+            more = follower < length[rows]
+            r, at, f = rows[more], k[more], follower[more]
+            before[r, f] = at
+            agenda[r, at] = self._joins(new[more], symbol[r, f])
+            less = before[rows, k]
+            has = less >= 0
+            r, at = rows[has], less[has]
+            agenda[r, at] = self._joins(symbol[r, at], new[has])
+        left = symbol >= 0
+        flat = symbol[left].astype("<u4").tobytes()
+        ends = np.cumsum(left.sum(1) * 4).tolist()
+        odd = (symbol >= self.size).any(1).tolist()
+        return [self._in_bytes(symbol[k][left[k]].tolist()) if odd[k] else flat[a:b] for k, (a, b) in enumerate(zip([0, *ends], ends))]
+
+    def _in_bytes(self, symbols: list[int]) -> bytes:
+        """Ids of symbols, where ``size`` and more is a character that is no piece."""
+        out = [i for k in symbols for i in ([k] if k < self.size else [self.byte[b] for b in chr(k - self.size).encode()])]
+        return np.array(out, "<u4").tobytes()
+
+    def merged(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of texts, as little-endian unsigned 32-bit numbers, after all joins of their agendas."""
+        out: list[bytes] = [b""] * len(parts)
+        short = [k for k, p in enumerate(parts) if len(p) <= SHORT and not any(t in p for t in self.tied)]
+        short.sort(key=lambda k: len(parts[k]))
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
+            for k, ids in zip(some, self._merged_together([parts[k] for k in some])):
+                out[k] = ids
+        for k, p in enumerate(parts):
+            if not out[k]:
+                out[k] = self._in_bytes([self.ids[x] if x in self.ids else self.size + ord(x) for x in self._merged_long(p)])
+        return out
+
+    def _merged_long(self, text: str) -> list[str]:
+        """With a heap as agenda, so that the work is n log n."""
         cost, part, n = self.cost, list(text), len(text)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[float, int, int, int]] = []
@@ -90,24 +174,39 @@ class Vocabulary:
                 offer(before[left], left)
         return [p for p in part if p]
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a normalised text as little-endian unsigned 32-bit numbers, without begin and end."""
-        known, out = self.known, []
-        numbers = self.number[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
-        cuts = (np.flatnonzero(~self.beside[numbers[:-1], numbers[1:]]) + 1).tolist()
-        for start, end in zip([0, *cuts], [*cuts, len(text)]):
-            cut = text[start:end]
-            ids = known.get(cut)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                numbers = []
-                for p in self.merged(cut):
-                    i = self.ids.get(p)
-                    numbers += [i] if i is not None else [self.byte[b] for b in p.encode()]
-                ids = known[cut] = np.array(numbers, "<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of normalised texts as little-endian unsigned 32-bit numbers, with begin and end.
+
+        The parts of all texts are found together, and each different one is merged once.
+        """
+        whole = "".join(texts)
+        codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        numbers = self.number[codes]
+        first = np.ones(len(codes), bool)
+        first[1:] = ~self.beside[numbers[:-1], numbers[1:]]
+        bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+        first[bounds[:-1][bounds[:-1] < len(codes)]] = True
+        start = np.flatnonzero(first)
+        width = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
+        place = np.concatenate(([0], np.cumsum(width)))
+        end = np.append(start[1:], len(codes))[: len(start)]
+        data = np.frombuffer(whole.encode(), np.uint8)
+        _, one, inverse = np.unique(textnum.word_hashes(data, place[start], place[end], lower=False), return_index=True, return_inverse=True)
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        parts = [whole[a:b] for a, b in zip(start[one].tolist(), end[one].tolist())]
+        new = [p for p in parts if p not in self.known]
+        self.known.update(zip(new, self.merged(new)))
+        found = [self.known[p] for p in parts]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.array([len(x) for x in found], np.int64) // 4
+        offsets = np.cumsum(sizes) - sizes
+        n = sizes[inverse]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        ids = flat[np.repeat(offsets[inverse] - upto[:-1], n) + np.arange(upto[-1])]
+        cuts = upto[np.searchsorted(start, bounds)].tolist()
+        begin, finish = (np.array([i], "<u4").tobytes() for i in (self.begin, self.end))
+        return [begin + ids[a:b].tobytes() + finish for a, b in zip(cuts, cuts[1:])]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: marks as spaces, the one of the dummy prefix dropped, control ids silent, wrong bytes as U+FFFD."""
@@ -199,8 +298,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", check: bool = True) -
         for batch in batches:
             for part in _slices(batch, own):
                 texts = [t or "" for t in part.column(own).to_pylist()]
-                ends = [np.array([i], "<u4").tobytes() for i in (words.begin, words.end)]
-                ids = [words.encode(t).join(ends) for t in words.library.normalize(texts)]
+                ids = words.encode(words.library.normalize(texts))
                 added = {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
                 if check:
                     told = words.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)

@@ -155,7 +155,8 @@ def test_merges_follow_the_agenda():
             if best is None:
                 break
             part[best[1] : best[1] + 2] = [part[best[1]] + part[best[1] + 1]]
-        assert words.merged(text) == part
+        got = [words.pieces[i] for i in np.frombuffer(words.merged([text])[0], "<u4").tolist()]
+        assert words._merged_long(text) == part and got == part
 
 
 # Turn repair
