@@ -1,7 +1,8 @@
 """Personal data by fixed patterns and bootstrapped contextual extraction, in DataFrame expressions only.
 
 Fixed matches are the seeds. A candidate is a run of words that hold a digit or ``@``; its left and right
-neighbour words are its lexical patterns. Patterns and candidates form a graph that is scored in rounds:
+neighbour words are its lexical patterns. Patterns and candidates form a graph that is scored in rounds, until no
+pattern or instance is new and the scores have stopped to rise:
 
     confidence(pattern) = sum of the scores of its candidates' occurrences / all occurrences of its word
     score(candidate)    = 1 - product over its confident patterns of (1 - confidence)
@@ -35,7 +36,9 @@ _IN, _PLAIN = r"[^\x20\x09-\x0D]", r"[^\x20\x09-\x0D0-9@]"
 _WORD = rf"(?<!{_IN}){_PLAIN}*+[0-9@]{_IN}*+"
 RUN = rf"{_WORD}(?: {_WORD})*+"
 
-SUPPORT, CONFIDENT, ACCEPT, ROUNDS = 3, 0.5, 0.8, 3
+SUPPORT, CONFIDENT, ACCEPT = 3, 0.5, 0.8
+#: Rise of all scores together below which a round has changed nothing.
+STILL = 1e-3
 _STEP = 256
 
 
@@ -102,10 +105,10 @@ def matches(text: Column, pattern: str, needs: str, *more) -> Column:
 def _neighbour(piece: Column, last: bool) -> Column:
     """The last or first word of a piece of text, letters only, small; ``^`` or ``$`` at the end of the text.
 
-    Only the nearest 64 characters are looked at: a context has a bounded width.
+    The whole piece is looked at, however wide the gap to the word.
     """
-    near = F.right(piece, F.lit(64)) if last else F.left(piece, F.lit(64))
-    word = F.regexp_extract(near, rf"({_IN}++)[\x20\x09-\x0D]*+\z" if last else rf"({_IN}++)", 1)
+    spaced = F.translate(piece, "\t\n\x0b\x0c\r", "     ")
+    word = F.substring_index(F.rtrim(spaced), " ", -1) if last else F.substring_index(F.ltrim(spaced), " ", 1)
     return _bare(word)
 
 
@@ -168,8 +171,9 @@ def _learned(docs: DataFrame, found: DataFrame) -> DataFrame:
     totals = scratch.materialise(totals.join(edges.select("word").distinct(), "word", "left_semi"), "totals")
     # ``given`` tells seeds from instances whose score is rounded to 1.
     seeds = edges.where("seed").select("instance").distinct().select("instance", F.lit(1.0).alias("score"), F.lit(True).alias("given"))
-    scores = seeds
-    for _ in range(ROUNDS):
+    seeds = scratch.materialise(seeds, "seeds")
+    scores, before = seeds, None
+    while True:
         weighted = edges.join(scores, "instance").groupBy("side", "word").agg(
             F.sum(F.col("score") * F.col("n")).alias("mass"), F.sum("score").alias("support")
         )
@@ -178,7 +182,14 @@ def _learned(docs: DataFrame, found: DataFrame) -> DataFrame:
         sure = scratch.materialise(sure.select("side", "word", F.least("confidence", F.lit(0.99)).alias("confidence")), "patterns")
         new = edges.where("open AND NOT seed").join(sure, ["side", "word"]).groupBy("instance")
         new = new.agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"), F.lit(False).alias("given"))
-        scores = scratch.materialise(seeds.unionByName(new.join(seeds, "instance", "left_anti")), "scores")
+        new = scratch.materialise(new.join(seeds, "instance", "left_anti").select(*seeds.columns), "scores")
+        # Scores never fall from round to round, so the sets only grow and the sum has a limit.
+        sums = new.agg(F.count(F.lit(1)), F.coalesce(F.sum("score"), F.lit(0.0)), F.count_if(F.col("score") >= ACCEPT)).first()
+        now = (sure.count(), sums[0], sums[2]), sums[1]
+        scores = seeds.unionByName(new)
+        if before is not None and now[0] == before[0] and now[1] - before[1] < STILL:
+            break
+        before = now
     return scores.where((F.col("score") >= ACCEPT) & ~F.col("given")).select("instance")
 
 

@@ -420,6 +420,20 @@ def test_pii_patterns_follow_from_discovered_instances(spark):
     assert got == {40, 41, 42, 43, 44}
 
 
+def test_pii_follows_long_chains_and_wide_gaps(spark):
+    words = ["alef", "beth", "gimel", "daleth", "he", "waw", "zayin", "heth"]
+    texts = [f"see {words[0]} +49 (030) 555-{i:04d} and so on" for i in range(200)]
+    first = len(texts)
+    for k in range(7):  # every group of numbers is known by one word and makes the next one known
+        for i in range(4 * 2 ** (6 - k) // 2 + 3):
+            left, right = (words[k], words[k + 1]) if k % 2 == 0 else (words[k + 1], words[k])
+            texts.append(f"see {left} 0{k}0-777{i:04d} {right} end{k}{i}".replace(f"end{k}{i}", "end"))
+    last = len(texts)
+    texts += [f"see {words[0]}{' ' * 70}099-1234567 and", f"see {words[0]}\n\t 098-1234567 and", "the 99887766 dog"]
+    got = {r.doc_id for r in pii.scan(frame(spark, texts)).where("n_learned > 0").collect()}
+    assert got == {*range(first, last), last, last + 1}
+
+
 def test_pii_keeps_an_instance_beside_many_confident_words(spark):
     words = ["alef", "beth", "gimel", "daleth", "he", "waw", "zayin", "heth", "teth", "yodh"]
     texts = [f"{w}: +49 (030) 555-{i}{k}77 and more" for k, w in enumerate(words) for i in range(10, 14)]
