@@ -10,7 +10,6 @@ Arrow batches.
 """
 
 import heapq
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,7 +26,11 @@ from forecourt.llm.common import fresh
 #: The character that stands for a space in pieces, and what an unknown id is shown as.
 MARK, UNKNOWN = "▁", " ⁇ "
 #: Parts of texts that a task remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
+#: Bytes of text that are encoded together.
+SLICE = 1 << 19
+#: Rows that are decoded together.
+ROWS = 1000
 #: Longest part whose agenda is a row beside others, and so many rows at once; longer parts have a heap.
 SHORT, TOGETHER, NEVER = 48, 20_000, 1 << 62
 
@@ -72,7 +75,7 @@ class Vocabulary:
         #: Two pieces that make a longer one, in order, and rank and id of that.
         self.pairs = np.array(sorted(joins), np.int64)
         self.joined = np.array([joins[k] for k in self.pairs.tolist()], np.int64)
-        self.symbol = np.arange(0x110000, dtype=np.int64) + self.size
+        self.symbol = np.arange(0x110000, dtype=np.int32) + self.size
         for p, i in self.ids.items():
             if len(p) == 1:
                 self.symbol[ord(p)] = i
@@ -275,39 +278,58 @@ def _slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     _, bounds = textnum.texts(batch.column(text))
     at = 0
     while at < batch.num_rows:
-        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + textnum.PIECE, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + SLICE, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", check: bool = True) -> DataFrame:
+def _encoded(words: Vocabulary, texts: list[str], check: bool) -> tuple[dict[str, pa.Array], list[bytes]]:
+    ids = words.encode(words.library.normalize(texts))
+    added = {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
+    if check:
+        told = words.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)
+        added["agrees"] = pa.array([np.array(a, "<u4").tobytes() == b for a, b in zip(told, ids)], pa.bool_())
+    return added, ids
+
+
+def _decoded(words: Vocabulary, ids: list[bytes | None], check: bool) -> dict[str, pa.Array]:
+    numbers = [np.frombuffer(i or b"", "<u4").tolist() for i in ids]
+    texts = [words.decode(n) for n in numbers]
+    added = {"decoded": pa.array(texts, pa.string())}
+    if check:
+        told = words.library.decode(numbers, num_threads=1) if numbers else []
+        added["decodes"] = pa.array([a == b for a, b in zip(told, texts)], pa.bool_())
+    return added
+
+
+_FIELDS = {"n_tokens": T.LongType(), "ids": T.BinaryType(), "agrees": T.BooleanType(), "decoded": T.StringType(), "decodes": T.BooleanType()}
+
+
+def _schema(kept: DataFrame, new: list[str]) -> T.StructType:
+    return T.StructType([*kept.schema.fields, *[T.StructField(c, _FIELDS[c]) for c in new]])
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", check: bool = True, back: bool = False, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``ids`` (binary, little-endian unsigned 32-bit numbers, begin and end ids included) and ``n_tokens``.
 
     ``path`` names a merge-type model with byte fallback. With ``check`` a column ``agrees`` says whether the library
-    gives the same ids. A null text is empty: begin and end. Columns of ``docs`` with these names are replaced; all
-    others stay as they are. Repeated rows are encoded alike; an empty table stays empty.
+    gives the same ids. With ``back`` the ids are decoded in the same pass, as by ``decode``. ``keep`` names the columns of
+    ``docs`` that stay (all of them). A null text is empty: begin and end. Columns of ``docs`` with the new names are
+    replaced; all others stay as they are. Repeated rows are encoded alike; an empty table stays empty.
     """
     model = _model(docs.sparkSession, path)
-    new = ["n_tokens", "ids", *["agrees"][: int(check)]]
-    kept = [c for c in docs.columns if c not in new]
+    new = ["n_tokens", "ids", *["agrees"][: int(check)]] + (["decoded", *["decodes"][: int(check)]] if back else [])
     own = fresh(docs, "_text")
-    rows = docs.select(*kept, F.col(text).cast("string").alias(own))
+    rows = docs.select(*[c for c in keep or docs.columns if c not in new], F.col(text).cast("string").alias(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _vocabulary(model.value)
         for batch in batches:
             for part in _slices(batch, own):
-                texts = [t or "" for t in part.column(own).to_pylist()]
-                ids = words.encode(words.library.normalize(texts))
-                added = {"n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()), "ids": pa.array(ids, pa.binary())}
-                if check:
-                    told = words.library.encode(texts, add_bos=True, add_eos=True, num_threads=1)
-                    same = [np.array(a, "<u4").tobytes() == b for a, b in zip(told, ids)]
-                    added["agrees"] = pa.array(same, pa.bool_())
-                yield _with(part.drop_columns([own]), added)
+                added, ids = _encoded(words, [t or "" for t in part.column(own).to_pylist()], check)
+                yield _with(part.drop_columns([own]), added | (_decoded(words, ids, check) if back else {}))
 
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("agrees", T.BooleanType())]
-    return rows.mapInArrow(run, T.StructType([*rows.drop(own).schema.fields, *fields[: len(new)]]))
+    return rows.mapInArrow(run, _schema(rows.drop(own), new))
 
 
 def decode(rows: DataFrame, path: str, check: bool = True) -> DataFrame:
@@ -323,17 +345,8 @@ def decode(rows: DataFrame, path: str, check: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _vocabulary(model.value)
         for batch in batches:
-            at, step = 0, 1000
-            while at < batch.num_rows:
-                part = batch.slice(at, step)
-                numbers = [array("I", i or b"").tolist() for i in part.column("ids").to_pylist()]
-                texts = [words.decode(n) for n in numbers]
-                added = {"decoded": pa.array(texts, pa.string())}
-                if check:
-                    told = words.library.decode(numbers, num_threads=1) if numbers else []
-                    added["decodes"] = pa.array([a == b for a, b in zip(told, texts)], pa.bool_())
-                yield _with(part, added)
-                at += step
-
-    fields = [T.StructField("decoded", T.StringType()), T.StructField("decodes", T.BooleanType())]
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *fields[: len(new)]]))
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                yield _with(part, _decoded(words, part.column("ids").to_pylist(), check))
+
+    return rows.mapInArrow(run, _schema(rows, new))

@@ -151,7 +151,7 @@ def op12_sentence_pieces(spark, folder):
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    rows = pieces.decode(pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), path), path)
+    rows = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"), path, back=True, keep=["doc_id"])
     hashes = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("ids", "decoded")]
     return rows.select("doc_id", "n_tokens", *hashes, "agrees", "decodes")
 

@@ -131,6 +131,10 @@ def test_pieces_agree_with_the_library(spark):
         assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_tokens == len(want) and r.decoded == lib.decode(want)
     plain = pieces.decode(pieces.encode(docs.limit(3), MODEL, check=False), MODEL, check=False)
     assert plain.columns == ["doc_id", "text", "n_tokens", "ids", "decoded"] and plain.count() == 3
+    both = pieces.encode(docs, MODEL, back=True, keep=["doc_id"])
+    assert both.columns == ["doc_id", "n_tokens", "ids", "agrees", "decoded", "decodes"]
+    key = lambda r: (r.doc_id, r.ids, r.decoded)
+    assert sorted(map(key, both.collect())) == sorted(map(key, rows))
     assert pieces.encode(docs.limit(0), MODEL).count() == 0
     nothing = spark.createDataFrame([(1, None)], "doc_id long, ids binary")
     assert pieces.decode(nothing, MODEL).first().decoded == ""
