@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from forecourt import roles
 from forecourt.functions.expressions import col, ratio
+from forecourt.operators.firsts import first_known
 
 
 def merge_metadata(facts: DataFrame, dim: DataFrame, key: str = "station_id") -> DataFrame:
@@ -42,11 +43,9 @@ def decode(df: DataFrame, column: str, dictionary: DataFrame, out: str | None =
 
 def holiday_calendar(df: DataFrame) -> DataFrame:
     """Holiday flag and name of each (month, day), as first seen; at most 366 rows."""
-    return (
-        df.where(F.col("is_holiday") == 1)
-        .groupBy(F.month("timestamp").alias("month"), F.dayofmonth("timestamp").alias("day"))
-        .agg(F.min_by("holiday_name", F.struct("timestamp", "station_id")).alias("holiday_name"))
-    )
+    days = {"_month": F.month("timestamp"), "_day": F.dayofmonth("timestamp")}
+    named = first_known(df.where(F.col("is_holiday") == 1).withColumns(days), list(days), ["holiday_name"])
+    return named.select(F.col("_month").alias("month"), F.col("_day").alias("day"), "holiday_name")
 
 
 def with_holiday(df: DataFrame, calendar: DataFrame, none: str = roles.NO_HOLIDAY) -> DataFrame:
@@ -67,9 +66,8 @@ def with_holiday(df: DataFrame, calendar: DataFrame, none: str = roles.NO_HOLIDA
 
 def first_by_month(df: DataFrame, column: str) -> DataFrame:
     """First value of a column in each month; at most 12 rows."""
-    order = F.struct("timestamp", "station_id")
-    value = F.min_by(F.col(column), F.when(F.col(column).isNotNull(), order))
-    return df.groupBy(F.month("timestamp").alias("month")).agg(value.alias(column))
+    named = first_known(df.withColumn("_month", F.month("timestamp")), ["_month"], [column])
+    return named.select(F.col("_month").alias("month"), column)
 
 
 def with_season_code(df: DataFrame, by_month: DataFrame, column: str = "season") -> DataFrame:
@@ -133,15 +131,9 @@ def with_preset(
 
 def station_labels(df: DataFrame) -> DataFrame:
     """Station id, name, road type and display text."""
-    order = F.struct("timestamp", "station_id")
-    return (
-        df.groupBy("station_name")
-        .agg(
-            F.min_by("station_id", order).alias("station_id"),
-            F.min_by("road_type", F.when(F.col("road_type").isNotNull(), order)).alias("road_type"),
-        )
-        .withColumn("label", F.concat_ws("  ·  ", "station_name", "road_type"))
-    )
+    named = first_known(df.withColumn("_id", F.col("station_id")), ["station_name"], ["_id", "road_type"])
+    out = named.select("station_name", F.col("_id").alias("station_id"), "road_type")
+    return out.withColumn("label", F.concat_ws("  ·  ", "station_name", "road_type"))
 
 
 def expand_horizon(origins: DataFrame, horizon: int = roles.HORIZON_HOURS) -> DataFrame:

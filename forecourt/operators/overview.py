@@ -12,6 +12,7 @@ from forecourt import roles
 from forecourt.functions import labels
 from forecourt.functions.expressions import arg_max
 from forecourt.operators.features import present, to_long
+from forecourt.operators.firsts import first_known
 
 STATION = "station_name"
 
@@ -194,8 +195,14 @@ def _first(c):
 
 def station_profile(hub: DataFrame) -> DataFrame:
     """Mean sales and the first known value of each passport attribute."""
-    attributes = [_first(c) for c in present(hub, roles.PROFILE_ATTRIBUTES)]
-    return hub.groupBy(STATION).agg(F.avg("total_sales").alias("avg_sales"), *attributes)
+    attributes = present(hub, roles.PROFILE_ATTRIBUTES)
+    texts = [f.name for f in hub.schema if f.name in attributes and isinstance(f.dataType, T.StringType)]
+    numbers = [_first(c) for c in attributes if c not in texts]
+    out = hub.groupBy(STATION).agg(F.avg("total_sales").alias("avg_sales"), *numbers)
+    if texts:
+        tie = "station_id" if "station_id" in hub.columns else None
+        out = out.join(first_known(hub, [STATION], texts, tie=tie), STATION)
+    return out.select(STATION, "avg_sales", *attributes)
 
 
 def station_competitors(profile: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ windows run on fixed runs of hours that overlap by the length of the window.
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forecourt import roles
 from forecourt.functions.expressions import hours, moment
@@ -196,10 +197,15 @@ def split_report(df: DataFrame) -> DataFrame:
 
 
 def shortest_horizon(pred: DataFrame, keys: tuple = (KEY, TS)) -> DataFrame:
-    """The forecast made closest to each hour; partial results merge before the shuffle."""
-    rest = [c for c in pred.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), "horizon_h").alias("_best")
-    return pred.groupBy(*keys).agg(best).select(*keys, "_best.*")
+    """The forecast made closest to each hour; partial results merge before the shuffle. One forecast per hour and horizon."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    rest = [f for f in pred.schema if f.name not in keys and f.name != "horizon_h"]
+    least = F.min("horizon_h").alias("horizon_h")
+    if all(isinstance(f.dataType, fixed) for f in rest):
+        # Values of fixed width stay in the buffers of a hash aggregate.
+        best = [F.min_by(f.name, "horizon_h").alias(f.name) for f in rest]
+        return pred.groupBy(*keys).agg(least, *best).select(pred.columns)
+    return pred.join(pred.groupBy(*keys).agg(least), [*keys, "horizon_h"]).select(pred.columns)
 
 
 def tail_per_station(df: DataFrame, n: int = roles.ENCODER_HOURS, before: str | None = None) -> DataFrame:
@@ -214,9 +220,7 @@ def last_row(df: DataFrame, before: str | None = None) -> DataFrame:
     """Last row of each station before a time."""
     if before is not None:
         df = df.where(F.col(TS) < moment(before))
-    rest = [c for c in df.columns if c != KEY]
-    newest = F.max_by(F.struct(*rest), TS).alias("_row")
-    return df.groupBy(KEY).agg(newest).select(KEY, "_row.*")
+    return df.join(df.groupBy(KEY).agg(F.max(TS).alias(TS)), [KEY, TS], "left_semi")
 
 
 def lagged(df: DataFrame, cols: list[str], lags: tuple = (24, 168)) -> DataFrame:

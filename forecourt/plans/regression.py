@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import roles
-from forecourt.functions.expressions import moment
+from forecourt.functions.expressions import hours_between, moment
 from forecourt.operators.features import add_cyclical, present, unlog
 from forecourt.operators.series import IDX, KEY, lagged
 from forecourt.plans.forecast import LAGS, NAMES, regression_features
@@ -176,7 +176,7 @@ def history_arrays(history: DataFrame, start: str, stations: DataFrame, targets:
     logs = [F.log1p(F.col(t).cast("double")).alias(t) for t in names]
     known = history.where(F.col("timestamp") < first).select(KEY, "timestamp", *logs)
     overall = [F.coalesce(known.agg(F.avg(t)).scalar(), F.lit(0.0)) for t in names]
-    ahead = F.timestamp_diff("HOUR", F.col("timestamp"), first)
+    ahead = hours_between("timestamp", first)
     recent = known.where(ahead <= HISTORY).select(KEY, (F.lit(HISTORY) - ahead).cast("int").alias("_at"), F.array(*names).alias("_y"))
     recent = recent.groupBy(KEY).agg(F.map_from_entries(F.collect_list(F.struct("_at", "_y"))).alias("_recent"))
     by_hour = known.groupBy(KEY, F.hour("timestamp").alias("_hour")).agg(

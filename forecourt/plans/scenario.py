@@ -39,11 +39,9 @@ def future_frame(df: DataFrame, start: str, n_hours: int = roles.HORIZON_HOURS)
     if seasonal:
         past = past.withColumn("_season", F.col("season"))
         rest = [*rest, "_season"]
-    template = (
-        past.groupBy(KEY, F.hour("timestamp").alias("hour"))
-        .agg(F.max_by(F.struct(*rest), "timestamp").alias("_row"))
-        .select(KEY, "hour", "_row.*")
-    )
+    own_hour = F.hour("timestamp").alias("hour")
+    latest = past.groupBy(KEY, own_hour).agg(F.max("timestamp").alias("timestamp"))
+    template = past.select(KEY, "timestamp", own_hour, *rest).join(latest, [KEY, "timestamp", "hour"], "left_semi").drop("timestamp")
     last = past.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
     first = moment(start)
     steps = F.sequence(first, first + hours(n_hours - 1), hours(1))
