@@ -216,3 +216,35 @@ def test_labels_follow_sorted_order_and_unknown_is_null(spark):
     assert {r.value: r.code for r in d.collect()} == {"a": 0, "b": 1, "c": 2}
     new = spark.createDataFrame([("z",)], "c string")
     assert one(encoding.apply_labels(new, d, ["c"])).c_enc is None
+
+
+def test_labels_of_long_and_short_columns(spark):
+    from forecourt.operators import encoding
+    from forecourt.sources import scratch
+
+    rows = [(i, f"v{i * 7919 % 300:03d}", "abc"[i % 3] if i % 5 else None) for i in range(900)]
+    df = spark.createDataFrame(rows, "i long, wide string, short string").repartition(4)
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    dictionary = scratch.materialise(encoding.fit_labels(df, ["wide", "short", "absent"]), "dictionary")
+    spark.conf.unset(merge)
+    got = {(r.column, r.value): r.code for r in dictionary.collect()}
+    assert got == {("wide", f"v{k:03d}"): k for k in range(300)} | {("short", c): k for k, c in enumerate("abc")}
+    coded = encoding.apply_labels(df, dictionary.where("value != 'v007' AND value != 'b'"), ["wide", "short"])
+    assert coded.columns == ["i", "wide", "short", "short_enc", "wide_enc"]
+    for r in coded.collect():
+        assert r.wide_enc == (None if r.wide == "v007" else int(r.wide[1:]))
+        assert r.short_enc == {"a": 0, "c": 2}.get(r.short)
+
+
+def test_first_known_values(spark):
+    import datetime as dt
+
+    from forecourt.operators.firsts import first_known
+
+    t = dt.datetime(1969, 12, 31, 23, 59, 59, 250000)
+    rows = [("k", t, 2, None, 5), ("k", t, 1, None, None), ("k", t + dt.timedelta(microseconds=1), 9, "late", 6),
+            ("k", t + dt.timedelta(days=40), 0, "later", 7), ("m", t, 3, None, None)]
+    df = spark.createDataFrame(rows, "key string, timestamp timestamp_ntz, station_id long, name string, n int")
+    got = {r.key: (r.name, r.n) for r in first_known(df, ["key"], ["name", "n"]).collect()}
+    assert got == {"k": ("late", 5), "m": (None, None)}
