@@ -104,7 +104,7 @@ def exact_quantiles(
         for i in range(len(probs))
     ]
     state = brackets.join(measured, keys).select(*keys, "n", "low", "high", F.inline(F.array(*entries)))
-    state = scratch.materialise(state, "ranks")
+    state = scratch.materialise(state, "brackets")
     before, behind = F.col("rank") < F.col("below"), F.col("rank") >= F.col("below") + F.col("inside")
     large = (F.col("inside") > small) & (F.col("lo") < F.col("hi"))
     while True:
@@ -119,7 +119,7 @@ def exact_quantiles(
             }
         )
         done = state.where(~(before | behind | large))
-        state = scratch.materialise(done.unionByName(_narrowed(moved, long, keys)), "ranks")
+        state = scratch.materialise(done.unionByName(_narrowed(moved, long, keys)), "brackets")
     return _picked(state, long, keys)
 
 
