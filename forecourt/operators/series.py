@@ -146,12 +146,18 @@ def encoder_stats(df: DataFrame, cols: list[str], encoder: int = roles.ENCODER_H
 
 
 def encoder_rows(df: DataFrame, origins: DataFrame, encoder: int = roles.ENCODER_HOURS) -> DataFrame:
-    """History rows of each origin: an equi-join on the hour, not a range join."""
-    wanted = origins.select(KEY, F.col(IDX).alias("origin_idx")).withColumn(
-        "lag_h", F.explode(F.sequence(F.lit(1), F.lit(encoder)))
-    )
-    wanted = wanted.withColumn(IDX, F.col("origin_idx") - F.col("lag_h"))
-    return wanted.where(F.col(IDX) >= 0).join(df, [KEY, IDX])
+    """History rows of each origin: an equi-join on blocks of ``encoder`` hours, where a row also stands in the block after its own.
+
+    So each side is shuffled once or twice instead of once per lag. Spark takes exploded rows for as small as those
+    before, hence the hint: neither side may be sent whole through the driver.
+    """
+    block = F.floor(F.col(IDX) / encoder)
+    wanted = origins.select(KEY, F.col(IDX).alias("origin_idx"), block.alias("_block"))
+    near = df.where(F.col(IDX) >= 0).withColumn("_block", F.explode(F.array(block, block + 1)))
+    lag = F.col("origin_idx") - F.col(IDX)
+    rows = wanted.join(near.hint("merge"), [KEY, "_block"]).where(lag.between(1, encoder))
+    rest = [c for c in df.columns if c not in (KEY, IDX)]
+    return rows.select(KEY, IDX, "origin_idx", lag.cast("int").alias("lag_h"), *rest)
 
 
 def encoder_arrays(df: DataFrame, cols: list[str], encoder: int = roles.ENCODER_HOURS) -> DataFrame:

@@ -85,6 +85,28 @@ def test_encoder_arrays_are_ordered(df):
     assert [h.time_idx for h in row.history] == list(range(522, 690))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_encoder_rows_are_never_broadcast(spark):
+    """Exploded hours count as the few rows before: joins with them must not go through the driver."""
+    stations = spark.range(1, 4).selectExpr("CASE WHEN id < 3 THEN id END AS station_id", "element_at(array(400L, 90L, 5L), CAST(id AS INT)) AS n")
+    hours = stations.select("station_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("time_idx"))
+    twice = hours.union(hours.where("station_id = 1 AND time_idx IN (7, 335, 336)"))
+    facts = twice.withColumn("y", F.col("time_idx") * 10)
+    origins = hours.where("time_idx >= 84")
+    rows = series.encoder_rows(facts, origins)
+    got = sorted(map(tuple, rows.select("station_id", "origin_idx", "lag_h", "time_idx", "y").collect()))
+    assert "Broadcast" not in plan_of(rows)
+    copies = {(1, i): 2 for i in (7, 335, 336)}
+    want = [
+        (s, o, o - i, i, i * 10)
+        for s, n in ((1, 400), (2, 90)) for o in range(84, n) for i in range(max(0, o - 168), o) for _ in range(copies.get((s, i), 1))
+    ]
+    assert got == sorted(want)
+
+
 def test_lag_profile_equals_pandas(df, wave):
     got = interpret.lag_profile(series.with_time_idx(df), "y", 48).toPandas()
     pdf = pd.DataFrame(wave, columns=["station_id", "timestamp", "y"])
