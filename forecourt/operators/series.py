@@ -230,12 +230,14 @@ def last_row(df: DataFrame, before: str | None = None) -> DataFrame:
 
 
 def lagged(df: DataFrame, cols: list[str], lags: tuple = (24, 168)) -> DataFrame:
-    """Columns of earlier hours, joined on (station, time_idx)."""
+    """Columns of earlier hours, joined on (station, time_idx).
+
+    Both sides hold every hour. Spark may take them for as small as the spans they were exploded from, or as their
+    packed files; the hint keeps it from sending one whole through the driver.
+    """
     for lag in lags:
         past = df.select(
             KEY, (F.col(IDX) + lag).alias(IDX), *[F.col(c).alias(f"{c}_lag{lag}") for c in cols]
         )
-        df = df.join(past, [KEY, IDX], "left")
+        df = df.join(past.hint("merge"), [KEY, IDX], "left")
     return df
-
-

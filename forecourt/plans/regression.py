@@ -226,13 +226,14 @@ def _roll(features: int, names: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                steps = row["steps"]
-                x = np.array([r["x"] for r in steps], float).reshape(len(steps), features)
-                day = [r["day"] for r in steps]
-                q, missing = one(row["past"], row["usual"], row["weights"], row["spread"], x, steps[0]["hour"])
+            hours, rest = batch.column("steps"), batch.drop_columns(["steps"])
+            for i in range(batch.num_rows):
+                # The hours stay in Arrow: as Python objects they would take some ten times the memory.
+                row, steps = rest.slice(i, 1).to_pylist()[0], hours[i].values
+                x = steps.field("x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(steps), features)
+                q, missing = one(row["past"], row["usual"], row["weights"], row["spread"], x, steps.field("hour")[0].as_py())
                 n, t = missing.shape
-                stamps = pa.array([r["timestamp"] for r in steps], pa.timestamp("us"))
+                stamps, day = steps.field("timestamp").cast(pa.timestamp("us")), steps.field("day").cast(pa.int32())
                 each = pa.array(np.repeat(np.arange(n), t))
                 natural = np.expm1(np.maximum(q, 0.0)).reshape(n * t, 3)
                 yield pa.RecordBatch.from_arrays(
@@ -240,7 +241,7 @@ def _roll(features: int, names: list[str]):
                         pa.array([row["scenario_id"]] * (n * t), pa.int64()),
                         pa.array([row[KEY]] * (n * t), pa.int64()),
                         stamps.take(each),
-                        pa.array(day, pa.int32()).take(each),
+                        day.take(each),
                         pa.array(names * n, pa.string()),
                         *[pa.array(natural[:, k]) for k in range(3)],
                         pa.array(missing.ravel(), pa.int32()),
@@ -286,7 +287,8 @@ def rolling_forecast(
         F.array(*[F.col("m")[t]["w"] for t in names]).alias("weights"),
         F.array(*[F.col("m")[t]["s"] for t in names]).alias("spread"),
     )
-    rows = groups.join(history_arrays(history, start, stations, names), KEY).join(series, KEY)
+    # Spark takes a collected list for one entry, so without the hint it may send all groups through the driver.
+    rows = groups.join(history_arrays(history, start, stations, names).hint("merge"), KEY).join(series.hint("merge"), KEY)
     schema = f"scenario_id long, {KEY} long, timestamp timestamp_ntz, day int, target string, p10 double, p50 double, p90 double, lags_filled int"
     return rows.mapInArrow(_roll(len(fixed), names), schema)
 

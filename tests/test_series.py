@@ -2,9 +2,12 @@
 
 import datetime as dt
 import math
+import re
+import tracemalloc
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +110,16 @@ def test_encoder_rows_are_never_broadcast(spark):
     assert got == sorted(want)
 
 
+def test_lags_are_never_broadcast(spark):
+    stations = spark.range(1, 3).selectExpr("id AS station_id", "id * 20 AS n")
+    hours = stations.select("station_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("time_idx"))
+    rows = series.lagged(hours.withColumn("y", F.col("time_idx") * 10), ["y"], (3, 24))
+    got = sorted(map(tuple, rows.select("station_id", "time_idx", "y_lag3", "y_lag24").collect()))
+    assert "Broadcast" not in plan_of(rows)
+    late = lambda i, n: (i - n) * 10 if i >= n else None
+    assert got == [(s, i, late(i, 3), late(i, 24)) for s in (1, 2) for i in range(s * 20)]
+
+
 def test_lag_profile_equals_pandas(df, wave):
     got = interpret.lag_profile(series.with_time_idx(df), "y", 48).toPandas()
     pdf = pd.DataFrame(wave, columns=["station_id", "timestamp", "y"])
@@ -299,6 +312,46 @@ def test_rolling_forecast_feeds_medians_back(spark):
         regression.rolling_forecast(model, spread, past, long, drivers, start, targets)
 
 
+def test_forecast_groups_are_never_broadcast(spark):
+    past, rows, drivers, targets = series_fixture(spark)
+    model = regression.fit_series(rows, drivers)
+    spread = regression.residual_quantiles(rows, model, drivers)
+    start = "2023-01-23 00:00:00"
+    steps = F.sequence(F.lit(0), F.lit(47))
+    stamp = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("h"))
+    station = past.first().station_id
+    frame = spark.range(station, station + 1).selectExpr("id AS station_id", "explode(array(1L, 2L)) AS scenario_id").withColumn("h", F.explode(steps))
+    frame = frame.withColumns({"timestamp": stamp, "day": F.expr("CAST(h DIV 24 AS INT)"), "hour": F.col("h") % 24, "day_of_week": F.lit(0), "ad_active": F.lit(0), "total_traffic": F.col("h")})
+    out = regression.rolling_forecast(model, spread, past, frame, drivers, start, targets)
+    assert len(out.collect()) == 2 * 48 * len(targets)
+    inner = [line for line in plan_of(out).split("\n") if re.search("(SortMerge|BroadcastHash)Join .* Inner", line) and "_month" not in line]
+    assert inner and not [line for line in inner if "Broadcast" in line]  # those of the groups; _month: of the time index
+
+
+def test_forecast_hours_stay_in_arrow():
+    """A batch of many groups: only the group at hand may be Python objects."""
+    n, groups, k, names = 720, 40, 18, ["a", "b"]
+    first = dt.datetime(2023, 1, 23)
+    steps = [{"timestamp": first + dt.timedelta(hours=h), "day": h // 24, "hour": h % 24, "x": [float(h % 7)] * k} for h in range(n)]
+    kind = pa.list_(pa.struct([("timestamp", pa.timestamp("us")), ("day", pa.int32()), ("hour", pa.int32()), ("x", pa.list_(pa.float64()))]))
+    one = pa.array([steps], kind)
+    group = {
+        "past": [[1.0] * regression.HISTORY] * 2, "usual": [[1.0] * 24] * 2, "weights": [[0.5] + [0.01] * k + [0.1, 0.2]] * 2, "spread": [[-0.1, 0.0, 0.1]] * 2,
+    }
+    batch = pa.RecordBatch.from_pydict(
+        {"scenario_id": list(range(groups)), "station_id": [1] * groups, "steps": pa.concat_arrays([one] * groups), **{c: [v] * groups for c, v in group.items()}}
+    )
+    roll = regression._roll(k, names)
+    whole = next(roll(iter([batch])))
+    tracemalloc.start()
+    found = [(b.num_rows, b.column("scenario_id")[0].as_py(), b.column("p50")[-1].as_py()) for b in roll(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(n * 2, i, whole.column("p50")[-1].as_py()) for i in range(groups)]
+    assert whole.column("timestamp")[2].as_py() == first + dt.timedelta(hours=1) and whole.column("day")[-1].as_py() == 29
+    assert peak < 4e6, peak
+
+
 def test_station_without_training_rows_is_forecast(spark):
     cells = [(s, 0, h, "sales_AI92", *[float(s + h + k) for k in range(len(forecast.NAMES))]) for s in (1, 3) for h in (0, 1)]
     model = spark.createDataFrame(cells, ["station_id", "is_weekend", "hour", "target", *forecast.NAMES])

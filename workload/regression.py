@@ -82,8 +82,8 @@ def models_sql(body, *more):
     return f"WITH RECURSIVE {sql.HOURLY}{IDX}{MODELS}{''.join(more)} {body}"
 
 
-def points(spark, folder):
-    df = base.indexed(with_shop_open(base.hourly(spark, folder)))
+def points(spark, folder, facts=None):
+    df = base.indexed(with_shop_open(base.hourly(spark, folder) if facts is None else facts))
     return scratch.materialise(reg.regression_rows(df, DRIVERS), "points")
 
 
@@ -170,9 +170,8 @@ def _rolling_sql(days):
 
 
 def _rolling(spark, folder, days):
-    rows = points(spark, folder)
-    model, spread = models(rows)
     facts = scratch.materialise(base.hourly(spark, folder), "facts")
+    model, spread = models(points(spark, folder, facts))
     frame = sc.apply_scenario(sc.future_frame(facts, START, days * 24), conditions(spark))
     keep = ["scenario_id", "station_id", "timestamp", "day", "hour", "day_of_week", *DRIVERS]
     frame = scratch.materialise(frame.select(*dict.fromkeys(keep)), "frame")
